@@ -97,7 +97,11 @@ def weighted_mean(w: WindowSpec, target: str, weights: Sequence[float], min_peri
 
 
 def weighted_std(w: WindowSpec, target: str, weights: Sequence[float], min_periods: int | None = None) -> Column:
-    """Root of sum(q*(v-mean)^2)/sum(q) * n/(n-1), n being the window length."""
+    """Root of sum(q*(v-mean)^2)/sum(q) * n/(n-1), n being the window length.
+
+    A weight belongs to a place in the window, as for the mean. (pandas' kernel for the weighted std ties
+    weights to absolute row numbers instead, so that they rotate; only ``boxcar`` agrees with it.)
+    """
     n = len(weights)
     need = n if min_periods is None else min_periods
     terms = _terms(w, target, weights)

@@ -133,7 +133,19 @@ def test_weighted_rolling_equals_pandas_kernels(spark, win_type, min_periods):
     shifted = pdf.y.shift(1).to_numpy()
     minp = n if min_periods is None else min_periods
     same(got.m, pd.Series(np.asarray(roll_weighted_mean(shifted, np.array(weights), minp))))
-    same(got.s, pd.Series(np.sqrt(np.asarray(roll_weighted_var(shifted, np.array(weights), minp, 1)))))
+    def spread(x):
+        keep = ~np.isnan(x)
+        if keep.sum() < max(minp, 2):
+            return np.nan
+        v, q = x[keep], np.array(weights)[keep]
+        total = q.sum()
+        return np.sqrt((q * (v - (q * v).sum() / total) ** 2).sum() / total * n / (n - 1)) if total else np.nan
+
+    padded = np.r_[np.full(n - 1, np.nan), shifted]
+    same(got.s, pd.Series([spread(padded[i : i + n]) for i in range(len(shifted))]))
+    if win_type == "boxcar":
+        kernel = np.asarray(roll_weighted_var(shifted, np.array(weights), minp, 1))
+        same(got.s, pd.Series(np.sqrt(kernel)))
 
 
 def test_window_weights_known_values():
