@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -158,14 +157,14 @@ def with_ewm(rows: SeriesRows, target: str, alpha: float, out: str) -> SeriesRow
     if not 0 < alpha <= 1:
         raise ValueError(f"alpha {alpha} must be in (0, 1]")
     if alpha == 1:
-        rows = replace(rows, rows=rows.rows.withColumn(_AT_VALUE, F.col(target).cast("double")))
+        rows = rows.on(rows.rows.withColumn(_AT_VALUE, F.col(target).cast("double")))
     else:
         keep = 1 - alpha
         run = max(1, math.floor(_DECAY_LIMIT * math.log(10) / -math.log(keep)))
         reach = math.ceil(math.log(_NEGLIGIBLE) / math.log(keep)) + 1
         rows = rows.with_position("__n").with_columns(reach, *_decayed_sums(rows, target, keep, run))
     rows = rows.with_last_known(_AT_VALUE, out)
-    return replace(rows, rows=rows.rows.drop(_AT_VALUE, "__n", "__run", "__sums", "__before"))
+    return rows.on(rows.rows.drop(_AT_VALUE, "__n", "__run", "__sums", "__before"))
 
 
 def _decayed_sums(rows: SeriesRows, target: str, keep: float, run: int):

@@ -81,7 +81,7 @@ class SeriesRows:
             rows = rows.withColumns(build(self._window()))
         if self.block_rows is not None:
             rows = rows.where(_OWN).drop(_BLOCK, _OWN)
-        return replace(self, rows=rows)
+        return self.on(rows)
 
     def _with_reach(self, size: int, reach: int) -> DataFrame:
         home = F.floor(F.col(_POS) / size)
@@ -94,7 +94,7 @@ class SeriesRows:
         so_far = (Window.unboundedPreceding, 0)
         if self.block_rows is None:
             last = F.last(value, ignorenulls=True).over(self._window().rowsBetween(*so_far))
-            return replace(self, rows=self.rows.withColumn(out, last))
+            return self.on(self.rows.withColumn(out, last))
         keyed = self.rows.withColumn(_BLOCK, F.floor(F.col(_POS) / self.block_rows))
         keys = [_BLOCK, *self.groups]
         # One row per block and series. A value is carried only into the first series of a block, so
@@ -109,13 +109,28 @@ class SeriesRows:
         joined = keyed.join(carried, same, "left")
         here = F.last(value, ignorenulls=True).over(self._window().rowsBetween(*so_far))
         rows = joined.withColumn(out, F.coalesce(here, _CARRY))
-        return replace(self, rows=rows.drop(_BLOCK, _CARRY, *[f"__c_{k}" for k in keys]))
+        return self.on(rows.drop(_BLOCK, _CARRY, *[f"__c_{k}" for k in keys]))
 
     def with_position(self, out: str) -> SeriesRows:
         """A number that grows by one from row to row of a series; where it starts is not defined."""
         if self.block_rows is None:
-            return replace(self, rows=self.rows.withColumn(out, F.row_number().over(self._window()).cast("long")))
-        return replace(self, rows=self.rows.withColumn(out, F.col(_POS)))
+            return self.on(self.rows.withColumn(out, F.row_number().over(self._window()).cast("long")))
+        return self.on(self.rows.withColumn(out, F.col(_POS)))
+
+    def with_row_number(self, out: str) -> SeriesRows:
+        """1, 2, ... along the series."""
+        if self.block_rows is None:
+            return self.with_position(out)
+        first = self.rows.groupBy(*self.groups).agg(F.min(_POS).alias("__first"))
+        first = first.withColumnsRenamed({g: f"__c_{g}" for g in self.groups})
+        same = [F.col(g).eqNullSafe(F.col(f"__c_{g}")) for g in self.groups]
+        joined = self.rows.join(first, same, "left") if self.groups else self.rows.withColumn("__first", F.lit(0))
+        joined = joined.withColumn(out, F.col(_POS) - F.col("__first") + 1)
+        return self.on(joined.drop("__first", *[f"__c_{g}" for g in self.groups]))
+
+    def on(self, rows: DataFrame) -> SeriesRows:
+        """The same layout over ``rows``: this frame with other columns."""
+        return replace(self, rows=rows)
 
     def partition_keys(self) -> list[str]:
         """Columns of the current window partitions, for windows nested inside them."""

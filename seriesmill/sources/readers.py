@@ -21,7 +21,7 @@ def _text_frame(spark: SparkSession, path: str, sep: str) -> DataFrame:
     """All columns as text, with the missing-value texts as NULL. A path that does not exist raises."""
     raw = spark.read.option("header", True).option("sep", sep).option("escape", '"').csv(path)
     return raw.select(
-        *[F.when(~F.trim(F.col(f"`{c}`")).isin(MISSING_TEXTS), F.col(f"`{c}`")).alias(c) for c in raw.columns]
+        *[F.when(~F.col(f"`{c}`").isin(MISSING_TEXTS), F.col(f"`{c}`")).alias(c) for c in raw.columns]
     )
 
 
