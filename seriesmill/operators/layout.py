@@ -34,10 +34,12 @@ def asc_order(cols: Sequence[str]) -> list[Column]:
 def number_rows(df: DataFrame, order_by: Sequence[str], out: str = _POS) -> DataFrame:
     """Dense 0-based position of every row in the order of ``order_by``, without a one-task window.
 
-    The range sort splits any hot value as far as ``order_by`` tells rows apart. Offsets are one row
-    per sorted partition, which bounds what is broadcast.
+    Rows equal in ``order_by`` are ordered by a hash of the row, so that a hot value is split over tasks
+    and the numbering does not depend on how rows arrived. Offsets are one row per sorted partition,
+    which bounds what is broadcast.
     """
-    ranked = df.orderBy(*asc_order(order_by)).withColumn("__id", F.monotonically_increasing_id())
+    hashed = [F.col(f"`{f.name}`") for f in df.schema if "map" not in f.dataType.simpleString()]
+    ranked = df.orderBy(*asc_order(order_by), F.xxhash64(*hashed)).withColumn("__id", F.monotonically_increasing_id())
     ranked = materialize(ranked, "sorted")
     part = F.shiftright("__id", _ROW_BITS)
     sizes = ranked.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__size"))
@@ -95,21 +97,25 @@ class SeriesRows:
         if self.block_rows is None:
             last = F.last(value, ignorenulls=True).over(self._window().rowsBetween(*so_far))
             return self.on(self.rows.withColumn(out, last))
-        keyed = self.rows.withColumn(_BLOCK, F.floor(F.col(_POS) / self.block_rows))
-        keys = [_BLOCK, *self.groups]
-        # One row per block and series. A value is carried only into the first series of a block, so
-        # what is joined back has at most one row per block.
-        ends = keyed.groupBy(*keys).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(_POS))).alias(_CARRY))
-        across = Window.partitionBy(*self.groups).orderBy(_BLOCK) if self.groups else Window.orderBy(_BLOCK)
-        carried = ends.withColumn(
-            _CARRY, F.last(_CARRY, ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1))
-        ).where(F.col(_CARRY).isNotNull())
-        carried = carried.withColumnsRenamed({k: f"__c_{k}" for k in keys})
-        same = [F.col(k).eqNullSafe(F.col(f"__c_{k}")) for k in keys]
-        joined = keyed.join(carried, same, "left")
+        # One row per block and series; a value is carried only into the first series of a block.
+        ends = self._per_block(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(_POS))))
+        before = Window.partitionBy(*self.groups).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+        carried = ends.withColumn(_CARRY, F.last(_CARRY, ignorenulls=True).over(before)).where(f"{_CARRY} IS NOT NULL")
         here = F.last(value, ignorenulls=True).over(self._window().rowsBetween(*so_far))
-        rows = joined.withColumn(out, F.coalesce(here, _CARRY))
-        return self.on(rows.drop(_BLOCK, _CARRY, *[f"__c_{k}" for k in keys]))
+        rows = self._join_per_block(carried).withColumn(out, F.coalesce(here, _CARRY))
+        return self.on(rows.drop(_BLOCK, _CARRY))
+
+    def _home_block(self) -> DataFrame:
+        return self.rows.withColumn(_BLOCK, F.floor(F.col(_POS) / self.block_rows))
+
+    def _per_block(self, measure: Column) -> DataFrame:
+        """``measure`` per block and series: one row per block and one more per series."""
+        return self._home_block().groupBy(_BLOCK, *self.groups).agg(measure.alias(_CARRY))
+
+    def _join_per_block(self, table: DataFrame) -> DataFrame:
+        """Join on (block, series): no key has more rows than a block, and the windows of a block need no
+        further shuffle. Rows with a missing group key find nothing; their features are NULL anyway."""
+        return self._home_block().join(table, [_BLOCK, *self.groups], "left")
 
     def with_position(self, out: str) -> SeriesRows:
         """A number that grows by one from row to row of a series; where it starts is not defined."""
@@ -121,12 +127,10 @@ class SeriesRows:
         """1, 2, ... along the series."""
         if self.block_rows is None:
             return self.with_position(out)
-        first = self.rows.groupBy(*self.groups).agg(F.min(_POS).alias("__first"))
-        first = first.withColumnsRenamed({g: f"__c_{g}" for g in self.groups})
-        same = [F.col(g).eqNullSafe(F.col(f"__c_{g}")) for g in self.groups]
-        joined = self.rows.join(first, same, "left") if self.groups else self.rows.withColumn("__first", F.lit(0))
-        joined = joined.withColumn(out, F.col(_POS) - F.col("__first") + 1)
-        return self.on(joined.drop("__first", *[f"__c_{g}" for g in self.groups]))
+        series = Window.partitionBy(*self.groups)
+        first = self._per_block(F.min(_POS)).withColumn(_CARRY, F.min(_CARRY).over(series))
+        rows = self._join_per_block(first).withColumn(out, F.col(_POS) - F.col(_CARRY) + 1)
+        return self.on(rows.drop(_BLOCK, _CARRY))
 
     def on(self, rows: DataFrame) -> SeriesRows:
         """The same layout over ``rows``: this frame with other columns."""

@@ -104,11 +104,11 @@ def compare_actual_predicted(df: DataFrame, actual_col: str, forecast_col: str,
 def residual_distribution(df: DataFrame, actual_col: str, forecast_col: str, bins: int = 20) -> DataFrame:
     """Histogram of actual minus forecast: one row per non-empty bin of equal width."""
     errors = nan_to_null(df).select(residual(actual_col, forecast_col).cast("double").alias("r")).where("r IS NOT NULL")
-    low, high = errors.agg(F.min("r")).scalar(), errors.agg(F.max("r")).scalar()
+    range_ = errors.agg(F.struct(F.min("r").alias("low"), F.max("r").alias("high"), F.count("r").alias("n"))).scalar()
+    low, high, total = range_["low"], range_["high"], range_["n"]
     width = (high - low) / bins
     place = F.when(width > 0, F.least(F.floor(F.try_divide(F.col("r") - low, width)), F.lit(bins - 1))).otherwise(0)
     counts = errors.groupBy(place.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
-    total = errors.agg(F.count(F.lit(1))).scalar()
     return counts.select(
         "bin",
         (low + F.col("bin") * width).alias("bin_start"),

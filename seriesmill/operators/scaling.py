@@ -19,7 +19,9 @@ def fit_min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _range(scaler: DataFrame, col: str) -> tuple[Column, Column]:
-    low, high = scaler.select(f"{col}_min").scalar(), scaler.select(f"{col}_max").scalar()
+    """Low end and width, from one scalar subquery over the whole scaler row that all columns share."""
+    row = scaler.select(F.struct(*scaler.columns)).scalar()
+    low, high = row[f"{col}_min"], row[f"{col}_max"]
     return low, F.when(high == low, 1.0).otherwise(high - low)
 
 
