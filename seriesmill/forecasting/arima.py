@@ -19,13 +19,13 @@ from dataclasses import asdict, dataclass
 from functools import reduce
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import nan_to_null
 from ..operators.layout import SeriesRows, lay_out
 from ..session import materialize
-from .dates import frequency_columns, future_date, name_frequency, parse_frequency, with_gaps
+from .dates import frequency_columns, future_date, gap_columns, name_frequency, parse_frequency
 from .differencing import difference_polynomial, differenced
 from .exog import ID, future_rows, unknown_ids
 from .regression import explained, product_sums, solve_normal_equations, solve_yule_walker
@@ -224,32 +224,27 @@ def _solved(sums: DataFrame, spec: ArimaSpec) -> DataFrame:
     ).drop("__b")
 
 
-def _tails(flat: DataFrame, spec: ArimaSpec, order_by: Sequence[str]) -> DataFrame:
-    """Last values (adjusted) and last shocks of every series, latest first.
+def _tail_values(spec: ArimaSpec) -> dict[str, Column]:
+    """Aggregates for the last values (adjusted) and last shocks of a series, latest first.
 
-    How many are kept depends on the model order, never on the data, and the bound on row_number is
-    applied in every task before the shuffle.
+    One plain aggregate per kept row: how many are kept depends on the model order, never on the data.
     """
-    back = F.row_number().over(Window.partitionBy(ID).orderBy(*[F.desc(c) for c in order_by]))
-    shock = F.coalesce("e", F.lit(0.0)) if spec.ma_lags else F.lit(0.0)
-    kept = flat.select(ID, *order_by, "adjusted", shock.alias("e")).withColumn("__back", back)
-    kept = kept.where(F.col("__back") <= spec.tail)
-    ordered = F.sort_array(F.collect_list(F.struct("__back", "adjusted", "e")))
+
+    def last(name: str, n: int) -> Column:
+        return F.array(*[F.max(F.when(F.col("__back") == k, F.col(name))) for k in range(1, n + 1)])
+
     n_shocks = max(spec.ma_lags, default=0)
-    shocks = F.slice(F.transform("__t", lambda r: r["e"]), 1, n_shocks) if n_shocks else _no_values()
-    tails = kept.groupBy(ID).agg(ordered.alias("__t"))
-    return tails.select(ID, F.transform("__t", lambda r: r["adjusted"]).alias("y_tail"), shocks.alias("e_tail"))
+    return {
+        "y_tail": F.slice(last("adjusted", spec.tail), F.lit(1), F.least(F.count(F.lit(1)), F.lit(spec.tail)).cast("int")),
+        "e_tail": last("e", n_shocks) if n_shocks else _no_values(),
+    }
 
 
-def _metadata(rows: SeriesRows, freq: str | None) -> DataFrame:
-    basic = {"n_obs": F.count(F.lit(1)), "last_date": F.max("ds")}
+def _with_frequency(params: DataFrame, freq: str | None) -> DataFrame:
     if freq is None:
-        flat = with_gaps(rows, "ds").to_frame()
-        stats = flat.groupBy(ID).agg(*[c.alias(n) for n, c in (basic | frequency_columns("ds")).items()])
-        return name_frequency(stats)
+        return name_frequency(params)
     name, unit, step = parse_frequency(freq)
-    stats = rows.to_frame().groupBy(ID).agg(*[c.alias(n) for n, c in basic.items()])
-    return stats.withColumns({"freq": F.lit(name), "freq_unit": F.lit(unit), "freq_step": F.lit(step).cast("long")})
+    return params.withColumns({"freq": F.lit(name), "freq_unit": F.lit(unit), "freq_step": F.lit(step).cast("long")})
 
 
 def fit(
@@ -268,9 +263,12 @@ def fit(
     y_tail, e_tail and the spec. Rows with a missing value in a needed lag do not enter the sums; a series
     too short for its model has zero coefficients.
     """
-    panel = materialize(_panel(df, spec, id_col, y_col, ds_col), "panel")
-    rows = lay_out(panel, [ID], ["ds", "y"], layout)
-    rows = rows.with_row_number("t") if "slope" in spec.trend_terms else rows
+    panel = _panel(df, spec, id_col, y_col, ds_col)
+    if layout == "auto" or spec.exog_cols or spec.ma_lags:  # read more than once
+        panel = materialize(panel, "panel")
+    rows = lay_out(panel, [ID], ["ds", "y"], layout).with_row_number("__back", from_end=True)
+    if "slope" in spec.trend_terms:
+        rows = rows.with_row_number("t")
 
     tables = []
     levels = _fit_levels(rows, spec)
@@ -285,9 +283,15 @@ def fit(
         tables.append(long_ar)
         known = _join_table(known, long_ar)
 
-    flat = known.with_columns(spec.tail, *_all_steps(spec)).to_frame()
-    solved = _solved(product_sums(flat, ID, F.col("u"), _regressors(spec)), spec)
-    params = reduce(lambda a, b: a.join(b, ID, "left"), [*tables, solved, _tails(flat, spec, ("ds", "y"))], _metadata(rows, freq))
+    # Everything else comes from one pass: the products of the final regression, the tails, the dates.
+    also = {"n_obs": F.count(F.lit(1)), "last_date": F.max("ds")} | _tail_values(spec)
+    steps = _all_steps(spec)
+    if freq is None:
+        also |= frequency_columns("ds")
+        steps = [lambda w: gap_columns(w, "ds"), *steps]
+    flat = known.with_columns(spec.tail, *steps).to_frame()
+    solved = _solved(product_sums(flat, ID, F.col("u"), _regressors(spec), also=also), spec)
+    params = reduce(lambda a, b: a.join(b, ID, "left"), tables, _with_frequency(solved, freq))
     return materialize(_complete(params, spec), "params")
 
 
@@ -311,7 +315,7 @@ def _complete(params: DataFrame, spec: ArimaSpec) -> DataFrame:
     ]
     return params.select(
         ID, "n_obs", "last_date", "freq", "freq_unit", "freq_step", *arrays,
-        F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "sigma2", "yy", "xy", "xx", "y_tail", "e_tail",
+        "n_rows", "sigma2", "yy", "xy", "xx", "y_tail", "e_tail",
         F.lit(spec.to_json()).alias("spec"),
     )
 
@@ -381,10 +385,9 @@ def forecast(
         if lost:
             raise ValueError(f"no future regressor rows for series {', '.join(r[0] for r in lost)}")
     if freq is not None:
-        name, unit, step = parse_frequency(freq)
-        table = table.withColumns({"freq": F.lit(name), "freq_unit": F.lit(unit), "freq_step": F.lit(step).cast("long")})
+        table = _with_frequency(table, freq)
 
-    lags, last_ma = spec.recursion_lags, max(spec.ma_lags, default=0)
+    lags = spec.recursion_lags
     inputs = F.array(*[_trend_part(spec, i) + _shock_part(spec, i) for i in range(1, horizon + 1)])
     impulse = F.array(*[F.lit(1.0)] + [F.lit(0.0)] * max(lags - 1, 0))
     responses = [
@@ -485,31 +488,27 @@ def update_incremental(
     if "slope" in spec.trend_terms:
         rows = rows.on(rows.rows.withColumn("t", F.col("n_obs") - F.col("__kept") + F.col("__t")))
 
+    rows = rows.with_row_number("__back", from_end=True)
     flat = rows.with_columns(spec.tail, *_all_steps(spec)).to_frame()
     is_new = F.col("__age") == 0
-    seen = flat.where(is_new).groupBy(ID).agg(F.count(F.lit(1)).alias("__more"), F.max("ds").alias("__latest"))
-    tails = _tails(flat, spec, ("__age", "ds", "y"))
-    changed = params.drop("y_tail", "e_tail").join(seen, ID).join(tails, ID)
-    changed = changed.withColumns(
-        {"n_obs": F.col("n_obs") + F.col("__more"), "last_date": F.greatest("last_date", "__latest")}
-    )
+    also = {"__more": F.count(F.when(is_new, True)), "__latest": F.max("ds")} | _tail_values(spec)
+    seen = product_sums(flat, ID, F.col("u"), _regressors(spec), is_new, also)
+    seen = seen.withColumnsRenamed({c: f"__{c}" for c in ("n_rows", "yy", "xy", "xx")})
+    changed = params.drop("y_tail", "e_tail").join(seen, ID)
+    moved = {"n_obs": F.col("n_obs") + F.col("__more"), "last_date": F.greatest("last_date", "__latest")}
     if update_params:
-        added = product_sums(flat.where(is_new), ID, F.col("u"), _regressors(spec))
-        added = added.withColumnsRenamed({c: f"__{c}" for c in ("n_rows", "yy", "xy", "xx")})
-        changed = changed.drop("trend_coef", "ar", "ma", "sigma2").join(added, ID, "left").withColumns(
-            {
-                "n_rows": F.col("n_rows") + F.coalesce("__n_rows", F.lit(0)),
-                "yy": F.coalesce(F.col("yy") + F.col("__yy"), "yy", "__yy"),
-                "xy": _added("xy"),
-                "xx": _added("xx"),
-            }
-        )
-        changed = _solved(changed, spec)
-    changed = changed.select(*params.columns)
-    kept = params.join(seen.select(ID), ID, "left_anti")
-    return materialize(kept.unionByName(changed), "params")
+        moved |= {
+            "n_rows": F.col("n_rows") + F.col("__n_rows"),
+            "yy": F.col("yy") + F.col("__yy"),
+            "xy": _added("xy"),
+            "xx": _added("xx"),
+        }
+        changed = _solved(changed.drop("trend_coef", "ar", "ma", "sigma2").withColumns(moved), spec)
+    else:
+        changed = changed.withColumns(moved)
+    kept = params.join(state.select(ID), ID, "left_anti")
+    return materialize(kept.unionByName(changed.select(*params.columns)), "params")
 
 
 def _added(name: str) -> Column:
-    both = F.zip_with(F.col(name), F.col(f"__{name}"), lambda a, b: a + b)
-    return F.coalesce(both, F.col(name), F.col(f"__{name}"))
+    return F.zip_with(F.col(name), F.col(f"__{name}"), lambda a, b: a + b)

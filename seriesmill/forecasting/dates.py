@@ -40,7 +40,7 @@ def _seconds(c: Column) -> Column:
     return F.unix_timestamp(c.cast("timestamp"))
 
 
-def _gap_columns(w: WindowSpec, ds_col: str) -> dict[str, Column]:
+def gap_columns(w: WindowSpec, ds_col: str) -> dict[str, Column]:
     ds, prev = F.col(ds_col), F.lag(ds_col, 1).over(w)
     months = F.year(ds) * 12 + F.month(ds)
     return {
@@ -102,7 +102,7 @@ def _name(unit: Column, step: Column, weekday: Column) -> Column:
 
 
 def with_gaps(rows: SeriesRows, ds_col: str) -> SeriesRows:
-    return rows.with_columns(1, lambda w: _gap_columns(w, ds_col))
+    return rows.with_columns(1, lambda w: gap_columns(w, ds_col))
 
 
 def name_frequency(stats: DataFrame) -> DataFrame:

@@ -16,22 +16,34 @@ def _sum_of(a: Column, b: Column) -> Column:
     return F.coalesce(F.sum(a * b), F.lit(0.0))
 
 
-def product_sums(rows: DataFrame, by: str, y: Column, xs: Sequence[Column]) -> DataFrame:
+def product_sums(
+    rows: DataFrame,
+    by: str,
+    y: Column,
+    xs: Sequence[Column],
+    counted: Column | None = None,
+    also: dict[str, Column] | None = None,
+) -> DataFrame:
     """Per series over the complete rows: ``n_rows``, ``yy``, ``xy`` and the upper triangle ``xx``.
 
     The sums are additive, so they are combined before the shuffle and can be kept for later updates.
+    ``counted`` restricts the rows that enter the sums; ``also`` are further aggregates over all rows.
     """
-    names = [f"__x{i}" for i in range(len(xs))]
-    flat = rows.select(by, y.cast("double").alias("__y"), *[x.cast("double").alias(n) for x, n in zip(xs, names)])
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ("__y", *names)])
-    cols = [F.col(n) for n in names]
+    named = {f"__x{i}": x.cast("double") for i, x in enumerate(xs)} | {"__y": y.cast("double")}
+    full = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in named])
+    if counted is not None:
+        full = full & counted
+    rows = rows.withColumns(named).withColumn("__full", full)
+    masked = rows.withColumns({c: F.when(F.col("__full"), F.col(c)) for c in named})
+    cols = [F.col(f"__x{i}") for i in range(len(xs))]
     upper = [_sum_of(cols[i], cols[j]) for i in range(len(cols)) for j in range(i, len(cols))]
     empty = F.array().cast("array<double>")
-    return flat.where(complete).groupBy(by).agg(
-        F.count(F.lit(1)).alias("n_rows"),
+    return masked.groupBy(by).agg(
+        F.count(F.when(F.col("__full"), True)).alias("n_rows"),
         _sum_of(F.col("__y"), F.col("__y")).alias("yy"),
         (F.array(*[_sum_of(c, F.col("__y")) for c in cols]) if cols else empty).alias("xy"),
         (F.array(*upper) if upper else empty).alias("xx"),
+        *[c.alias(n) for n, c in (also or {}).items()],
     )
 
 

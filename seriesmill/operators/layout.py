@@ -123,13 +123,18 @@ class SeriesRows:
             return self.on(self.rows.withColumn(out, F.row_number().over(self._window()).cast("long")))
         return self.on(self.rows.withColumn(out, F.col(_POS)))
 
-    def with_row_number(self, out: str) -> SeriesRows:
-        """1, 2, ... along the series."""
-        if self.block_rows is None:
-            return self.with_position(out)
+    def with_row_number(self, out: str, from_end: bool = False) -> SeriesRows:
+        """1, 2, ... along the series, or counted from its last row."""
         series = Window.partitionBy(*self.groups)
-        first = self._per_block(F.min(_POS)).withColumn(_CARRY, F.min(_CARRY).over(series))
-        rows = self._join_per_block(first).withColumn(out, F.col(_POS) - F.col(_CARRY) + 1)
+        if self.block_rows is None:
+            if not from_end:
+                return self.with_position(out)
+            keys = [F.col(g) for g in self.groups] or [F.lit(0)]
+            size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+            return self.on(self.rows.withColumn(out, size - F.row_number().over(self._window()) + 1))
+        end = F.max if from_end else F.min
+        ends = self._per_block(end(_POS)).withColumn(_CARRY, end(_CARRY).over(series))
+        rows = self._join_per_block(ends).withColumn(out, F.abs(F.col(_POS) - F.col(_CARRY)) + 1)
         return self.on(rows.drop(_BLOCK, _CARRY))
 
     def on(self, rows: DataFrame) -> SeriesRows:
