@@ -89,7 +89,8 @@ def cyclical(c: str | Column) -> dict[str, Column]:
 def month_number(df: DataFrame, date_col: str) -> Column:
     """Months since January of the first year of the whole table, counted from 1.
 
-    The minimum is a scalar subquery: a tree aggregate over one column, not a window over all rows.
+    The minimum is a scalar subquery: an aggregate of one column, not a window over all rows. It reads
+    ``df`` once more, so write an expensive ``df`` first (``session.materialize``).
     """
     first_year = df.agg(F.year(F.min(date_col))).scalar()
     return (year(date_col) - first_year) * 12 + month(date_col)

@@ -344,7 +344,7 @@ def m3_train_val_test(spark, sf_dir):
     """WITH w AS (SELECT o_orderpriority, o_totalprice / 1e3 AS a,
       lag(o_totalprice / 1e3) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS f FROM orders),
     s AS (SELECT o_orderpriority, avg(abs(a - f)) AS mae, avg((a - f) * (a - f)) AS mse FROM w WHERE f IS NOT NULL GROUP BY 1)
-    SELECT o_orderpriority, round(mae, 3) AS "MAE", round(sqrt(mse), 3) AS "RMSE" FROM s""",
+    SELECT o_orderpriority, round_even(mae, 4) AS "MAE", round_even(sqrt(round_even(mse, 4)), 4) AS "RMSE" FROM s""",
 )
 def m4_scores_on_original_scale(spark, sf_dir):
     """The last scaled value of each window predicts the next; scores are in thousands of the original unit."""
@@ -355,4 +355,4 @@ def m4_scores_on_original_scale(spark, sf_dir):
     original = unscale_min_max(windows, scaler, {"a": "o_totalprice", "f": "o_totalprice"})
     original = original.withColumns({"a": F.col("a") / 1e3, "f": F.col("f") / 1e3})
     report = m.evaluate_regressor(original, "a", "f", "last value", ["o_orderpriority"])
-    return rounded(report.select("o_orderpriority", "MAE", "RMSE"), 3)
+    return report.select("o_orderpriority", "MAE", "RMSE")

@@ -10,6 +10,7 @@ from ..operators.features import (
     prepare_features,
 )
 from ..operators.weighted import rolling_weights
+from ..session import materialize
 from .calendar_queries import time_features_sql
 from .inputs import BRAND_MONTHS, PART_MONTHS, brand_months, part_months, sales_by, table
 from .registry import register, rounded
@@ -262,8 +263,9 @@ def _prepared_sql(source, groups):
     {_lag_sql([1, 3, 6], w=w)}, {_rolling_sql([3, 6, 12], groups)}, {_diff_sql([1, 12], w)} FROM dated"""
 
 
-def _prepared(frame, groups):
-    out = prepare_features(frame, "sales_amount", groups, date_col="period", layout=SUMMED)
+def _prepared(sums, groups):
+    # month_number needs the first year of the table: the sums are written once, so that the fact is not read twice.
+    out = prepare_features(materialize(sums, "sums"), "sales_amount", groups, date_col="period", layout=SUMMED)
     return _std_digits(out)
 
 

@@ -16,49 +16,66 @@ MISSING_TEXTS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+# Texts that read as a 64-bit whole number and as a number.
+WHOLE_PATTERN = r"^[+-]?\d{1,18}$"
+NUMBER_PATTERN = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
 
-def _text_frame(spark: SparkSession, path: str, sep: str) -> DataFrame:
-    """All columns as text, with the missing-value texts as NULL. A path that does not exist raises."""
-    raw = spark.read.option("header", True).option("sep", sep).option("escape", '"').csv(path)
-    return raw.select(
-        *[F.when(~F.col(f"`{c}`").isin(MISSING_TEXTS), F.col(f"`{c}`")).alias(c) for c in raw.columns]
+# What a cell can be read as; a column's type follows from the set of kinds seen in it.
+_MISSING, _WHOLE, _NUMBER, _FLAG, _TEXT = range(5)
+
+
+def _raw_frame(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """All columns as text. A path that does not exist raises."""
+    return spark.read.option("header", True).option("sep", sep).option("escape", '"').csv(path)
+
+
+def _is_missing(cell: Column) -> Column:
+    return cell.isNull() | cell.isin(MISSING_TEXTS)
+
+
+def _kind(cell: Column) -> Column:
+    return (
+        F.when(_is_missing(cell), _MISSING)
+        .when(cell.rlike(WHOLE_PATTERN), _WHOLE)
+        .when(cell.rlike(NUMBER_PATTERN), _NUMBER)
+        .when(F.lower(cell).isin("true", "false"), _FLAG)
+        .otherwise(_TEXT)
     )
 
 
-def _fits(col: Column, kind: str) -> Column:
-    return F.coalesce(F.bool_and(col.try_cast(kind).isNotNull()), F.lit(False))
+def _column_type(seen: set[int]) -> T.DataType:
+    found = seen - {_MISSING}
+    if found == {_FLAG}:
+        return T.StringType() if _MISSING in seen else T.BooleanType()
+    if found & {_FLAG, _TEXT}:
+        return T.StringType()
+    return T.LongType() if seen == {_WHOLE} else T.DoubleType()
 
 
-def infer_types(text: DataFrame) -> T.StructType:
-    """One aggregate over the file: whole numbers without gaps are bigint, numbers double, the rest text.
+def infer_types(raw: DataFrame) -> T.StructType:
+    """Whole numbers without gaps are bigint, other numbers double, true/false boolean, the rest text.
 
-    Dates stay text. This reads the file once more; give a schema to avoid it.
+    Dates stay text. One aggregate over the file collects a bit set of kinds per column; give a schema to
+    avoid reading the file a second time.
     """
-    checks = []
-    for i, c in enumerate(text.columns):
-        col = F.col(f"`{c}`")
-        full = F.count(col) == F.count(F.lit(1))
-        flag = F.coalesce(F.bool_and(F.lower(col).isin("true", "false")), F.lit(False))
-        kind = (
-            F.when(F.count(col) == 0, "double")
-            .when(flag, F.when(full, "boolean").otherwise("string"))
-            .when(_fits(col, "bigint") & ~F.bool_or(col.contains(".")), F.when(full, "bigint").otherwise("double"))
-            .when(_fits(col, "double"), "double")
-            .otherwise("string")
-        )
-        checks.append(kind.alias(f"c{i}"))
-    found = text.agg(*checks).first()
-    types = {"double": T.DoubleType(), "bigint": T.LongType(), "boolean": T.BooleanType(), "string": T.StringType()}
-    return T.StructType([T.StructField(c, types[found[i]]) for i, c in enumerate(text.columns)])
+    bits = [F.bit_or(F.call_function("shiftleft", F.lit(1), _kind(F.col(f"`{c}`")))).alias(f"c{i}") for i, c in enumerate(raw.columns)]
+    masks = raw.agg(*bits).first()
+    kinds = [{k for k in range(5) if (mask or 0) >> k & 1} for mask in masks]
+    return T.StructType([T.StructField(c, _column_type(seen)) for c, seen in zip(raw.columns, kinds)])
 
 
 def read_csv(spark: SparkSession, path: str, sep: str = ",", schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header row. Without a schema the column types are inferred from all rows."""
-    text = _text_frame(spark, path, sep)
+    raw = _raw_frame(spark, path, sep)
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    schema = schema or infer_types(text)
-    return text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    schema = schema or infer_types(raw)
+
+    def cell(f: T.StructField) -> Column:
+        text = F.col(f"`{f.name}`")
+        return F.when(~_is_missing(text), text).cast(f.dataType).alias(f.name)
+
+    return raw.select(*[cell(f) for f in schema])
 
 
 def read_table(spark: SparkSession, *name_parts: str | None) -> DataFrame:
