@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from ..functions import calendar, scalars
 from .layout import SeriesRows, lay_out
 from .weighted import rolling_weights, weighted_mean, weighted_std
 
-_FILLED, _AT_VALUE = "__filled", "__at_value"
+_FILLED, _N = "__filled", "__n"
 _DECAY_LIMIT = 100.0  # powers of ten a running weight may grow by before it starts again
 _NEGLIGIBLE = 1e-18
 
@@ -87,7 +89,7 @@ def add_rolling_features(
 
 
 def _with_filled(rows: SeriesRows, target_col: str) -> SeriesRows:
-    return rows.with_last_known(target_col, _FILLED)
+    return rows.with_last_known({target_col: _FILLED})
 
 
 def add_diff_features(
@@ -147,50 +149,84 @@ def prepare_features(
 # --- exponentially weighted mean ------------------------------------------------------------------
 
 
-def with_ewm(rows: SeriesRows, target: str, alpha: float, out: str) -> SeriesRows:
-    """Exponentially weighted mean of all values up to the row (weights (1-alpha)^age, missing skipped).
+def with_ewm(rows: SeriesRows, target: str, outs: dict[float, str]) -> SeriesRows:
+    """Exponentially weighted mean of all values up to the row, for each (alpha, output name).
 
-    At a row that has a value, weighted sums are running sums of growing weights, restarted every
-    ``run`` rows so that they stay in range; the run before adds its closing sums. Runs further back
-    weigh less than 1e-100. A row without a value repeats the mean of the last row that has one.
+    Weights are (1-alpha)^age, a missing value is skipped. At a row that has a value, weighted sums are
+    running sums of growing weights, restarted every ``run`` rows so that they stay in range; the run before
+    adds its closing sums. Runs further back weigh less than 1e-100. A row without a value repeats the mean
+    of the last row that has one.
     """
-    if not 0 < alpha <= 1:
-        raise ValueError(f"alpha {alpha} must be in (0, 1]")
-    if alpha == 1:
-        rows = rows.on(rows.rows.withColumn(_AT_VALUE, F.col(target).cast("double")))
-    else:
-        keep = 1 - alpha
-        run = max(1, math.floor(_DECAY_LIMIT * math.log(10) / -math.log(keep)))
-        reach = math.ceil(math.log(_NEGLIGIBLE) / math.log(keep)) + 1
-        rows = rows.with_position("__n").with_columns(reach, *_decayed_sums(rows, target, keep, run))
-    rows = rows.with_last_known(_AT_VALUE, out)
-    return rows.on(rows.rows.drop(_AT_VALUE, "__n", "__run", "__sums", "__before"))
-
-
-def _decayed_sums(rows: SeriesRows, target: str, keep: float, run: int):
-    keys = [F.col(k) for k in rows.partition_keys()] or [F.lit(0)]
-    step = F.pmod(F.col("__n"), F.lit(run))
-    value = F.col(target).cast("double")
-    grown = F.pow(F.lit(keep), -step)
-    decayed = F.pow(F.lit(keep), step)
-    in_run = Window.partitionBy(*keys, "__run").orderBy("__n").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*keys).orderBy("__run", "__n").rowsBetween(Window.unboundedPreceding, -1)
-
-    def sums(_: WindowSpec) -> dict[str, Column]:
-        num = F.sum(F.coalesce(value * grown, F.lit(0.0))).over(in_run) * decayed
-        den = F.sum(F.when(value.isNotNull(), grown).otherwise(0.0)).over(in_run) * decayed
-        return {"__sums": F.struct(num.alias("num"), den.alias("den"))}
-
-    def closing(_: WindowSpec) -> dict[str, Column]:
-        return {"__before": F.last(F.when(step == run - 1, F.col("__sums")), ignorenulls=True).over(earlier)}
-
-    def mean(_: WindowSpec) -> dict[str, Column]:
-        age = F.pow(F.lit(keep), step + 1)
-        num = F.col("__sums.num") + age * F.coalesce(F.col("__before.num"), F.lit(0.0))
-        den = F.col("__sums.den") + age * F.coalesce(F.col("__before.den"), F.lit(0.0))
-        return {_AT_VALUE: F.when(value.isNotNull(), F.try_divide(num, den))}
-
-    return [lambda _: {"__run": F.floor(F.col("__n") / run)}, sums, closing, mean]
+    if not all(0 < alpha <= 1 for alpha in outs):
+        raise ValueError(f"every alpha must be in (0, 1]: {list(outs)}")
+    decays = [_Decay(i, target, 1 - alpha, rows.partition_keys()) for i, alpha in enumerate(outs)]
+    steps = [lambda w, stage=stage: reduce(dict.__or__, [getattr(d, stage)(w) for d in decays]) for stage in _STAGES]
+    rows = rows.with_position(_N).with_columns(max(d.reach for d in decays), *steps)
+    rows = rows.with_last_known({d.name("at_value"): out for d, out in zip(decays, outs.values())})
+    helpers = [d.name(part) for d in decays for part in ("run", "sums", "before", "at_value")]
+    return rows.on(rows.rows.drop(_N, *helpers))
+
+
+_STAGES = ("runs", "running", "closing", "mean")
+
+
+@dataclass(frozen=True)
+class _Decay:
+    """The columns of one exponentially weighted mean, in the order of ``_STAGES``."""
+
+    number: int
+    target: str
+    keep: float  # what a weight keeps per row of age
+    keys: list[str]
+
+    def name(self, part: str) -> str:
+        return f"__ewm{self.number}_{part}"
+
+    @property
+    def run(self) -> int:
+        return max(1, math.floor(_DECAY_LIMIT * math.log(10) / -math.log(self.keep))) if self.keep else 1
+
+    @property
+    def reach(self) -> int:
+        return math.ceil(math.log(_NEGLIGIBLE) / math.log(self.keep)) + 1 if self.keep else 1
+
+    @property
+    def value(self) -> Column:
+        return F.col(self.target).cast("double")
+
+    @property
+    def step(self) -> Column:
+        return F.pmod(F.col(_N), F.lit(self.run))
+
+    def _power(self, exponent: Column) -> Column:
+        return F.pow(F.lit(self.keep), exponent.cast("double"))
+
+    def _partition(self) -> list[Column]:
+        return [F.col(k) for k in self.keys] or [F.lit(0)]
+
+    def runs(self, _: WindowSpec) -> dict[str, Column]:
+        return {self.name("run"): F.floor(F.col(_N) / self.run)}
+
+    def running(self, _: WindowSpec) -> dict[str, Column]:
+        w = Window.partitionBy(*self._partition(), self.name("run")).orderBy(_N)
+        w = w.rowsBetween(Window.unboundedPreceding, 0)
+        grown = self._power(-self.step)
+        num = F.sum(F.coalesce(self.value * grown, F.lit(0.0))).over(w)
+        den = F.sum(F.when(self.value.isNotNull(), grown).otherwise(0.0)).over(w)
+        decayed = self._power(self.step)
+        return {self.name("sums"): F.struct((num * decayed).alias("num"), (den * decayed).alias("den"))}
+
+    def closing(self, _: WindowSpec) -> dict[str, Column]:
+        w = Window.partitionBy(*self._partition()).orderBy(self.name("run"), _N)
+        w = w.rowsBetween(Window.unboundedPreceding, -1)
+        at_end = F.when(self.step == self.run - 1, F.col(self.name("sums")))
+        return {self.name("before"): F.last(at_end, ignorenulls=True).over(w)}
+
+    def mean(self, _: WindowSpec) -> dict[str, Column]:
+        sums, before, age = self.name("sums"), self.name("before"), self._power(self.step + 1)
+        num = F.col(f"{sums}.num") + age * F.coalesce(F.col(f"{before}.num"), F.lit(0.0))
+        den = F.col(f"{sums}.den") + age * F.coalesce(F.col(f"{before}.den"), F.lit(0.0))
+        return {self.name("at_value"): F.when(self.value.isNotNull(), F.try_divide(num, den))}
 
 
 # --- full feature set -----------------------------------------------------------------------------
@@ -242,8 +278,8 @@ def create_time_series_features(
     rows = lay_out(df, groups, order, layout)
     keyed = rows.has_key
     means = {a: f"__ewm_{i}" for i, a in enumerate(weights)} if ewm else {}
-    for alpha, name in means.items():
-        rows = with_ewm(rows, target, alpha, name)
+    if means:
+        rows = with_ewm(rows, target, means)
 
     def build(w: WindowSpec) -> dict[str, Column]:
         out: dict[str, Column] = {}

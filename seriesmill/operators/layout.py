@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -91,26 +92,28 @@ class SeriesRows:
         blocks = F.when(near_end, F.array(home, home + 1)).otherwise(F.array(home))
         return self.rows.withColumn(_BLOCK, F.explode(blocks)).withColumn(_OWN, F.col(_BLOCK) == home)
 
-    def with_last_known(self, value: str, out: str) -> SeriesRows:
-        """``out``: the latest non-missing ``value`` of the series up to and including the row."""
-        so_far = (Window.unboundedPreceding, 0)
+    def with_last_known(self, names: dict[str, str]) -> SeriesRows:
+        """For each (value, out): the latest non-missing value of the series up to and including the row."""
+        w = self._window().rowsBetween(Window.unboundedPreceding, 0)
+        here = {out: F.last(value, ignorenulls=True).over(w) for value, out in names.items()}
         if self.block_rows is None:
-            last = F.last(value, ignorenulls=True).over(self._window().rowsBetween(*so_far))
-            return self.on(self.rows.withColumn(out, last))
+            return self.on(self.rows.withColumns(here))
         # One row per block and series; a value is carried only into the first series of a block.
-        ends = self._per_block(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(_POS))))
+        carry = {out: f"{_CARRY}_{i}" for i, out in enumerate(here)}
+        last = {carry[out]: F.max_by(v, F.when(F.col(v).isNotNull(), F.col(_POS))) for v, out in names.items()}
         before = Window.partitionBy(*self.groups).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-        carried = ends.withColumn(_CARRY, F.last(_CARRY, ignorenulls=True).over(before)).where(f"{_CARRY} IS NOT NULL")
-        here = F.last(value, ignorenulls=True).over(self._window().rowsBetween(*so_far))
-        rows = self._join_per_block(carried).withColumn(out, F.coalesce(here, _CARRY))
-        return self.on(rows.drop(_BLOCK, _CARRY))
+        carried = self._per_block(last).withColumns({c: F.last(c, ignorenulls=True).over(before) for c in last})
+        carried = carried.where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in last]))
+        rows = self._join_per_block(carried)
+        rows = rows.withColumns({out: F.coalesce(c, carry[out]) for out, c in here.items()})
+        return self.on(rows.drop(_BLOCK, *last))
 
     def _home_block(self) -> DataFrame:
         return self.rows.withColumn(_BLOCK, F.floor(F.col(_POS) / self.block_rows))
 
-    def _per_block(self, measure: Column) -> DataFrame:
-        """``measure`` per block and series: one row per block and one more per series."""
-        return self._home_block().groupBy(_BLOCK, *self.groups).agg(measure.alias(_CARRY))
+    def _per_block(self, measures: dict[str, Column]) -> DataFrame:
+        """Aggregates per block and series: one row per block and one more per series."""
+        return self._home_block().groupBy(_BLOCK, *self.groups).agg(*[c.alias(n) for n, c in measures.items()])
 
     def _join_per_block(self, table: DataFrame) -> DataFrame:
         """Join on (block, series): no key has more rows than a block, and the windows of a block need no
@@ -133,7 +136,7 @@ class SeriesRows:
             size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
             return self.on(self.rows.withColumn(out, size - F.row_number().over(self._window()) + 1))
         end = F.max if from_end else F.min
-        ends = self._per_block(end(_POS)).withColumn(_CARRY, end(_CARRY).over(series))
+        ends = self._per_block({_CARRY: end(_POS)}).withColumn(_CARRY, end(_CARRY).over(series))
         rows = self._join_per_block(ends).withColumn(out, F.abs(F.col(_POS) - F.col(_CARRY)) + 1)
         return self.on(rows.drop(_BLOCK, _CARRY))
 
