@@ -7,17 +7,19 @@ missing group key get NULL features. ``order_by`` must order a series completely
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import calendar, scalars
+from ..session import materialize
 from .layout import SeriesRows, lay_out
 from .weighted import rolling_weights, weighted_mean, weighted_std
 
+Step = Callable[[WindowSpec], dict[str, Column]]
+
 _FILLED, _N = "__filled", "__n"
 _DECAY_LIMIT = 100.0  # powers of ten a running weight may grow by before it starts again
 _NEGLIGIBLE = 1e-18
@@ -88,8 +90,18 @@ def add_rolling_features(
     ).to_frame()
 
 
-def _with_filled(rows: SeriesRows, target_col: str) -> SeriesRows:
-    return rows.with_last_known({target_col: _FILLED})
+def _add(rows: SeriesRows, reach: int, target: str, *steps: Step) -> SeriesRows:
+    """Add columns that use the forward-filled target: in one pass unless a value crosses blocks."""
+    if rows.carries_locally(target):
+        steps = (lambda w: {_FILLED: _last_known(w, target)}, *steps)
+    else:
+        rows = rows.with_last_known({target: _FILLED})
+    rows = rows.with_columns(reach, *steps)
+    return rows.on(rows.rows.drop(_FILLED))
+
+
+def _last_known(w: WindowSpec, value: str) -> Column:
+    return F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
 
 
 def add_diff_features(
@@ -100,12 +112,8 @@ def add_diff_features(
     order_by: Sequence[str] = ("yearmonth",),
     layout: str = "auto",
 ) -> DataFrame:
-    rows = _with_filled(_prepare(df, group_cols, order_by, layout), target_col)
-    return (
-        rows.with_columns(max(periods), lambda w: _diff_block(w, rows.has_key, target_col, periods))
-        .to_frame()
-        .drop(_FILLED)
-    )
+    rows = _prepare(df, group_cols, order_by, layout)
+    return _add(rows, max(periods), target_col, lambda w: _diff_block(w, rows.has_key, target_col, periods)).to_frame()
 
 
 def _diff_block(w: WindowSpec, keyed: Column, target: str, periods: Sequence[int]) -> dict[str, Column]:
@@ -132,7 +140,7 @@ def prepare_features(
     Accepts the output of ``aggregate_sales`` with ``date_col="period"``.
     """
     dated = calendar.create_time_features(scalars.nan_to_null(df), date_col)
-    rows = _with_filled(lay_out(dated, group_cols, order_by or (date_col,), layout), value_col)
+    rows = lay_out(dated, group_cols, order_by or (date_col,), layout)
     keyed = rows.has_key
 
     def build(w: WindowSpec) -> dict[str, Column]:
@@ -143,28 +151,45 @@ def prepare_features(
         return out | _diff_block(w, keyed, value_col, diff_periods)
 
     reach = max([0, *lags, *rolling_windows, *diff_periods])
-    return rows.with_columns(reach, build).to_frame().drop(_FILLED)
+    return _add(rows, reach, value_col, build).to_frame()
 
 
 # --- exponentially weighted mean ------------------------------------------------------------------
 
 
-def with_ewm(rows: SeriesRows, target: str, outs: dict[float, str]) -> SeriesRows:
-    """Exponentially weighted mean of all values up to the row, for each (alpha, output name).
+class _Means:
+    """Exponentially weighted means of all values up to the row, for each (alpha, output name).
 
     Weights are (1-alpha)^age, a missing value is skipped. At a row that has a value, weighted sums are
     running sums of growing weights, restarted every ``run`` rows so that they stay in range; the run before
     adds its closing sums. Runs further back weigh less than 1e-100. A row without a value repeats the mean
     of the last row that has one.
     """
-    if not all(0 < alpha <= 1 for alpha in outs):
-        raise ValueError(f"every alpha must be in (0, 1]: {list(outs)}")
-    decays = [_Decay(i, target, 1 - alpha, rows.partition_keys()) for i, alpha in enumerate(outs)]
-    steps = [lambda w, stage=stage: reduce(dict.__or__, [getattr(d, stage)(w) for d in decays]) for stage in _STAGES]
-    rows = rows.with_position(_N).with_columns(max(d.reach for d in decays), *steps)
-    rows = rows.with_last_known({d.name("at_value"): out for d, out in zip(decays, outs.values())})
-    helpers = [d.name(part) for d in decays for part in ("run", "sums", "before", "at_value")]
-    return rows.on(rows.rows.drop(_N, *helpers))
+
+    def __init__(self, rows: SeriesRows, target: str, outs: dict[float, str]):
+        if not all(0 < alpha <= 1 for alpha in outs):
+            raise ValueError(f"every alpha must be in (0, 1]: {list(outs)}")
+        self.rows, self.target = rows, target
+        self.decays = [_Decay(i, target, 1 - alpha, rows.partition_keys()) for i, alpha in enumerate(outs)]
+        self.at_value = {d.name("at_value"): out for d, out in zip(self.decays, outs.values())}
+        self.reach = max(d.reach for d in self.decays)
+        self.helpers = [_N, *[d.name(part) for d in self.decays for part in ("run", "sums", "before", "at_value")]]
+
+    def _steps(self) -> list[Step]:
+        return [getattr(d, stage) for d in self.decays for stage in _STAGES]
+
+    def then(self, reach: int, build: Step) -> SeriesRows:
+        """Add the means and then ``build``, which looks ``reach`` rows back."""
+        rows = self.rows.with_position(_N)
+        if rows.carries_locally(self.target):
+            carry = lambda w: {out: _last_known(w, value) for value, out in self.at_value.items()}
+            rows = rows.with_columns(self.reach + reach, *self._steps(), carry, build)
+        else:
+            # Written once: both the values to carry and the rows they are carried to are read from it.
+            means = rows.with_columns(self.reach, *self._steps())
+            means = means.on(materialize(means.rows.drop(*set(self.helpers) - set(self.at_value)), "means"))
+            rows = means.with_last_known(self.at_value).with_columns(reach, build)
+        return rows.on(rows.rows.drop(*self.helpers, *self.at_value.values()))
 
 
 _STAGES = ("runs", "running", "closing", "mean")
@@ -278,8 +303,6 @@ def create_time_series_features(
     rows = lay_out(df, groups, order, layout)
     keyed = rows.has_key
     means = {a: f"__ewm_{i}" for i, a in enumerate(weights)} if ewm else {}
-    if means:
-        rows = with_ewm(rows, target, means)
 
     def build(w: WindowSpec) -> dict[str, Column]:
         out: dict[str, Column] = {}
@@ -293,7 +316,8 @@ def create_time_series_features(
         return out
 
     reach = max([0, *(lags if lag or ewm else []), *(windows if aggs else [])])
-    return rows.with_columns(reach, build).to_frame().drop(*means.values())
+    done = _Means(rows, target, means).then(reach, build) if means else rows.with_columns(reach, build)
+    return done.to_frame()
 
 
 def _rolling_any(w, keyed, target, n, agg, min_periods, win_type) -> Column:

@@ -90,7 +90,13 @@ class SeriesRows:
         home = F.floor(F.col(_POS) / size)
         near_end = F.col(_POS) % size >= size - reach
         blocks = F.when(near_end, F.array(home, home + 1)).otherwise(F.array(home))
-        return self.rows.withColumn(_BLOCK, F.explode(blocks)).withColumn(_OWN, F.col(_BLOCK) == home)
+        copies = self.rows.withColumn(_BLOCK, F.explode(blocks)).withColumn(_OWN, F.col(_BLOCK) == home)
+        # One shuffle serves all windows of the pass, also those nested inside a block's series.
+        return copies.repartition(_BLOCK, *self.groups)
+
+    def carries_locally(self, value: str) -> bool:
+        """Whether a value never has to be carried from further back than a window partition reaches."""
+        return self.block_rows is None or self.rows.where(F.col(value).isNull()).isEmpty()
 
     def with_last_known(self, names: dict[str, str]) -> SeriesRows:
         """For each (value, out): the latest non-missing value of the series up to and including the row."""
