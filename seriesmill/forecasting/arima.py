@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import nan_to_null
 from ..operators.layout import SeriesRows, lay_out
 from ..session import materialize
-from .dates import frequency_columns, future_date, gap_columns, name_frequency, parse_frequency
+from .dates import frequency_columns, future_date, gap_columns, with_frequency
 from .differencing import difference_polynomial, differenced
 from .exog import ID, future_rows, unknown_ids
 from .regression import explained, product_sums, solve_normal_equations, solve_yule_walker
@@ -97,7 +97,8 @@ class ArimaSpec:
 
 
 def spec_of(params: DataFrame) -> ArimaSpec:
-    return ArimaSpec.from_json(params.select("spec").first()[0])
+    first = params.select("spec").first()
+    return ArimaSpec.from_json(first[0]) if first else ArimaSpec()
 
 
 # --- rows of the panel ----------------------------------------------------------------------------
@@ -240,13 +241,6 @@ def _tail_values(spec: ArimaSpec) -> dict[str, Column]:
     }
 
 
-def _with_frequency(params: DataFrame, freq: str | None) -> DataFrame:
-    if freq is None:
-        return name_frequency(params)
-    name, unit, step = parse_frequency(freq)
-    return params.withColumns({"freq": F.lit(name), "freq_unit": F.lit(unit), "freq_step": F.lit(step).cast("long")})
-
-
 def fit(
     df: DataFrame,
     spec: ArimaSpec,
@@ -291,7 +285,7 @@ def fit(
         steps = [lambda w: gap_columns(w, "ds"), *steps]
     flat = known.with_columns(spec.tail, *steps).to_frame()
     solved = _solved(product_sums(flat, ID, F.col("u"), _regressors(spec), also=also), spec)
-    params = reduce(lambda a, b: a.join(b, ID, "left"), tables, _with_frequency(solved, freq))
+    params = reduce(lambda a, b: a.join(b, ID, "left"), tables, with_frequency(solved, freq))
     return materialize(_complete(params, spec), "params")
 
 
@@ -385,7 +379,7 @@ def forecast(
         if lost:
             raise ValueError(f"no future regressor rows for series {', '.join(r[0] for r in lost)}")
     if freq is not None:
-        table = _with_frequency(table, freq)
+        table = with_frequency(table, freq)
 
     lags = spec.recursion_lags
     inputs = F.array(*[_trend_part(spec, i) + _shock_part(spec, i) for i in range(1, horizon + 1)])
@@ -448,7 +442,7 @@ def refit(
     touched = new_rows.select(id_col).distinct()
     again = fit(longer.join(touched, id_col, "left_semi"), spec_of(params), id_col, y_col, ds_col, freq, layout)
     kept = params.join(again.select(ID), ID, "left_anti")
-    return kept.unionByName(again), longer
+    return materialize(kept.unionByName(again), "params"), longer
 
 
 def update_incremental(

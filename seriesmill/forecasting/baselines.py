@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .dates import frequency_columns, future_date, name_frequency, parse_frequency, with_gaps
 from ..operators.layout import lay_out
+from .dates import frequency_columns, future_date, with_frequency, with_gaps
 
 
 def fit_baselines(
@@ -24,27 +24,21 @@ def fit_baselines(
         F.col(ds_col).cast("timestamp_ntz").alias("ds"),
         F.col(y_col).cast("double").alias("y"),
     )
+    rows = lay_out(base, ["unique_id"], ["ds"], layout).with_row_number("__back", from_end=True)
+    kept = F.collect_list(F.when(F.col("__back") <= season, F.struct(-F.col("__back"), "y")))
     values = {
         "n_obs": F.count(F.lit(1)),
         "last_date": F.max("ds"),
         "mean_y": F.avg("y"),
         "first_y": F.min_by("y", "ds"),
         "last_y": F.max_by("y", "ds"),
+        "last_season": F.transform(F.sort_array(kept), lambda r: r["y"]),
     }
     if freq is None:
-        rows = with_gaps(lay_out(base, ["unique_id"], ["ds"], layout), "ds").to_frame()
+        rows = with_gaps(rows, "ds")
         values |= frequency_columns("ds")
-        stats = name_frequency(rows.groupBy("unique_id").agg(*[c.alias(n) for n, c in values.items()]))
-    else:
-        name, unit, step = parse_frequency(freq)
-        stats = base.groupBy("unique_id").agg(*[c.alias(n) for n, c in values.items()])
-        stats = stats.withColumns({"freq": F.lit(name), "freq_unit": F.lit(unit), "freq_step": F.lit(step).cast("long")})
-    # The limit on row_number is applied in every task before the shuffle: a long series sends few rows.
-    back = F.row_number().over(Window.partitionBy("unique_id").orderBy(F.desc("ds")))
-    tail = base.withColumn("__back", back).where(F.col("__back") <= season)
-    ordered = F.sort_array(F.collect_list(F.struct(-F.col("__back"), "y")))
-    season_rows = tail.groupBy("unique_id").agg(F.transform(ordered, lambda r: r["y"]).alias("last_season"))
-    return stats.join(season_rows, "unique_id")
+    stats = rows.to_frame().groupBy("unique_id").agg(*[c.alias(n) for n, c in values.items()])
+    return with_frequency(stats, freq)
 
 
 def forecast_baselines(fitted: DataFrame, horizon: int) -> DataFrame:

@@ -117,6 +117,14 @@ def name_frequency(stats: DataFrame) -> DataFrame:
     ).drop("__unit", "__step", "__weekday")
 
 
+def with_frequency(stats: DataFrame, freq: str | None) -> DataFrame:
+    """The given frequency for every series, or the one its aggregates show."""
+    if freq is None:
+        return name_frequency(stats)
+    name, unit, step = parse_frequency(freq)
+    return stats.withColumns({"freq": F.lit(name), "freq_unit": F.lit(unit), "freq_step": F.lit(step).cast("long")})
+
+
 def infer_frequency(df: DataFrame, id_col: str = "unique_id", ds_col: str = "ds", layout: str = "auto") -> DataFrame:
     """Frequency of every series from its gaps; daily when there are under three dates or no pattern."""
     rows = with_gaps(lay_out(df.select(id_col, ds_col), [id_col], [ds_col], layout), ds_col)

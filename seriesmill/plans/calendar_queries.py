@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..functions.scalars import expm1, log1p
+from ..functions.scalars import expm1, log1p, round_half_even
 from ..operators.metrics import residual
 from ..operators.split import time_series_split
 from .inputs import CUTOFF, PAIRS, PANEL, brand_panel, seasonal_pairs, table
@@ -126,6 +126,33 @@ def p22_expm1(spark, sf_dir):
     return rounded(table(spark, sf_dir, "events").select("event_id", expm1(F.col("value") / 100).alias("grown")))
 
 
+@register(
+    "p28_casts",
+    """SELECT event_id, CAST(floor(value) AS INTEGER) AS whole, CAST(event_id AS DOUBLE) AS id_number,
+    CAST(user_id AS VARCHAR) AS user_text, CAST(value > 50 AS INTEGER) AS is_large FROM events""",
+)
+def p28_casts(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        F.floor("value").cast("int").alias("whole"),
+        F.col("event_id").cast("double").alias("id_number"),
+        F.col("user_id").cast("string").alias("user_text"),
+        (F.col("value") > 50).cast("int").alias("is_large"),
+    )
+
+
+@register(
+    "p29_scalar_math",
+    """SELECT event_id, abs(value - 100) AS distance, round(sqrt(value), 6) AS root, round(value * value, 6) AS square,
+    round_even(value, 1) AS rounded FROM events""",
+)
+def p29_scalar_math(spark, sf_dir):
+    value = F.col("value")
+    out = {"distance": F.abs(value - 100), "root": F.round(F.sqrt(value), 6), "square": F.round(value * value, 6)}
+    out["rounded"] = round_half_even(value, 1)
+    return table(spark, sf_dir, "events").select("event_id", *[c.alias(n) for n, c in out.items()])
+
+
 def _register_cutoff(name, part, comparison):
     @register(name, f"SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderdate {comparison} TIMESTAMP '{CUTOFF}'")
     def run(spark, sf_dir):

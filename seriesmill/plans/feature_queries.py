@@ -323,3 +323,19 @@ def o3_rows_in_date_order(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(*_ORDERS)
     rows = lay_out(orders, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], "blocks").with_row_number("n")
     return rows.to_frame().select("o_orderkey", "n")
+
+
+# Orders of the last day of a month lose their date: they come last in their series.
+_SOME_DATES = "CASE WHEN CAST(o_orderdate AS DATE) = last_day(o_orderdate) THEN NULL ELSE o_orderdate END"
+
+
+@register(
+    "o2_missing_dates_last",
+    f"""WITH some_dates AS (SELECT o_orderkey, o_orderpriority, o_totalprice, {_SOME_DATES} AS d FROM orders)
+    SELECT o_orderkey, lag(o_totalprice) OVER (PARTITION BY o_orderpriority ORDER BY d ASC NULLS LAST, o_orderkey)
+    AS o_totalprice_lag1 FROM some_dates""",
+)
+def o2_missing_dates_last(spark, sf_dir):
+    some = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice", F.expr(_SOME_DATES).alias("d"))
+    out = add_lag_features(some, "o_totalprice", ["o_orderpriority"], [1], ["d", "o_orderkey"])
+    return out.select("o_orderkey", "o_totalprice_lag1")

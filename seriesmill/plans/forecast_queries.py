@@ -10,7 +10,7 @@ from ..forecasting.differencing import difference_polynomial, differenced
 from ..forecasting.exog import last_rows, padded_future, unknown_ids
 from ..operators.layout import lay_out
 from ..operators.metrics import evaluate_result_forecast
-from ..operators.split import time_series_split
+from ..operators.split import time_series_split, union_all
 from ..session import scratch_path
 from ..sources.artifacts import load_object, save_object
 from .inputs import (
@@ -300,6 +300,33 @@ def u4_padded_future_rows(spark, sf_dir):
     return padded_future(fitted, _future_x(spark, sf_dir), ["n_lines"], 8)
 
 
+@register(
+    "j6_aligned_regressors",
+    f"""WITH {PANEL_X} SELECT unique_id, ds, round(y, 6) AS y, n_lines FROM panel""",
+)
+def j6_aligned_regressors(spark, sf_dir):
+    """Target and regressor from two frames, aligned by series and date."""
+    lines = brand_panel_with_orders(spark, sf_dir).select("unique_id", "ds", "n_lines")
+    return rounded(brand_panel(spark, sf_dir).join(lines, ["unique_id", "ds"], "left"))
+
+
+@register(
+    "u1_forecasts_of_two_models",
+    f"""WITH {_TRAIN}, s AS (SELECT unique_id, max(ds) AS last_date, arg_max(y, ds) AS y0, list(y ORDER BY ds)[-12:] AS season
+      FROM train GROUP BY 1)
+    SELECT 'walk' AS model, unique_id, last_date + to_months(CAST(h AS INTEGER)) AS ds, round(y0, 6) AS yhat FROM s, range(1, 4) r(h)
+    UNION ALL SELECT 'seasonal walk', unique_id, last_date + to_months(CAST(h AS INTEGER)), round(season[h], 6) FROM s, range(1, 4) r(h)""",
+)
+def u1_forecasts_of_two_models(spark, sf_dir):
+    train = _train(spark, sf_dir)
+    specs = {"walk": ArimaSpec((0, 1, 0)), "seasonal walk": ArimaSpec((0, 0, 0), (0, 1, 0, 12))}
+    parts = [
+        arima.forecast(arima.fit(train, spec, freq="MS", layout=SUMMED), 3).select(F.lit(name).alias("model"), "unique_id", "ds", "yhat")
+        for name, spec in specs.items()
+    ]
+    return rounded(union_all(parts))
+
+
 @register(
     "f7_forecast_with_regressor",
     f"""WITH {_TRAIN_X}, {_PADDED}, d AS (SELECT unique_id, ds, y, n_lines, y - lag(y) {_W} AS dy,

@@ -6,6 +6,7 @@ import pytest
 
 from seriesmill.forecasting import arima
 from seriesmill.forecasting.arima import ArimaSpec
+from seriesmill.forecasting.models import ArimaModel, SarimaModel
 
 
 def to_panel(spark, series, start="2015-01-01", freq="MS", exog=None):
@@ -239,6 +240,38 @@ def test_short_and_constant_series_keep_their_rows(spark):
     assert fc[fc.unique_id == "one"].yhat.isna().all()
 
 
+def test_models_fit_predict_update(spark):
+    series = random_series(10, 60, 2)
+    first = to_panel(spark, {u: y[:50] for u, y in series.items()})
+    later = to_panel(spark, {u: y[50:] for u, y in series.items()}, "2019-03-01")
+    full = first.unionByName(later)
+
+    model = SarimaModel((1, 1, 0), (0, 0, 0, 0)).fit(first)
+    want = arima.forecast(arima.fit(full, ArimaSpec((1, 1, 0))), 3)
+    got = model.update(later).predict(3)
+    assert got.columns == ["unique_id", "ds", "yhat", "yhat_lower", "yhat_upper"]
+    pd.testing.assert_frame_equal(got.toPandas().sort_values(["unique_id", "ds"], ignore_index=True),
+                                  want.toPandas().sort_values(["unique_id", "ds"], ignore_index=True))
+    with pytest.raises(NotImplementedError):
+        model.update(later, refit=False)
+    with pytest.raises(ValueError):
+        ArimaModel().predict(1)
+
+    for order in ((1, 1, 0), (1, 1, 1)):
+        got = ArimaModel(order).fit(first).update(later).predict(2)
+        want = ArimaModel(order).fit(full).predict(2)
+        assert got.columns == ["unique_id", "ds", "yhat"]
+        np.testing.assert_allclose(
+            got.orderBy("unique_id", "ds").toPandas().yhat, want.orderBy("unique_id", "ds").toPandas().yhat, rtol=1e-7
+        )
+
+
+def test_empty_panel_gives_an_empty_forecast(spark):
+    params = arima.fit(to_panel(spark, {"a": [1.0, 2.0]}).where("y > 5"), ArimaSpec((1, 0, 0)))
+    got = arima.forecast(params, 3)
+    assert got.columns == ["unique_id", "ds", "yhat", "yhat_lower", "yhat_upper"] and got.count() == 0
+
+
 def test_spec_checks():
     with pytest.raises(ValueError):
         ArimaSpec(trend="x")

@@ -86,7 +86,7 @@ def test_time_series_features_equal_pandas(spark, monkeypatch, layout, min_perio
     mode = use(monkeypatch, layout)
     pdf = panel(1, (400, 90, 3))
     got = create_time_series_features(
-        to_spark(spark, pdf), "y", to_sort="t", to_group="g", lags=[1, 4], windows=[3, 6], weights=[0.95, 0.5, 0.1, 1.0],
+        to_spark(spark, pdf), "y", to_sort="t", to_group="g", lags=[1, 4], windows=[3, 6], weights=[0.95, 0.5, 0.01, 1.0],
         min_periods=min_periods, date_related=False, lag=True, roll=True, ewm=True,
         roll_mean=True, roll_std=True, roll_min=True, roll_max=True, layout=mode,
     ).toPandas().sort_values(["g", "t"], na_position="last").reset_index(drop=True)
@@ -94,7 +94,7 @@ def test_time_series_features_equal_pandas(spark, monkeypatch, layout, min_perio
     by = want.groupby("g")["y"]
     for k in (1, 4):
         same(got[f"sales_lag_{k}"], by.shift(k))
-        for a in (0.95, 0.5, 0.1, 1.0):
+        for a in (0.95, 0.5, 0.01, 1.0):
             same(got[f"sales_ewm_w_{a}_lag_{k}"], by.transform(lambda x: x.shift(k).ewm(alpha=a).mean()))
     for w in (3, 6):
         for agg in ("mean", "std", "min", "max"):
