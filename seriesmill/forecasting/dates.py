@@ -37,7 +37,9 @@ def parse_frequency(freq: str) -> tuple[str, str, int]:
 
 
 def _seconds(c: Column) -> Column:
-    return F.unix_timestamp(c.cast("timestamp"))
+    """Seconds since 1970 of a zone-free timestamp, whatever the session's time zone."""
+    days = F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long")
+    return days * DAY + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
 
 
 def gap_columns(w: WindowSpec, ds_col: str) -> dict[str, Column]:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar, scalars
 from ..session import materialize
 from .layout import SeriesRows, lay_out
-from .weighted import rolling_weights, weighted_mean, weighted_std
+from .weighted import enough_values, rolling_weights, weighted_mean, weighted_std
 
 Step = Callable[[WindowSpec], dict[str, Column]]
 
@@ -178,17 +178,17 @@ class _Means:
     def _steps(self) -> list[Step]:
         return [getattr(d, stage) for d in self.decays for stage in _STAGES]
 
-    def then(self, reach: int, build: Step) -> SeriesRows:
-        """Add the means and then ``build``, which looks ``reach`` rows back."""
+    def then(self, reach: int, *steps: Step) -> SeriesRows:
+        """Add the means and then ``steps``, which look ``reach`` rows back."""
         rows = self.rows.with_position(_N)
         if rows.carries_locally(self.target):
             carry = lambda w: {out: _last_known(w, value) for value, out in self.at_value.items()}
-            rows = rows.with_columns(self.reach + reach, *self._steps(), carry, build)
+            rows = rows.with_columns(self.reach + reach, *self._steps(), carry, *steps)
         else:
             # Written once: both the values to carry and the rows they are carried to are read from it.
             means = rows.with_columns(self.reach, *self._steps())
             means = means.on(materialize(means.rows.drop(*set(self.helpers) - set(self.at_value)), "means"))
-            rows = means.with_last_known(self.at_value).with_columns(reach, build)
+            rows = means.with_last_known(self.at_value).with_columns(reach, *steps)
         return rows.on(rows.rows.drop(*self.helpers, *self.at_value.values()))
 
 
@@ -303,25 +303,29 @@ def create_time_series_features(
     rows = lay_out(df, groups, order, layout)
     keyed = rows.has_key
     means = {a: f"__ewm_{i}" for i, a in enumerate(weights)} if ewm else {}
+    centres = {n: f"__centre_{n}" for n in windows} if win_type and aggs else {}
+
+    def weighted_centres(w: WindowSpec) -> dict[str, Column]:
+        return {name: weighted_mean(w, target, rolling_weights(win_type, n)) for n, name in centres.items()}
+
+    def rolled(w: WindowSpec, n: int, agg: str) -> Column:
+        if not win_type:
+            return rolling(w, keyed, target, n, agg, min_periods)
+        value = F.col(centres[n])
+        if agg == "std":
+            value = weighted_std(w, target, rolling_weights(win_type, n), centres[n])
+        return F.when(keyed & enough_values(w, target, n, min_periods), value)
 
     def build(w: WindowSpec) -> dict[str, Column]:
         out: dict[str, Column] = {}
         if lag:
             out |= lag_columns(w, keyed, target, {f"sales_lag_{k}": k for k in lags})
-        for agg in aggs:
-            for n in windows:
-                out[f"sales_roll_{agg}_{n}"] = _rolling_any(w, keyed, target, n, agg, min_periods, win_type)
+        out |= {f"sales_roll_{agg}_{n}": rolled(w, n, agg) for agg in aggs for n in windows}
         for alpha, name in means.items():
             out |= lag_columns(w, keyed, name, {f"sales_ewm_w_{alpha}_lag_{k}": k for k in lags})
         return out
 
+    steps: list[Step] = [weighted_centres, build] if centres else [build]
     reach = max([0, *(lags if lag or ewm else []), *(windows if aggs else [])])
-    done = _Means(rows, target, means).then(reach, build) if means else rows.with_columns(reach, build)
-    return done.to_frame()
-
-
-def _rolling_any(w, keyed, target, n, agg, min_periods, win_type) -> Column:
-    if not win_type:
-        return rolling(w, keyed, target, n, agg, min_periods)
-    fn = weighted_mean if agg == "mean" else weighted_std
-    return F.when(keyed, fn(w, target, rolling_weights(win_type, n), min_periods))
+    done = _Means(rows, target, means).then(reach, *steps) if means else rows.with_columns(reach, *steps)
+    return done.to_frame().drop(*centres.values())

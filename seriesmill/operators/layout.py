@@ -140,7 +140,7 @@ class SeriesRows:
                 return self.with_position(out)
             keys = [F.col(g) for g in self.groups] or [F.lit(0)]
             size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-            return self.on(self.rows.withColumn(out, size - F.row_number().over(self._window()) + 1))
+            return self.on(self.with_position(out).rows.withColumn(out, size - F.col(out) + 1))
         end = F.max if from_end else F.min
         ends = self._per_block({_CARRY: end(_POS)}).withColumn(_CARRY, end(_CARRY).over(series))
         rows = self._join_per_block(ends).withColumn(out, F.abs(F.col(_POS) - F.col(_CARRY)) + 1)

@@ -85,27 +85,24 @@ def _terms(w: WindowSpec, target: str, weights: Sequence[float]) -> list[tuple[C
     ]
 
 
-def _seen(w: WindowSpec, target: str, n: int) -> Column:
-    return F.count(target).over(w.rowsBetween(-n, -1))
+def enough_values(w: WindowSpec, target: str, window: int, min_periods: int | None) -> Column:
+    return F.count(target).over(w.rowsBetween(-window, -1)) >= (window if min_periods is None else min_periods)
 
 
-def weighted_mean(w: WindowSpec, target: str, weights: Sequence[float], min_periods: int | None = None) -> Column:
-    n = len(weights)
+def weighted_mean(w: WindowSpec, target: str, weights: Sequence[float]) -> Column:
     terms = _terms(w, target, weights)
-    mean = F.try_divide(_add([v * q for v, q in terms]), _add([q for _, q in terms]))
-    return F.when(_seen(w, target, n) >= (n if min_periods is None else min_periods), mean)
+    return F.try_divide(_add([v * q for v, q in terms]), _add([q for _, q in terms]))
 
 
-def weighted_std(w: WindowSpec, target: str, weights: Sequence[float], min_periods: int | None = None) -> Column:
-    """Root of sum(q*(v-mean)^2)/sum(q) * n/(n-1), n being the window length.
+def weighted_std(w: WindowSpec, target: str, weights: Sequence[float], mean: str) -> Column:
+    """Root of sum(q*(v-mean)^2)/sum(q) * n/(n-1), n being the window length; ``mean`` is a column.
 
     A weight belongs to a place in the window, as for the mean. (pandas' kernel for the weighted std ties
     weights to absolute row numbers instead, so that they rotate; only ``boxcar`` agrees with it.)
     """
     n = len(weights)
-    need = n if min_periods is None else min_periods
     terms = _terms(w, target, weights)
-    total = _add([q for _, q in terms])
-    mean = F.try_divide(_add([v * q for v, q in terms]), total)
-    spread = F.try_divide(_add([q * (v - mean) * (v - mean) for v, q in terms]), total)
-    return F.when(_seen(w, target, n) >= max(need, 2), F.sqrt(spread * (n / max(n - 1, 1))))
+    spread = F.try_divide(
+        _add([q * (v - F.col(mean)) * (v - F.col(mean)) for v, q in terms]), _add([q for _, q in terms])
+    )
+    return F.when(enough_values(w, target, n, 2), F.sqrt(spread * (n / max(n - 1, 1))))

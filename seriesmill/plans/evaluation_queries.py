@@ -7,7 +7,7 @@ from ..functions.scalars import log1p
 from ..operators import metrics as m
 from ..operators.cross_validation import cv_line, cv_training_mean, score_summary, time_series_cv
 from ..operators.scaling import extract_subsequences, fit_min_max, scale_min_max, unscale_min_max
-from ..operators.split import POSITION, expanding_folds, time_series_split, train_val_test_split, with_split_label
+from ..operators.split import POSITION, expanding_folds, train_val_test_split, with_split_label
 from .inputs import BRAND_MONTHS, CUTOFF, PAIRS, TOTAL_MONTHS, brand_months, seasonal_pairs, table, total_months
 from .registry import register, rounded
 
@@ -88,8 +88,7 @@ def g15_evaluate_regressor(spark, sf_dir):
     FROM monthly WHERE period < DATE '{CUTOFF}' GROUP BY p_brand""",
 )
 def g16_reference_line(spark, sf_dir):
-    train, _ = time_series_split(brand_months(spark, sf_dir), CUTOFF, "period")
-    return rounded(m.reference_line(train, "sales_amount", ["p_brand"]))
+    return rounded(m.reference_line(brand_months(spark, sf_dir, before=CUTOFF), "sales_amount", ["p_brand"]))
 
 
 @register(

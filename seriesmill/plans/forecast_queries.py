@@ -29,7 +29,7 @@ def _in_millions(panel):
 
 
 def _train(spark, sf_dir):
-    return time_series_split(_in_millions(brand_panel(spark, sf_dir)), CUTOFF)[0]
+    return _in_millions(brand_panel(spark, sf_dir, before=CUTOFF))
 
 
 _TRAIN = f"{PANEL}, train AS (SELECT unique_id, ds, y / 1e6 AS y FROM panel WHERE ds < {_CUT})"
@@ -132,7 +132,7 @@ _BASE_FORECAST = """fc AS (SELECT unique_id, last_date + to_months(CAST(i AS INT
     round(naive, 6) AS naive, round(seasonal_naive, 6) AS seasonal_naive, round(drift, 6) AS drift FROM fc""",
 )
 def f13_baselines(spark, sf_dir):
-    return rounded(forecast_baselines(fit_baselines(_train(spark, sf_dir), freq="MS"), 12))
+    return rounded(forecast_baselines(fit_baselines(_train(spark, sf_dir), freq="MS", layout=SUMMED), 12))
 
 
 @register(
@@ -143,9 +143,8 @@ def f13_baselines(spark, sf_dir):
 )
 def f13_scored_seasonal_naive(spark, sf_dir):
     """Split at the cutoff, forecast the test months, score them."""
-    train, test = time_series_split(_in_millions(brand_panel(spark, sf_dir)), CUTOFF)
-    forecasts = forecast_baselines(fit_baselines(train, freq="MS"), 12)
-    scored = test.join(forecasts, ["unique_id", "ds"])
+    forecasts = forecast_baselines(fit_baselines(_train(spark, sf_dir), freq="MS", layout=SUMMED), 12)
+    scored = _later(spark, sf_dir).join(forecasts, ["unique_id", "ds"])
     return rounded(evaluate_result_forecast(scored, "y", "seasonal_naive"))
 
 
@@ -177,7 +176,7 @@ def _ar1_columns(params):
 
 
 def _later(spark, sf_dir):
-    return time_series_split(_in_millions(brand_panel(spark, sf_dir)), CUTOFF)[1]
+    return _in_millions(brand_panel(spark, sf_dir, since=CUTOFF))
 
 
 @register("f2_ar1_parameters", f"WITH {_TRAIN}, {_ar1_sql('train')} {_AR1_PARAMS}")
@@ -269,8 +268,8 @@ _TRAIN_X = f"""{PANEL_X}, train AS (SELECT unique_id, ds, y / 1e6 AS y, n_lines
 
 def _future_x(spark, sf_dir):
     """Regressor rows after the cutoff, with months left out, so that forecasts must repeat the last row."""
-    panel = brand_panel_with_orders(spark, sf_dir)
-    return time_series_split(panel, CUTOFF)[1].where(F.month("ds").between(7, 10)).select("unique_id", "ds", "n_lines")
+    later = brand_panel_with_orders(spark, sf_dir, since=CUTOFF)
+    return later.where(F.month("ds").between(7, 10)).select("unique_id", "ds", "n_lines")
 
 
 _FIRST_X = """nth AS (SELECT *, row_number() OVER (PARTITION BY unique_id ORDER BY ds) AS step FROM given)"""
@@ -282,7 +281,7 @@ _FIRST_X = """nth AS (SELECT *, row_number() OVER (PARTITION BY unique_id ORDER
     AND unique_id IN (SELECT unique_id FROM train)""",
 )
 def j4_o4_future_rows(spark, sf_dir):
-    fitted = time_series_split(brand_panel_with_orders(spark, sf_dir), CUTOFF)[0].select("unique_id").distinct()
+    fitted = brand_panel(spark, sf_dir, before=CUTOFF).select("unique_id").distinct()
     return padded_future(fitted, _future_x(spark, sf_dir), ["n_lines"], 3)
 
 
@@ -296,7 +295,7 @@ _PADDED = f"""{_FIRST_X}, ends AS (SELECT unique_id, max(step) AS last_step FROM
     f"WITH {_TRAIN_X}, {_PADDED} SELECT unique_id, CAST(step AS INTEGER) AS step, n_lines FROM padded",
 )
 def u4_padded_future_rows(spark, sf_dir):
-    fitted = time_series_split(brand_panel_with_orders(spark, sf_dir), CUTOFF)[0].select("unique_id").distinct()
+    fitted = brand_panel(spark, sf_dir, before=CUTOFF).select("unique_id").distinct()
     return padded_future(fitted, _future_x(spark, sf_dir), ["n_lines"], 8)
 
 
@@ -340,7 +339,7 @@ def u1_forecasts_of_two_models(spark, sf_dir):
     FROM padded JOIN b USING (unique_id) JOIN s USING (unique_id)""",
 )
 def f7_forecast_with_regressor(spark, sf_dir):
-    train, _ = time_series_split(_in_millions(brand_panel_with_orders(spark, sf_dir)), CUTOFF)
+    train = _in_millions(brand_panel_with_orders(spark, sf_dir, before=CUTOFF))
     params = arima.fit(train, ArimaSpec((0, 1, 0), exog_cols=("n_lines",)), freq="MS", layout=SUMMED)
     return rounded(arima.forecast(params, 8, _future_x(spark, sf_dir)))
 
@@ -375,9 +374,8 @@ def j5_unknown_ids(spark, sf_dir):
 )
 def u3_append_history(spark, sf_dir):
     """New rows overlap the history by a month; both copies stay."""
-    panel = brand_panel(spark, sf_dir)
-    history, _ = time_series_split(panel, CUTOFF)
-    _, new_rows = time_series_split(panel, "2000-06-01")
+    history = brand_panel(spark, sf_dir, before=CUTOFF)
+    new_rows = brand_panel(spark, sf_dir, since="2000-06-01")
     return arima.append_history(history, new_rows).groupBy("ds").agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregate import aggregate_sales
 from ..operators.enrich import enrich_product_transaction
+from ..operators.split import time_series_split
 
-CUTOFF = "2000-07-01"
+CUTOFF = "2000-07-01"  # first day of a month, so that a cut of the fact is a cut of the months
 PROMOTION_LEFT_OUT = 7
 
 
@@ -16,10 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per sold line: order_date, sales_amount, product_id, customer_id, promotion_id."""
+def sales_fact(spark: SparkSession, sf_dir: str, since: str | None = None, before: str | None = None) -> DataFrame:
+    """One row per sold line: order_date, sales_amount, product_id, customer_id, promotion_id.
+
+    ``since`` and ``before`` bound the order date in the scan of the orders.
+    """
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
+    if since:
+        orders = time_series_split(orders, since, "o_orderdate")[1]
+    if before:
+        orders = time_series_split(orders, before, "o_orderdate")[0]
     amount = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.col("o_orderdate").alias("order_date"),
@@ -59,14 +67,14 @@ PROMO = f"""promo AS (
   FROM lineitem WHERE CAST(round(l_discount * 100) AS INTEGER) <> {PROMOTION_LEFT_OUT})"""
 
 
-def sales_by(spark: SparkSession, sf_dir: str, groups: list[str], freq: str = "M") -> DataFrame:
-    enriched = enrich_product_transaction(sales_fact(spark, sf_dir), product_dim(spark, sf_dir))
+def sales_by(spark: SparkSession, sf_dir: str, groups: list[str], freq: str = "M", **dates: str) -> DataFrame:
+    enriched = enrich_product_transaction(sales_fact(spark, sf_dir, **dates), product_dim(spark, sf_dir))
     return aggregate_sales(enriched, "sales_amount", groups, freq)
 
 
-def brand_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+def brand_months(spark: SparkSession, sf_dir: str, **dates: str) -> DataFrame:
     """Monthly sales per brand: p_brand, period, sales_amount, yearmonth."""
-    return sales_by(spark, sf_dir, ["p_brand"])
+    return sales_by(spark, sf_dir, ["p_brand"], **dates)
 
 
 def part_months(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,9 +104,9 @@ TOTAL_MONTHS = f"""{FACT}, total AS (
   FROM fact GROUP BY ALL)"""
 
 
-def brand_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def brand_panel(spark: SparkSession, sf_dir: str, **dates: str) -> DataFrame:
     """unique_id, ds, y of the monthly brand sales."""
-    return brand_months(spark, sf_dir).select(
+    return brand_months(spark, sf_dir, **dates).select(
         F.col("p_brand").alias("unique_id"), F.col("period").cast("timestamp_ntz").alias("ds"), F.col("sales_amount").alias("y")
     )
 
@@ -107,9 +115,9 @@ PANEL = f"""{BRAND_MONTHS}, panel AS (
   SELECT p_brand AS unique_id, CAST(period AS TIMESTAMP) AS ds, sales_amount AS y FROM monthly)"""
 
 
-def brand_panel_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def brand_panel_with_orders(spark: SparkSession, sf_dir: str, **dates: str) -> DataFrame:
     """The brand panel with one regressor: the number of lines sold."""
-    enriched = enrich_product_transaction(sales_fact(spark, sf_dir), product_dim(spark, sf_dir))
+    enriched = enrich_product_transaction(sales_fact(spark, sf_dir, **dates), product_dim(spark, sf_dir))
     month = F.date_trunc("month", "order_date").cast("timestamp_ntz")
     return enriched.groupBy(F.col("p_brand").alias("unique_id"), month.alias("ds")).agg(
         F.sum("sales_amount").cast("double").alias("y"), F.count(F.lit(1)).cast("double").alias("n_lines")

@@ -4,12 +4,11 @@ import numpy as np
 import pandas as pd
 import pytest
 from pandas._libs.window.aggregations import roll_weighted_mean, roll_weighted_var
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from seriesmill.operators.features import create_time_series_features, prepare_features
 from seriesmill.operators.layout import lay_out, number_rows
-from seriesmill.operators.weighted import WINDOWS, rolling_weights, weighted_mean, weighted_std
+from seriesmill.operators.weighted import WINDOWS, rolling_weights
 
 
 def panel(seed=0, lengths=(120, 40, 7, 1), missing=0.2):
@@ -126,10 +125,11 @@ def test_weighted_rolling_equals_pandas_kernels(spark, win_type, min_periods):
     pdf = panel(2, (60,))[lambda d: d.g.notna()]
     n = 5
     weights = rolling_weights(win_type, n)
-    w = Window.partitionBy("g").orderBy("t")
-    got = to_spark(spark, pdf).select(
-        "t", weighted_mean(w, "y", weights, min_periods).alias("m"), weighted_std(w, "y", weights, min_periods).alias("s")
+    got = create_time_series_features(
+        to_spark(spark, pdf), "y", "t", "g", windows=[n], min_periods=min_periods, win_type=win_type, date_related=False,
+        roll=True, roll_mean=True, roll_std=True, layout="whole",
     ).toPandas().sort_values("t")
+    got = got.rename(columns={f"sales_roll_mean_{n}": "m", f"sales_roll_std_{n}": "s"})
     shifted = pdf.y.shift(1).to_numpy()
     minp = n if min_periods is None else min_periods
     same(got.m, pd.Series(np.asarray(roll_weighted_mean(shifted, np.array(weights), minp))))

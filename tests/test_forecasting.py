@@ -48,6 +48,15 @@ def test_frequencies_and_next_dates(spark):
         assert by_id[u] == list(pd.date_range(ds[-1], periods=5, freq=u)[1:]), u
 
 
+def test_frequencies_do_not_depend_on_the_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        days = {"D": pd.date_range("2021-03-10", periods=8), "W-SUN": pd.date_range("2021-03-07", periods=4, freq="W-SUN")}
+        assert {r.unique_id: r.freq for r in infer_frequency(dated(spark, days)).collect()} == {"D": "D", "W-SUN": "W-SUN"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_irregular_and_short_series_count_as_daily(spark):
     odd = {"gap": pd.to_datetime(["2021-01-01", "2021-02-01", "2021-04-01"]), "two": pd.to_datetime(["2021-01-01", "2021-02-01"])}
     assert {r.unique_id: r.freq for r in infer_frequency(dated(spark, odd)).collect()} == {"gap": "D", "two": "D"}
