@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import aggregate_sales
@@ -28,7 +28,7 @@ def sales_fact(spark: SparkSession, sf_dir: str, since: str | None = None, befor
         orders = time_series_split(orders, since, "o_orderdate")[1]
     if before:
         orders = time_series_split(orders, before, "o_orderdate")[0]
-    amount = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")
+    amount = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.col("o_orderdate").alias("order_date"),
         amount.alias("sales_amount"),
@@ -39,7 +39,8 @@ def sales_fact(spark: SparkSession, sf_dir: str, since: str | None = None, befor
 
 
 FACT = """fact AS (
-  SELECT o_orderdate AS order_date, CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4)) AS sales_amount,
+  SELECT o_orderdate AS order_date, l_extendedprice * (1 - l_discount) AS amount,
+         CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4)) AS sales_amount,
          l_partkey AS product_id, o_custkey AS customer_id, CAST(round(l_discount * 100) AS INTEGER) AS promotion_id
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
@@ -67,9 +68,19 @@ PROMO = f"""promo AS (
   FROM lineitem WHERE CAST(round(l_discount * 100) AS INTEGER) <> {PROMOTION_LEFT_OUT})"""
 
 
+def four_decimals(total: str) -> Column:
+    """A sum of amounts with four decimals, without what the order of the additions leaves in the last bits."""
+    return F.rint(F.col(total) * 1e4) / 1e4
+
+
+def summed_sales(fact: DataFrame, groups: list[str] | None, freq: str = "M") -> DataFrame:
+    sums = aggregate_sales(fact, "sales_amount", groups, freq)
+    return sums.withColumn("sales_amount", four_decimals("sales_amount"))
+
+
 def sales_by(spark: SparkSession, sf_dir: str, groups: list[str], freq: str = "M", **dates: str) -> DataFrame:
     enriched = enrich_product_transaction(sales_fact(spark, sf_dir, **dates), product_dim(spark, sf_dir))
-    return aggregate_sales(enriched, "sales_amount", groups, freq)
+    return summed_sales(enriched, groups, freq)
 
 
 def brand_months(spark: SparkSession, sf_dir: str, **dates: str) -> DataFrame:
@@ -79,7 +90,7 @@ def brand_months(spark: SparkSession, sf_dir: str, **dates: str) -> DataFrame:
 
 def part_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly sales per product; most series have gaps."""
-    return aggregate_sales(sales_fact(spark, sf_dir), "sales_amount", ["product_id"])
+    return summed_sales(sales_fact(spark, sf_dir), ["product_id"])
 
 
 BRAND_MONTHS = f"""{FACT}, monthly AS (
@@ -95,7 +106,7 @@ PART_MONTHS = f"""{FACT}, part_monthly AS (
 
 def total_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One series: total sales per month."""
-    return aggregate_sales(sales_fact(spark, sf_dir), "sales_amount", None)
+    return summed_sales(sales_fact(spark, sf_dir), None)
 
 
 TOTAL_MONTHS = f"""{FACT}, total AS (
@@ -119,9 +130,10 @@ def brand_panel_with_orders(spark: SparkSession, sf_dir: str, **dates: str) -> D
     """The brand panel with one regressor: the number of lines sold."""
     enriched = enrich_product_transaction(sales_fact(spark, sf_dir, **dates), product_dim(spark, sf_dir))
     month = F.date_trunc("month", "order_date").cast("timestamp_ntz")
-    return enriched.groupBy(F.col("p_brand").alias("unique_id"), month.alias("ds")).agg(
-        F.sum("sales_amount").cast("double").alias("y"), F.count(F.lit(1)).cast("double").alias("n_lines")
+    sums = enriched.groupBy(F.col("p_brand").alias("unique_id"), month.alias("ds")).agg(
+        F.sum("sales_amount").alias("y"), F.count(F.lit(1)).cast("double").alias("n_lines")
     )
+    return sums.withColumn("y", four_decimals("y"))
 
 
 PANEL_X = f"""{FACT}, panel AS (

@@ -6,25 +6,20 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from ..functions.calendar import ensure_datetime
-from ..operators.aggregate import aggregate_sales
 from ..operators.enrich import enrich_product_customer, enrich_product_promotion, enrich_product_transaction
 from ..session import scratch_path
 from ..sources.artifacts import load_model, load_object, save_object
 from ..sources.readers import get_loader, preview, read_csv
 from .inputs import (
-    BRAND_MONTHS, FACT, PART_MONTHS, PROMO, TOTAL_MONTHS, brand_months, customer_dim, part_months, product_dim,
-    promo_dim, sales_by, sales_fact, table, total_months,
+    BRAND_MONTHS, FACT, PART_MONTHS, PROMO, TOTAL_MONTHS, brand_months, customer_dim, four_decimals, part_months,
+    product_dim, promo_dim, sales_by, sales_fact, summed_sales, table, total_months,
 )
 from .registry import register, rounded
 
 
-def _amount_as_double(df):
-    return df.withColumn("sales_amount", F.col("sales_amount").cast("double"))
-
-
 @register(
     "s1_csv_scan",
-    f"""WITH {FACT} SELECT order_date, CAST(sales_amount AS DOUBLE) AS sales_amount, product_id, customer_id,
+    f"""WITH {FACT} SELECT order_date, amount AS sales_amount, product_id, customer_id,
     CAST(promotion_id AS BIGINT) AS promotion_id FROM fact""",
 )
 def s1_csv_scan(spark, sf_dir):
@@ -92,29 +87,29 @@ def s7_s8_model_round_trip(spark, sf_dir):
 
 @register(
     "j1_sales_with_product",
-    f"""WITH {FACT} SELECT order_date, CAST(sales_amount AS DOUBLE) AS sales_amount, product_id, customer_id, promotion_id,
+    f"""WITH {FACT} SELECT order_date, amount AS sales_amount, product_id, customer_id, promotion_id,
     p_brand, p_type FROM fact LEFT JOIN part ON product_id = p_partkey""",
 )
 def j1_sales_with_product(spark, sf_dir):
-    return _amount_as_double(enrich_product_transaction(sales_fact(spark, sf_dir), product_dim(spark, sf_dir)))
+    return enrich_product_transaction(sales_fact(spark, sf_dir), product_dim(spark, sf_dir))
 
 
 @register(
     "j2_sales_with_customer",
-    f"""WITH {FACT} SELECT order_date, CAST(sales_amount AS DOUBLE) AS sales_amount, product_id, customer_id, promotion_id,
+    f"""WITH {FACT} SELECT order_date, amount AS sales_amount, product_id, customer_id, promotion_id,
     c_mktsegment, c_nationkey FROM fact LEFT JOIN customer ON customer_id = c_custkey""",
 )
 def j2_sales_with_customer(spark, sf_dir):
-    return _amount_as_double(enrich_product_customer(sales_fact(spark, sf_dir), customer_dim(spark, sf_dir)))
+    return enrich_product_customer(sales_fact(spark, sf_dir), customer_dim(spark, sf_dir))
 
 
 @register(
     "j3_sales_with_promotion",
-    f"""WITH {FACT}, {PROMO} SELECT order_date, CAST(sales_amount AS DOUBLE) AS sales_amount, product_id, customer_id,
+    f"""WITH {FACT}, {PROMO} SELECT order_date, amount AS sales_amount, product_id, customer_id,
     fact.promotion_id, promo_name, promo_class FROM fact LEFT JOIN promo ON fact.promotion_id = promo.promotion_id""",
 )
 def j3_sales_with_promotion(spark, sf_dir):
-    return _amount_as_double(enrich_product_promotion(sales_fact(spark, sf_dir), promo_dim(spark, sf_dir)))
+    return enrich_product_promotion(sales_fact(spark, sf_dir), promo_dim(spark, sf_dir))
 
 
 @register(
@@ -129,8 +124,8 @@ def j3_missing_promotion_matches_missing(spark, sf_dir):
     fact, promo = sales_fact(spark, sf_dir).withColumns(no_zero), promo_dim(spark, sf_dir).withColumns(no_zero)
     joined = enrich_product_promotion(fact, promo)
     return joined.groupBy("promo_name").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("sales_amount").cast("double").alias("sales_amount")
-    )
+        F.count(F.lit(1)).alias("lines"), F.sum("sales_amount").alias("sales_amount")
+    ).withColumn("sales_amount", four_decimals("sales_amount"))
 
 
 # --- sums -----------------------------------------------------------------------------------------
@@ -186,7 +181,7 @@ def g4_total_monthly_sales(spark, sf_dir):
     FROM fact GROUP BY ALL""",
 )
 def g5_week_label(spark, sf_dir):
-    return rounded(aggregate_sales(sales_fact(spark, sf_dir), freq="W"))
+    return rounded(summed_sales(sales_fact(spark, sf_dir), None, "W"))
 
 
 @register("g6_first_year", "SELECT CAST(min(year(o_orderdate)) AS INTEGER) AS first_year FROM orders")
