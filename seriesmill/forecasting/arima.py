@@ -14,7 +14,7 @@ k x k solve per series runs in Python. Forecasts, intervals and updates use the
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 from functools import reduce
 from statistics import NormalDist
@@ -350,11 +350,19 @@ def _shock_part(spec: ArimaSpec, i: int) -> Column:
     return reduce(lambda a, b: a + b, terms, F.lit(0.0))
 
 
-def _trend_part(spec: ArimaSpec, i: int) -> Column:
+def _trend_part(spec: ArimaSpec, i: Column) -> Column:
     at = [F.lit(1.0) if term == "const" else (F.col("n_obs") + i).cast("double") for term in spec.trend_terms]
     return _dot(F.col("trend_coef"), at)
 
 
+def _padded(values: list[Column], steps: int, rest: Callable[[Column], Column]) -> Column:
+    """``rest(i)`` for i = 1..steps, plus the ``i``-th of ``values`` where there is one."""
+    known = F.array(*values) if values else _no_values()
+    return F.transform(
+        F.sequence(F.lit(1), F.lit(steps)), lambda i: rest(i) + F.coalesce(F.get(known, i - 1), F.lit(0.0))
+    )
+
+
 def forecast(
     params: DataFrame,
     horizon: int,
@@ -381,33 +389,41 @@ def forecast(
     if freq is not None:
         table = with_frequency(table, freq)
 
-    lags = spec.recursion_lags
-    inputs = F.array(*[_trend_part(spec, i) + _shock_part(spec, i) for i in range(1, horizon + 1)])
+    lags, last_ma = spec.recursion_lags, max(spec.ma_lags, default=0)
+    shocks = [_shock_part(spec, i) for i in range(1, min(horizon, last_ma) + 1)]
+    inputs = _padded(shocks, horizon, lambda i: _trend_part(spec, i))
     impulse = F.array(*[F.lit(1.0)] + [F.lit(0.0)] * max(lags - 1, 0))
-    responses = [
-        F.get("ma", F.lit(spec.ma_lags.index(i))) if i in spec.ma_lags else F.lit(0.0) for i in range(1, horizon)
-    ]
-    psi = _run(F.col("__w"), impulse, F.array(*responses), lags, horizon - 1) if horizon > 1 else _no_values()
+    responses = [F.get("ma", F.lit(spec.ma_lags.index(i))) if i in spec.ma_lags else F.lit(0.0) for i in range(1, last_ma + 1)]
+    gains = F.array(F.lit(1.0))
+    if horizon > 1:
+        echoes = _padded(responses, horizon - 1, lambda _: F.lit(0.0))
+        gains = F.concat(gains, _run(F.col("__w"), impulse, echoes, lags, horizon - 1))
     long_enough = F.size("y_tail") >= lags
-    table = table.withColumn("__w", _recursion_weights(spec)).withColumns(
+    paths = table.withColumn("__w", _recursion_weights(spec)).withColumns(
         {
             "__mean": F.when(long_enough, _run(F.col("__w"), F.col("y_tail"), inputs, lags, horizon)),
-            "__psi": F.concat(F.array(F.lit(1.0)), psi),
+            "__psi": gains,
         }
     )
-    steps = table.withColumn("__i", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-    gain = F.aggregate(F.slice("__psi", F.lit(1), F.col("__i")), F.lit(0.0), lambda s, v: s + v * v)
-    half = NormalDist().inv_cdf(1 - alpha / 2) * F.sqrt(F.col("sigma2") * gain)
-    yhat = F.get("__mean", F.col("__i") - 1)
-    if spec.exog_cols:
-        row = F.element_at("x_future", F.least(F.col("__i"), F.size("x_future")))
-        yhat = yhat + _dot(F.col("beta"), [row[i] for i in range(len(spec.exog_cols))])
+    z = NormalDist().inv_cdf(1 - alpha / 2)
+
+    def step(i: Column) -> Column:
+        gain = F.aggregate(F.slice("__psi", F.lit(1), i), F.lit(0.0), lambda s, v: s + v * v)
+        yhat = F.get("__mean", i - 1)
+        if spec.exog_cols:
+            row = F.element_at("x_future", F.least(i, F.size("x_future")))
+            yhat = yhat + _dot(F.col("beta"), [row[k] for k in range(len(spec.exog_cols))])
+        return F.struct(
+            future_date(F.col("last_date"), F.col("freq_unit"), F.col("freq_step"), i).alias("ds"),
+            yhat.alias("yhat"),
+            (z * F.sqrt(F.col("sigma2") * gain)).alias("half"),
+        )
+
+    # One struct per step before the rows are multiplied, so that no array is copied into every row.
+    steps = paths.select(ID, F.explode(F.transform(F.sequence(F.lit(1), F.lit(horizon)), step)).alias("__s"))
+    yhat, half = F.col("__s.yhat"), F.col("__s.half")
     return steps.select(
-        ID,
-        future_date(F.col("last_date"), F.col("freq_unit"), F.col("freq_step"), F.col("__i")).alias("ds"),
-        yhat.alias("yhat"),
-        (yhat - half).alias("yhat_lower"),
-        (yhat + half).alias("yhat_upper"),
+        ID, "__s.ds", "__s.yhat", (yhat - half).alias("yhat_lower"), (yhat + half).alias("yhat_upper")
     )
 
 

@@ -24,12 +24,14 @@ class _PanelModel:
         y_col: str = "y",
         ds_col: str = "ds",
         exog_cols: Sequence[str] | None = None,
+        fh: int | None = None,
         freq: str | None = None,
         layout: str = "auto",
     ):
-        """Fit one model per series. ``freq`` overrides the inferred frequency."""
+        """Fit one model per series. ``fh`` is the horizon of ``predict`` calls that give none; ``freq``
+        overrides the inferred frequency."""
         spec = ArimaSpec(self.order, self.seasonal_order, self.trend, tuple(exog_cols or ()))
-        self._columns, self._freq, self._layout = (id_col, y_col, ds_col), freq, layout
+        self._columns, self._horizon, self._freq, self._layout = (id_col, y_col, ds_col), fh, freq, layout
         self.history = df.select(id_col, y_col, ds_col, *spec.exog_cols)
         self.params = arima.fit(self.history, spec, id_col, y_col, ds_col, freq, layout)
         return self
@@ -39,9 +41,12 @@ class _PanelModel:
             raise ValueError("the model has not been fitted yet")
         return self.params
 
-    def _forecast(self, horizon: int, X: DataFrame | None, alpha: float) -> DataFrame:
-        id_col, _, ds_col = self._columns
-        return arima.forecast(self._fitted(), horizon, X, alpha, id_col, ds_col)
+    def _forecast(self, horizon: int | None, X: DataFrame | None, alpha: float, id_col=None, ds_col=None) -> DataFrame:
+        params = self._fitted()
+        horizon = horizon or self._horizon
+        if not horizon:
+            raise ValueError("predict needs a horizon, here or as fh in fit")
+        return arima.forecast(params, horizon, X, alpha, id_col or self._columns[0], ds_col or self._columns[2])
 
     def _refit(self, df: DataFrame) -> None:
         self.params, self.history = arima.refit(
@@ -55,7 +60,7 @@ class ArimaModel(_PanelModel):
     def __init__(self, order: tuple = (1, 1, 1), seasonal_order: tuple = (0, 0, 0, 0), trend: str | None = "c"):
         super().__init__(order, seasonal_order, trend)
 
-    def predict(self, horizon: int, X: DataFrame | None = None) -> DataFrame:
+    def predict(self, horizon: int | None = None, X: DataFrame | None = None) -> DataFrame:
         return self._forecast(horizon, X, 0.05).select("unique_id", "ds", "yhat")
 
     def update(self, df: DataFrame, update_params: bool = True):
@@ -76,8 +81,15 @@ class SarimaModel(_PanelModel):
     def __init__(self, order: tuple = (1, 1, 1), seasonal_order: tuple = (1, 1, 1, 12), trend: str | None = None):
         super().__init__(order, seasonal_order, trend)
 
-    def predict(self, horizon: int, X: DataFrame | None = None, alpha: float = 0.05) -> DataFrame:
-        return self._forecast(horizon, X, alpha)
+    def predict(
+        self,
+        horizon: int | None = None,
+        X: DataFrame | None = None,
+        id_col: str | None = None,
+        ds_col: str | None = None,
+        alpha: float = 0.05,
+    ) -> DataFrame:
+        return self._forecast(horizon, X, alpha, id_col, ds_col)
 
     def update(self, df: DataFrame, refit: bool = True):
         """Append observations and fit again the series they belong to."""

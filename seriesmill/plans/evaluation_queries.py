@@ -8,6 +8,7 @@ from ..operators import metrics as m
 from ..operators.cross_validation import cv_line, cv_training_mean, score_summary, time_series_cv
 from ..operators.scaling import extract_subsequences, fit_min_max, scale_min_max, unscale_min_max
 from ..operators.split import POSITION, expanding_folds, train_val_test_split, with_split_label
+from ..session import materialize
 from .inputs import BRAND_MONTHS, CUTOFF, PAIRS, TOTAL_MONTHS, brand_months, seasonal_pairs, table, total_months
 from .registry import register, rounded
 
@@ -99,7 +100,8 @@ def g16_reference_line(spark, sf_dir):
     SELECT bin, round(lo + bin * width, 4) AS bin_start, rows, round(rows / (n * width) * 1e6, 6) AS density_per_million FROM c, b""",
 )
 def g17_residual_distribution(spark, sf_dir):
-    bins = m.residual_distribution(seasonal_pairs(spark, sf_dir), "actual", "forecast", 20)
+    pairs = materialize(seasonal_pairs(spark, sf_dir), "pairs")  # read for the range and for the counts
+    bins = m.residual_distribution(pairs, "actual", "forecast", 20)
     return rounded(
         bins.select("bin", "bin_start", "rows", (F.col("density") * 1e6).alias("density_per_million")), 6, bin_start=4
     )

@@ -8,7 +8,7 @@ def spark():
     session = build_session(
         "seriesmill-tests",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.driver.host": "localhost"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g", "spark.driver.host": "localhost"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

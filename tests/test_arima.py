@@ -258,7 +258,7 @@ def test_models_fit_predict_update(spark):
         ArimaModel().predict(1)
 
     for order in ((1, 1, 0), (1, 1, 1)):
-        got = ArimaModel(order).fit(first).update(later).predict(2)
+        got = ArimaModel(order).fit(first, fh=2).update(later).predict()
         want = ArimaModel(order).fit(full).predict(2)
         assert got.columns == ["unique_id", "ds", "yhat"]
         np.testing.assert_allclose(

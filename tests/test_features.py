@@ -194,3 +194,30 @@ def test_min_periods_above_window_raises(spark):
     df = spark.createDataFrame([("a", 1, 1.0)], "g string, t int, y double")
     with pytest.raises(ValueError):
         create_time_series_features(df, "y", "t", "g", windows=[2], min_periods=3, date_related=False, roll=True, roll_mean=True)
+
+
+def test_blocks_bound_the_rows_of_a_task(spark):
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', concat('s', id)) AS g", "id AS t")
+    rows = lay_out(df, ["g"], ["t"], "blocks", 100)
+    copies = rows._with_reach(100, 10)
+    assert copies.groupBy("__block", "g").count().agg({"count": "max"}).first()[0] <= 110
+    assert copies.where("__own").count() == 3000
+    numbered = rows.with_row_number("n").with_row_number("back", from_end=True).to_frame()
+    hot = numbered.where("g = 'hot'").orderBy("t").toPandas()
+    assert hot.n.tolist() == list(range(1, 1001)) and hot.back.tolist() == list(range(1000, 0, -1))
+
+
+def test_results_do_not_depend_on_the_number_of_partitions(spark):
+    pdf = panel(5, (80, 30))
+    results = []
+    for partitions in ("1", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        for layout in ("whole", "blocks"):
+            out = create_time_series_features(
+                to_spark(spark, pdf).repartition(int(partitions)), "y", "t", "g", lags=[2], windows=[4], weights=[0.3],
+                min_periods=1, date_related=False, lag=True, roll=True, ewm=True, roll_mean=True, roll_std=True, layout=layout,
+            )
+            results.append(out.toPandas().sort_values(["g", "t"], na_position="last", ignore_index=True))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for other in results[1:]:
+        pd.testing.assert_frame_equal(results[0], other, rtol=1e-12)
