@@ -34,7 +34,9 @@ def divide(num: Column, den: Column) -> Column:
 
 
 def round_half_even(c: str | Column, digits: int) -> Column:
-    return F.bround(as_column(c), digits)
+    """Scaled to whole numbers, rounded half to even and scaled back, as NumPy does."""
+    scale = 10.0**digits
+    return F.rint(as_column(c).cast("double") * scale) / scale
 
 
 def log1p(c: str | Column) -> Column:
