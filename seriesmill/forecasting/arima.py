@@ -453,6 +453,7 @@ def refit(
     layout: str = "auto",
 ) -> tuple[DataFrame, DataFrame]:
     """Append new observations and fit again the series they touch. Returns (params, history)."""
+    new_rows = materialize(new_rows.select(*history.columns), "new-rows")  # read several times below
     check_known(new_rows, params, id_col)
     longer = append_history(history, new_rows)
     touched = new_rows.select(id_col).distinct()
@@ -479,8 +480,8 @@ def update_incremental(
     spec = spec_of(params)
     if update_params and (spec.ma_lags or spec.exog_cols):
         raise NotImplementedError("coefficients with moving-average terms or regressors need a refit")
-    check_known(new_rows, params, id_col)
-    new = _panel(new_rows, spec, id_col, y_col, ds_col)
+    new = materialize(_panel(new_rows, spec, id_col, y_col, ds_col), "new-rows")  # read several times below
+    check_known(new, params)
     state = params.select(ID, "last_date", "n_obs", "beta", "centre", "long_ar", "y_tail")
     state = state.join(new.select(ID).distinct(), ID, "left_semi")
 
@@ -491,7 +492,10 @@ def update_incremental(
     )
     fresh = _with_adjusted(new.join(state.select(ID, "beta"), ID), spec)
     fresh = fresh.select(ID, "ds", "y", "adjusted", F.lit(0).alias("__age"))
-    rows = lay_out(materialize(old.unionByName(fresh), "update"), [ID], ["__age", "ds", "y"], layout)
+    both = old.unionByName(fresh)
+    if layout == "auto":  # counted first, then read
+        both = materialize(both, "update")
+    rows = lay_out(both, [ID], ["__age", "ds", "y"], layout)
     if "slope" in spec.trend_terms:
         rows = rows.with_row_number("__t")
     rows = _join_table(rows, state.select(ID, "n_obs", "centre", "long_ar", F.size("y_tail").alias("__kept")))

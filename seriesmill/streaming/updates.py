@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from ..forecasting.arima import update_incremental
-from ..session import materialize
 
 
 def _version_path(folder: str, version: int) -> str:
@@ -45,8 +44,7 @@ def update_from_stream(
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = spark.read.parquet(_version_path(folder, batch_id))
-        rows = materialize(batch.select(id_col, ds_col, y_col), "batch")
-        after = update_incremental(before, rows, id_col, y_col, ds_col, update_params)
+        after = update_incremental(before, batch, id_col, y_col, ds_col, update_params)
         publish(folder, after, batch_id + 1)
 
     return stream.writeStream.outputMode("append").foreachBatch(apply)
