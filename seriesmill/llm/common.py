@@ -49,3 +49,17 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """UTF-8 bytes of a text column, empty where null."""
     column = batch.column(name)
     return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
+
+
+BROADCAST_BYTES = 32 << 20
+
+
+def mark_ids(df: DataFrame, ids: DataFrame, flag: str) -> DataFrame:
+    """Add a boolean column: whether the row's doc_id is among ``ids`` (one column doc_id, distinct).
+
+    The ids are broadcast where their measured number takes less than BROADCAST_BYTES, else both sides are shuffled.
+    """
+    found = ids.withColumn(flag, F.lit(True))
+    if ids.count() * 64 <= BROADCAST_BYTES:
+        found = F.broadcast(found)
+    return df.join(found, "doc_id", "left").withColumn(flag, F.coalesce(q(flag), F.lit(False)))
