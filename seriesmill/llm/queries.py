@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, licenses, packing, quality, simhash, token_output
+from . import ann, language, licenses, packing, quality, simhash, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": token_output.op1,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": language.op4,
     "op8_packing": packing.op8,
     "op9_quality_rules": quality.op9,
+    "op10_nearest_neighbours": ann.op10,
 }
 
 #: DuckDB statements for the results that SQL can express.
