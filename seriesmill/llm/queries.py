@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, language, licenses, packing, quality, repeats, simhash, token_output
+from . import ann, language, licenses, packing, quality, repeats, sentencepieces, simhash, token_counts, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": token_output.op1,
     "op2_license_scan": licenses.op2,
     "op3_simhash_near_duplicates": simhash.op3,
     "op4_language_id": language.op4,
+    "op5_token_counts": token_counts.op5,
+    "op6_sentencepiece": sentencepieces.op6,
     "op7_repeated_bytes": repeats.op7,
     "op8_packing": packing.op8,
     "op9_quality_rules": quality.op9,
