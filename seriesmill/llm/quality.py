@@ -16,6 +16,8 @@ repeated rows are documents of their own; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,32 +37,43 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def with_hashes(df: DataFrame) -> DataFrame:
-    """Add text without null, words, their number and their hashes."""
-    df = df.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("words", words_of(F.col("text")))
-    hashes = F.transform("words", lambda w: F.xxhash64(w))
-    return df.withColumns({"n_words": F.size("words").cast("long"), "hashes": hashes})
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once.
+
+    A column computed by a projection would be put into the lambdas that use it, and computed for each element, wherever
+    the optimizer pushes a filter through that projection.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _from(start: int, less: int) -> Column:
-    return F.slice("hashes", start, F.greatest(F.size("hashes") - less, F.lit(0)))
+def _first(hashes: Column, less: int) -> Column:
+    """All but the last ``less``."""
+    return F.slice(hashes, 1, F.greatest(F.size(hashes) - less, F.lit(0)))
 
 
 def _bucket(h: Column, buckets: int) -> Column:
     return F.pmod(h, F.lit(buckets)).cast("int")
 
 
-def _pair(x: Column, i: Column) -> Column:
-    return F.xxhash64(x, F.get("hashes", i + 1))
+def _pairs(hashes: Column) -> Column:
+    return F.transform(_first(hashes, 1), lambda x, i: F.xxhash64(x, F.get(hashes, i + 1)))
 
 
 def ngram_counts(df: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """bucket, raw, trusted: counts over all documents and over those whose doc_id is in ``trusted``."""
-    marked = with_hashes(mark_ids(df, trusted, "is_trusted"))
-    single = F.transform("hashes", lambda h: _bucket(h, buckets))
-    double = F.transform(_from(1, 1), lambda x, i: _bucket(_pair(x, i), buckets))
-    grams = marked.select("is_trusted", F.explode(F.concat(single, double)).alias("bucket"))
-    return grams.groupBy("bucket").agg(
+
+    def grams(h: Column) -> Column:
+        return F.transform(F.concat(h, _pairs(h)), lambda x: _bucket(x, buckets))
+
+    found = let(_hashes(words_of(F.coalesce("text", F.lit("")))), grams)
+    marked = mark_ids(df, trusted, "is_trusted")
+    # outer, so that no filter on the array is put before it, which would compute it twice
+    rows = marked.select("is_trusted", F.explode_outer(found).alias("bucket")).where("bucket IS NOT NULL")
+    return rows.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("raw"), F.sum(F.col("is_trusted").cast("long")).alias("trusted")
     )
 
@@ -78,71 +91,81 @@ def weights(counts: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) ->
     return found.agg(F.transform(ordered, lambda x: x["weight"]).alias("weights"))
 
 
-def _repeated_words() -> Column:
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def _repeated_words(hashes: Column) -> Column:
     """Words inside 3-word windows that are found twice or more."""
-    windows = F.transform(
-        _from(1, 2), lambda x, i: F.xxhash64(x, F.get("hashes", i + 1), F.get("hashes", i + 2))
-    )
-    in_order = F.transform(F.array(F.sort_array("windows")), lambda s: F.exists(F.sequence(F.lit(1), F.size(s) - 1), lambda i: F.get(s, i) == F.get(s, i - 1)))
-    any_twice = (F.size("windows") > 1) & F.get(in_order, 0)
+    windows = F.transform(_first(hashes, 2), lambda x, i: F.xxhash64(x, F.get(hashes, i + 1), F.get(hashes, i + 2)))
+
+    def any_twice(g: Column) -> Column:
+        repeats = let(F.sort_array(g), lambda s: F.exists(F.sequence(F.lit(1), F.size(s) - 1), lambda i: F.get(s, i) == F.get(s, i - 1)))
+        return F.when(F.size(g) > 1, repeats).otherwise(F.lit(False))
 
-    def starts(s: Column) -> Column:
-        same = F.filter(s, lambda x, i: (F.get(s, i - 1)["h"].eqNullSafe(x["h"])) | (F.get(s, i + 1)["h"].eqNullSafe(x["h"])))
+    def places(s: Column) -> Column:
+        """Where the windows stand that equal a neighbour in sorted order."""
+        same = F.filter(s, lambda x, i: F.get(s, i - 1)["h"].eqNullSafe(x["h"]) | F.get(s, i + 1)["h"].eqNullSafe(x["h"]))
         return F.sort_array(F.transform(same, lambda x: x["p"]))
 
     def covered(p: Column) -> Column:
-        new = F.transform(p, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(p, i + 1) - x, F.lit(3))))
-        return F.aggregate(new, F.lit(0).cast("long"), lambda a, x: a + x)
-
-    placed = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("p")))
-    total = F.get(F.transform(F.transform(F.transform(F.array(F.sort_array(placed)), starts), lambda p: F.struct(p.alias("p"))), lambda x: covered(x["p"])), 0)
-    return windows, F.when(any_twice, total).otherwise(F.lit(0).cast("long"))
-
-
-def base_rules(df: DataFrame) -> DataFrame:
-    """Add word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed to the columns of with_hashes."""
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    windows, repeated = _repeated_words()
-    df = df.withColumns({"lines": lines, "windows": windows})
-    df = df.withColumns(
-        {
-            "word_chars": F.aggregate("words", F.lit(0).cast("long"), lambda a, w: a + F.char_length(w)),
-            "n_symbols": F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("long"),
-            "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-            "n_repeat_words": repeated,
-        }
-    )
-    failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED_PERCENT)
-    return df.withColumn("base_failed", failed)
+        return _total(F.transform(p, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(p, i + 1) - x, F.lit(3))).cast("long")))
+
+    def count(g: Column) -> Column:
+        placed = F.transform(g, lambda h, i: F.struct(h.alias("h"), i.alias("p")))
+        return F.when(any_twice(g), let(let(F.sort_array(placed), places), covered)).otherwise(F.lit(0).cast("long"))
+
+    return let(windows, count)
+
+
+def measures(text: Column, table: Column, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> Column:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept of a text that is not null.
+
+    ``table``: the weights of all buckets.
+    """
+
+    def weight(h: Column) -> Column:
+        return F.get(table, _bucket(h, buckets))
+
+    def counts(w: Column, h: Column) -> Column:
+        lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            _total(F.transform(w, lambda x: F.char_length(x).cast("long"))).alias("word_chars"),
+            F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
+            let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
+            _repeated_words(h).alias("n_repeat_words"),
+            (_total(F.transform(h, weight)) + _total(F.transform(_pairs(h), weight))).alias("sum"),
+        )
+
+    def judged(c: Column) -> Column:
+        n = c["n_words"] + F.greatest(c["n_words"] - 1, F.lit(0).cast("long"))
+        failed = (c["n_words"] < MIN_WORDS) | (c["n_repeat_words"] * 100 > c["n_words"] * MAX_REPEATED_PERCENT)
+        score = F.when(n > 0, c["sum"] / n / MILLION).otherwise(F.lit(0.0))
+        kept = (~failed & (score >= threshold)).alias("kept")
+        names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+        return F.struct(*[c[x].alias(x) for x in names], failed.alias("base_failed"), score.alias("score"), kept)
+
+    return let(let(words_of(text), lambda w: let(_hashes(w), lambda h: counts(w, h))), judged)
 
 
 def quality_rules(
     df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    threshold: float = THRESHOLD, buckets: int = BUCKETS, prior: float = PRIOR,
+    threshold: float = THRESHOLD, buckets: int = BUCKETS, prior: float = PRIOR, carry: bool = False,
 ) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, score.
 
-    ``labels``: doc_id, quality (1 is trusted), toxic (1 is not).
+    With ``carry`` also text and row_ (common.restored). ``labels``: doc_id, quality (1 is trusted), toxic (1 is not).
     """
     good = (q("quality") == 1) & (F.coalesce(q("toxic"), F.lit(0)) == 0)
     trusted = labels.where(good).select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
     docs = id_and_text(df, id_col, text_col)
     table = weights(materialize(ngram_counts(docs, trusted, buckets), "ngram-counts"), buckets, prior)
-    found = base_rules(with_hashes(docs)).withColumn("weights", table.scalar())
-
-    def weight(h: Column) -> Column:
-        return F.get("weights", _bucket(h, buckets))
-
-    zero = F.lit(0).cast("long")
-    single = F.aggregate("hashes", zero, lambda a, h: a + weight(h))
-    double = F.aggregate(F.transform(_from(1, 1), _pair), zero, lambda a, h: a + weight(h))
-    n = F.col("n_words") + F.greatest(F.col("n_words") - 1, zero)
-    score = F.when(n > 0, (single + double) / n / MILLION).otherwise(F.lit(0.0))
-    found = found.withColumn("score", score)
-    return found.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"), "score",
-    )
+    rows = id_and_text(df, id_col, text_col, carry)
+    found = rows.withColumn("weights", table.scalar())
+    found = found.withColumn("m", measures(F.coalesce("text", F.lit("")), F.col("weights"), threshold, buckets))
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"]
+    return found.select("doc_id", *[F.col("m")[x].alias(x) for x in names], *(["text", "row_"] if carry else []))
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
