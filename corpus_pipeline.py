@@ -3,19 +3,55 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seriesmill.llm import packing
+from seriesmill.llm import language, packing, quality, repeats, simhash
+from seriesmill.llm.common import restored
 from seriesmill.session import scratch_path
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents whose language is told clearly; learn from those with a language of their own.
+
+    Rejected: texts that are null or have no letter, and those whose two best languages are too close.
+    """
+    model = language.fit(language.training_rows(docs, ~language.held_out(F.col("doc_id"))))
+    found = language.identify(docs, model, carry=True)
+    return restored(found.where((F.col("lang_pred") != language.UNKNOWN) & ~F.col("ambiguous")), docs.columns)
+
+
+def check_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents that the quality rules keep."""
+    found = quality.quality_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=True)
+    return restored(found.where("kept"), docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group, the one with the smallest doc_id."""
+    return simhash.one_of_each_group(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take out bytes that an earlier document has."""
+    return repeats.without_repeats(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 4096 tokens."""
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2)
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("language ID", identify_language),
+    ("quality rules", check_quality),
+    ("SimHash near-dedup", drop_near_duplicates),
+    ("suffix-array dedup", cut_repeats),
+    ("packing", pack),
+]
 
+#: No SQL: the stages learn a model, compare hashes within a distance, and pack.
 ORACLE_SQL = None
 
 

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MIX = 0x9E3779B97F4A7C15
 
@@ -21,9 +22,20 @@ def q(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Just doc_id (long) and text (string), whatever else the table holds."""
-    return df.select(q(id_col).cast("long").alias("doc_id"), q(text_col).cast("string").alias("text"))
+def id_and_text(df: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
+    """Just doc_id (long) and text (string), whatever else the table holds; with ``carry`` all else as ``row_``."""
+    doc, text = q(id_col).cast("long").alias("doc_id"), q(text_col).cast("string").alias("text")
+    return df.select(doc, text, F.struct(*[q(c) for c in df.columns if c != text_col]).alias("row_")) if carry else df.select(doc, text)
+
+
+def restored(found: DataFrame, columns: list[str], text_col: str = "text") -> DataFrame:
+    """The carried rows with their text, in the table's own columns."""
+    return found.select(*[F.col("text").alias(c) if c == text_col else F.col("row_").getField(c).alias(c) for c in columns])
+
+
+def schema_of(found: str, texts: DataFrame, *names: str) -> T.StructType:
+    """A schema in words, and the fields of ``texts`` that are named and there."""
+    return T.StructType([*T._parse_datatype_string(found).fields, *[f for f in texts.schema if f.name in names]])
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

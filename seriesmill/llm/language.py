@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import batches, q, texts_of
+from .common import batches, id_and_text, q, schema_of, texts_of
 
 UNKNOWN = "und"
 ORDERS = (3, 4)
@@ -177,8 +177,10 @@ def _weigh(model: Model, rows: DataFrame) -> None:
     model.trust = right / right.sum(axis=1, keepdims=True)
 
 
-def identify(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred, score, ambiguous of every row."""
+def identify(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """doc_id, lang_pred, score, ambiguous of every row; with ``carry`` also text and row_ (common.restored)."""
+    texts = id_and_text(df, id_col, text_col, carry)
+    kept = ["text", "row_"] if carry else []
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = [
@@ -186,10 +188,9 @@ def identify(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_co
             for t in texts_of(batch)
         ]
         columns = [batch.column("doc_id")] + [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "ambiguous"])
+        yield pa.RecordBatch.from_arrays([*columns, *map(batch.column, kept)], names=["doc_id", "lang_pred", "score", "ambiguous", *kept])
 
-    texts = df.select(q(id_col).cast("long").alias("doc_id"), q(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(batches(each), "doc_id long, lang_pred string, score double, ambiguous boolean")
+    return texts.mapInArrow(batches(each), schema_of("doc_id long, lang_pred string, score double, ambiguous boolean", texts, *kept))
 
 
 def held_out(doc_id: Column) -> Column:

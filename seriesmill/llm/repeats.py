@@ -36,9 +36,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize, scratch_path
-from .common import batches, id_and_text, parts_for, texts_of
+from .common import batches, id_and_text, parts_for, restored, texts_of
 
 LENGTH = 50
 GRAM = 24
@@ -223,7 +224,7 @@ class Records:
 def earlier(rows: np.ndarray, docs: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """For records of several shards: the strings (as bits) that stand in a record of a smaller document too."""
     size = rows.shape[1] - 2
-    strings, n = size - length + 1, len(rows)
+    strings = size - length + 1
     _, first, same = np.unique(np.ascontiguousarray(rows).view(f"V{size + 2}").reshape(-1), return_index=True, return_inverse=True)
     least = np.full(len(first), np.iinfo(np.int64).max)
     np.minimum.at(least, same, docs)
@@ -270,28 +271,40 @@ def _earlier_by_bytes(rows: np.ndarray, docs: np.ndarray, length: int) -> np.nda
 def write_shards(df: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The table of shards: shard, bytes, docs, texts; bucketed by shard."""
     spark = df.sparkSession
+    carried = "row_" in df.columns
 
     def gather(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, size = TaskContext.get().partitionId(), 0, 0
         docs: list[int | None] = []
         texts: list[bytes] = []
+        rows: list[pa.Array] = []
 
         def row() -> pa.RecordBatch:
             columns = [pa.array([part << 32 | seq]), pa.array([size]), pa.array([docs], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.binary()))]
-            return pa.RecordBatch.from_arrays(columns, names=["shard", "bytes", "docs", "texts"])
+            if carried:
+                columns.append(pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), pa.concat_arrays(rows)))
+            return pa.RecordBatch.from_arrays(columns, names=["shard", "bytes", "docs", "texts", "rows"][: len(columns)])
 
         for batch in stream:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
+            begin = 0
+            for k, (doc, text) in enumerate(zip(batch.column("doc_id").to_pylist(), texts_of(batch))):
                 docs.append(doc)
                 texts.append(text)
                 size += len(text)
                 if size >= shard_bytes:
+                    if carried:
+                        rows.append(batch.column("row_").slice(begin, k + 1 - begin))
                     yield row()
-                    docs, texts, seq, size = [], [], seq + 1, 0
+                    docs, texts, rows, begin, seq, size = [], [], [], k + 1, seq + 1, 0
+            if carried and begin < batch.num_rows:
+                rows.append(batch.column("row_").slice(begin))
         if docs:
             yield row()
 
-    shards = df.mapInArrow(gather, "shard long, bytes long, docs array<long>, texts array<binary>")
+    schema = T.StructType(T._parse_datatype_string("shard long, bytes long, docs array<long>, texts array<binary>").fields)
+    if carried:
+        schema = schema.add("rows", T.ArrayType(df.schema["row_"].dataType))
+    shards = df.mapInArrow(gather, schema)
     name = f"shards_{uuid.uuid4().hex}"
     total = df.count()
     buckets = min(100_000, max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts_for(total, 4096)))
@@ -394,12 +407,15 @@ SPANS = "doc_id long, n_bytes long, spans array<struct<first: long, after: long>
 
 def repeated_spans(
     df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES,
-    bucket_bytes: int = BUCKET_BYTES, hot: int = HOT,
+    bucket_bytes: int = BUCKET_BYTES, hot: int = HOT, carry: bool = False,
 ) -> DataFrame:
-    """doc_id, n_bytes, spans (first byte, byte after) that go, and the kept bytes. ``length``: 32 to 87."""
+    """doc_id, n_bytes, spans (first byte, byte after) that go, and the kept bytes. ``length``: 32 to 87.
+
+    With ``carry`` also row_, the other columns of each row.
+    """
     if not 32 <= length <= 87:
         raise ValueError("length: 32 to 87")
-    shards = write_shards(id_and_text(df, id_col, text_col), shard_bytes)
+    shards = write_shards(id_and_text(df, id_col, text_col, carry), shard_bytes)
     total = shards.agg(F.sum("bytes")).first()[0]
     buckets = parts_for(total, bucket_bytes, 8)
     codes = materialize(_rank_sampled(shards, buckets, length, hot), "ranks")
@@ -418,9 +434,13 @@ def repeated_spans(
                 starts += found.repeated(answer)
             gone = held.removed(starts)
             turns = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
-            yield _documents(held, gone, turns)
+            out = _documents(held, gone, turns)
+            yield out.append_column("row_", batch.column("rows")[k].values) if carry else out
 
-    return answered.mapInArrow(batches(cut), SPANS)
+    schema = T._parse_datatype_string(SPANS)
+    if carry:
+        schema = T.StructType(schema.fields).add("row_", shards.schema["rows"].dataType.elementType)
+    return answered.mapInArrow(batches(cut), schema)
 
 
 def _documents(held: Shard, gone: np.ndarray, turns: np.ndarray) -> pa.RecordBatch:
@@ -442,6 +462,22 @@ def _documents(held: Shard, gone: np.ndarray, turns: np.ndarray) -> pa.RecordBat
     )
 
 
+def without_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
+    """The rows of ``df`` with what is left of their texts.
+
+    A cut inside a character takes the rest of it too. Rows of which nothing is left go; those without text at all stay.
+    """
+    found = repeated_spans(df, length, id_col, text_col, carry=True, **options)
+
+    def read(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        texts = pa.array([t.decode(errors="ignore") for t in batch.column("kept").to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column("n_bytes"), texts, batch.column("row_")], names=["n_bytes", "text", "row_"])
+
+    schema = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("text", T.StringType()), found.schema["row_"]])
+    left = found.select("n_bytes", "kept", "row_").mapInArrow(batches(read), schema).where("text <> '' OR n_bytes = 0")
+    return restored(left, df.columns, text_col)
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import documents
 

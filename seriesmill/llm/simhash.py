@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import batches, id_and_text, texts_of
+from .common import batches, id_and_text, restored, schema_of, texts_of
 from .components import components
 
 WORDS = 3
@@ -66,14 +66,16 @@ def fingerprint(text: bytes, n: int = WORDS, piece_bytes: int = PIECE_BYTES) ->
     return sum(1 << k for k in np.flatnonzero(2 * ones > total).tolist())
 
 
-def fingerprints(df: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp: the fingerprint as a signed long."""
+def fingerprints(df: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """doc_id, fp: the fingerprint as a signed long; with ``carry`` also text and row_ (common.restored)."""
+    texts = id_and_text(df, id_col, text_col, carry)
+    kept = ["text", "row_"] if carry else []
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = np.array([fingerprint(t, words) for t in texts_of(batch)], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], names=["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found), *map(batch.column, kept)], names=["doc_id", "fp", *kept])
 
-    return id_and_text(df, id_col, text_col).mapInArrow(batches(each), "doc_id long, fp long")
+    return texts.mapInArrow(batches(each), schema_of("doc_id long, fp long", texts, *kept))
 
 
 def _ball(radius: int) -> list[tuple[int, int]]:
@@ -95,18 +97,39 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return pairs.where((F.col("u") != F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits))
 
 
+def _grouped(docs: DataFrame, max_bits: int) -> DataFrame:
+    """fp, component (its smallest fp), component_id, for every fingerprint of ``docs`` (doc_id, fp)."""
+    nodes = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
+    found = components(links(nodes, max_bits)).withColumnRenamed("node", "fp")
+    linked = nodes.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    first = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    return linked.join(first, "component").select("fp", "component", "component_id")
+
+
 def near_duplicates(
     df: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, fingerprint (16 lowercase hex digits), component_id (smallest doc_id reachable)."""
     docs = materialize(fingerprints(df, words, id_col, text_col), "fingerprints")
-    nodes = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    found = components(links(nodes, max_bits)).withColumnRenamed("node", "fp")
-    linked = nodes.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    first = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = linked.join(first, "component").select("fp", "component_id")
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return docs.join(named, "fp").select("doc_id", text.alias("fingerprint"), "component_id")
+    return docs.join(_grouped(docs, max_bits), "fp").select("doc_id", text.alias("fingerprint"), "component_id")
+
+
+def one_of_each_group(
+    df: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``df`` without near-duplicates: of each group a row of its smallest doc_id, of several the smallest fingerprint's."""
+    docs = materialize(fingerprints(df, words, id_col, text_col), "fingerprints")
+    groups = docs.join(_grouped(docs, max_bits), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = groups.groupBy("component").agg(F.min("fp").alias("chosen_fp"), F.first("component_id").alias("chosen_id"))
+    chosen = materialize(chosen, "chosen")
+    rows = fingerprints(df, words, id_col, text_col, carry=True)
+    same = (F.col("fp") == F.col("chosen_fp")) & F.col("doc_id").eqNullSafe(F.col("chosen_id"))
+    kept = rows.join(chosen, same, "left_semi")
+    twice = docs.join(chosen, same, "left_semi").groupBy("fp", "doc_id").count().where("count > 1")
+    if twice.limit(1).count():  # rows that are repeated, id and all
+        kept = kept.dropDuplicates(["fp", "doc_id"])
+    return restored(kept, df.columns, text_col)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
