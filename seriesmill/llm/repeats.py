@@ -47,6 +47,7 @@ SHARD_BYTES = 4 << 20
 BUCKET_BYTES = 4 << 20
 HOT = 10_000
 STEP = 1 << 19
+EARLIER_RECORDS = 1 << 14
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -182,8 +183,8 @@ class Records:
         self.shard, self.at, self.size, self.strings = shard, at, size, size - shard.length + 1
         rows = np.zeros((len(at), size + 2), np.uint8)
         place = np.arange(size)
-        for k in range(0, len(at), 1 << 16):
-            part = slice(k, k + (1 << 16))
+        for k in range(0, len(at), 1 << 13):
+            part = slice(k, k + (1 << 13))
             where = at[part, None] + place
             spread = size - shard.length
             inside = (place >= spread - left[part, None]) & (place < size - spread + right[part, None])
@@ -222,7 +223,24 @@ class Records:
 
 
 def earlier(rows: np.ndarray, docs: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """For records of several shards: the strings (as bits) that stand in a record of a smaller document too."""
+    """For records of several shards: the strings (as bits) that stand in a record of a smaller document too.
+
+    Equal strings were found through equal 24 bytes in the middle, so records are taken by these, some at a time.
+    """
+    size, masks = rows.shape[1] - 2, np.zeros(len(rows), np.uint64)
+    parts = -(-len(rows) // EARLIER_RECORDS)
+    if parts <= 1:
+        return _earlier(rows, docs, length)
+    middle = rows[:, size - length : size - length + GRAM] if size > length else rows[:, :size]
+    part = _bucket(_names(np.ascontiguousarray(middle), middle.shape[1])[:, 0] * _K[2], parts)
+    for k in range(parts):
+        mine = np.flatnonzero(part == k)
+        if len(mine):
+            masks[mine] = _earlier(rows[mine], docs[mine], length)
+    return masks
+
+
+def _earlier(rows: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
     size = rows.shape[1] - 2
     strings = size - length + 1
     _, first, same = np.unique(np.ascontiguousarray(rows).view(f"V{size + 2}").reshape(-1), return_index=True, return_inverse=True)
