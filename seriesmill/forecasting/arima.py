@@ -437,6 +437,14 @@ def check_known(new_rows: DataFrame, params: DataFrame, id_col: str = "unique_id
         raise ValueError(f"series not fitted yet: {', '.join(r[0] for r in strangers)}")
 
 
+def late_rows(new_rows: DataFrame, params: DataFrame) -> DataFrame:
+    """Series (unique_id) with a new row that is not after their last date, or with two new rows of one date."""
+    known = new_rows.join(params.select(ID, "last_date"), ID)
+    late = known.where(F.col("ds") <= F.col("last_date")).select(ID)
+    twice = new_rows.groupBy(ID, "ds").count().where("count > 1").select(ID)
+    return late.unionByName(twice).distinct()
+
+
 def append_history(history: DataFrame, new_rows: DataFrame) -> DataFrame:
     """All observations; a date present in both is kept twice."""
     return history.unionByName(new_rows.select(*history.columns))
@@ -462,6 +470,26 @@ def refit(
     return materialize(kept.unionByName(again), "params"), longer
 
 
+def update(
+    params: DataFrame,
+    history: DataFrame,
+    new_rows: DataFrame,
+    id_col: str = "unique_id",
+    y_col: str = "y",
+    ds_col: str = "ds",
+    freq: str | None = None,
+    layout: str = "auto",
+) -> tuple[DataFrame, DataFrame]:
+    """Update incrementally, and fit again only the series with late or repeated dates. Returns (params, history)."""
+    new_rows = materialize(new_rows.select(*history.columns), "new-rows")
+    check_known(new_rows, params, id_col)
+    late = materialize(late_rows(_panel(new_rows, spec_of(params), id_col, y_col, ds_col), params), "late")
+    is_late = new_rows[id_col].cast("string") == late[ID]
+    on_time, behind = new_rows.join(late, is_late, "left_anti"), new_rows.join(late, is_late, "left_semi")
+    moved = update_incremental(params, on_time, id_col, y_col, ds_col, True, layout)
+    return refit(moved, append_history(history, on_time), behind, id_col, y_col, ds_col, freq, layout)
+
+
 def update_incremental(
     params: DataFrame,
     new_rows: DataFrame,
@@ -476,12 +504,17 @@ def update_incremental(
     ``update_params=False`` moves the state (last values, shocks, date) and keeps the coefficients. With
     ``update_params=True`` the new rows' products are added to the stored sums and the regression is solved
     again; that is exact without moving-average terms and regressors, and refused with them.
+
+    Rows must come after a series' last date, one for each date: others raise, and need ``update`` or ``refit``.
     """
     spec = spec_of(params)
     if update_params and (spec.ma_lags or spec.exog_cols):
         raise NotImplementedError("coefficients with moving-average terms or regressors need a refit")
     new = materialize(_panel(new_rows, spec, id_col, y_col, ds_col), "new-rows")  # read several times below
     check_known(new, params)
+    behind = late_rows(new, params).limit(5).collect()
+    if behind:
+        raise ValueError(f"late or repeated dates need a refit: series {', '.join(r[0] for r in behind)}")
     state = params.select(ID, "last_date", "n_obs", "beta", "centre", "long_ar", "y_tail")
     state = state.join(new.select(ID).distinct(), ID, "left_semi")
 

@@ -14,6 +14,7 @@ FALLBACK = ("D", "seconds", DAY)
 
 # Names of weekly frequencies by weekday (Monday = 0), and seconds of unit letters.
 WEEKLY = ["W-MON", "W-TUE", "W-WED", "W-THU", "W-FRI", "W-SAT", "W-SUN"]
+UNIT_MICROSECONDS = {"ms": 1000, "us": 1}
 UNIT_SECONDS = {"D": DAY, "W": 7 * DAY, "H": 3600, "h": 3600, "T": 60, "min": 60, "S": 1, "s": 1}
 MONTH_STARTS = {"MS": 1, "QS": 3, "YS": 12, "AS": 12}
 MONTH_ENDS = {"M": 1, "ME": 1, "Q": 3, "QE": 3, "Y": 12, "YE": 12, "A": 12}
@@ -30,16 +31,16 @@ def parse_frequency(freq: str) -> tuple[str, str, int]:
     times, base = int(match[1] or 1), match[2]
     if base == "B":
         return freq, "weekdays", times
-    for unit, names in (("month_start", MONTH_STARTS), ("month_end", MONTH_ENDS), ("seconds", UNIT_SECONDS)):
+    for unit, names in (("month_start", MONTH_STARTS), ("month_end", MONTH_ENDS), ("seconds", UNIT_SECONDS), ("microseconds", UNIT_MICROSECONDS)):
         if base in names:
             return freq, unit, names[base] * times
     return FALLBACK
 
 
 def _seconds(c: Column) -> Column:
-    """Seconds since 1970 of a zone-free timestamp, whatever the session's time zone."""
+    """Seconds since 1970 of a zone-free timestamp, with their fraction, whatever the session's time zone."""
     days = F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long")
-    return days * DAY + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+    return days * DAY + F.hour(c) * 3600 + F.minute(c) * 60 + F.extract(F.lit("SECOND"), c)
 
 
 def gap_columns(w: WindowSpec, ds_col: str) -> dict[str, Column]:
@@ -66,13 +67,15 @@ def frequency_columns(ds_col: str) -> dict[str, Column]:
         F.when(F.count(F.lit(1)) < 3, None)
         .when(even_months & F.bool_and(F.dayofmonth(ds) == 1), "month_start")
         .when(even_months & F.bool_and(F.to_date(ds) == F.last_day(ds)), "month_end")
-        .when(even_gap, "seconds")
+        .when(even_gap & (F.min("__gap") % 1 == 0), "seconds")
+        .when(even_gap, "microseconds")
         .when(weekdays, "weekdays")
     )
     return {
         "__unit": unit,
         "__step": F.when(unit.isin("month_start", "month_end"), step_months)
         .when(unit == "seconds", step_seconds)
+        .when(unit == "microseconds", step_seconds * 1_000_000)
         .when(unit == "weekdays", 1)
         .cast("long"),
         "__weekday": F.weekday(F.max(ds)),
@@ -100,6 +103,7 @@ def _name(unit: Column, step: Column, weekday: Column) -> Column:
         .when(unit == "month_end", F.when(step == 3, "QE").when(step == 12, "YE").otherwise(_multiple(step, "ME")))
         .when(unit == "weekdays", "B")
         .when(unit == "seconds", timed)
+        .when(unit == "microseconds", F.when(step % 1000 == 0, _multiple(F.floor(step / 1000), "ms")).otherwise(_multiple(step, "us")))
     )
 
 
@@ -136,7 +140,7 @@ def infer_frequency(df: DataFrame, id_col: str = "unique_id", ds_col: str = "ds"
 
 def future_date(last: Column, unit: Column, step: Column, i: Column) -> Column:
     """The ``i``-th date (from 1) after ``last``."""
-    n = (step * i).cast("int")
+    n = (step * i).try_cast("int")
     month_start = F.add_months(F.trunc(last, "month"), n)
     at_end = F.to_date(last) == F.last_day(last)
     month_end = F.last_day(F.add_months(F.trunc(last, "month"), F.when(at_end, n).otherwise(n - step.cast("int"))))
@@ -148,5 +152,6 @@ def future_date(last: Column, unit: Column, step: Column, i: Column) -> Column:
         F.when(unit == "month_start", month_start.cast("timestamp_ntz"))
         .when(unit == "month_end", month_end.cast("timestamp_ntz"))
         .when(unit == "weekdays", weekdays.cast("timestamp_ntz"))
+        .when(unit == "microseconds", F.timestamp_add("MICROSECOND", (step * i).cast("long"), last))
         .otherwise(timed)
     )

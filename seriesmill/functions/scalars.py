@@ -12,18 +12,23 @@ from pyspark.sql import types as T
 INF, NAN = float("inf"), float("nan")
 
 
+def named(name: str) -> Column:
+    """A column by its literal name: a dot in it is no field access."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def as_column(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return named(c) if isinstance(c, str) else c
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Missing numbers are NULL in every operator; Spark's avg, sum and max do not skip NaN."""
     floating = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floating}) if floating else df
+    return df.withColumns({c: F.when(~F.isnan(named(c)), named(c)) for c in floating}) if floating else df
 
 
 def all_present(cols: Iterable[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols], F.lit(True))
+    return reduce(lambda a, b: a & b, [named(c).isNotNull() for c in cols], F.lit(True))
 
 
 def divide(num: Column, den: Column) -> Column:

@@ -14,22 +14,23 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import calendar, scalars
+from ..functions.scalars import named
 from ..session import materialize
-from .layout import SeriesRows, lay_out
+from .layout import BLOCK_ROWS, SeriesRows, lay_out
 from .weighted import enough_values, rolling_weights, weighted_mean, weighted_std
 
 Step = Callable[[WindowSpec], dict[str, Column]]
 
 _FILLED, _N = "__filled", "__n"
 _DECAY_LIMIT = 100.0  # powers of ten a running weight may grow by before it starts again
-_NEGLIGIBLE = 1e-18
+_RUNS = 7  # 10^-700 of the largest double is 0
 
 
 # --- column builders ------------------------------------------------------------------------------
 
 
 def lag_columns(w: WindowSpec, keyed: Column, target: str, names: dict[str, int]) -> dict[str, Column]:
-    return {name: F.when(keyed, F.lag(target, k).over(w)) for name, k in names.items()}
+    return {name: F.when(keyed, F.lag(named(target), k).over(w)) for name, k in names.items()}
 
 
 def rolling(w: WindowSpec, keyed: Column, target: str, window: int, agg: str, min_periods: int | None = None) -> Column:
@@ -39,16 +40,16 @@ def rolling(w: WindowSpec, keyed: Column, target: str, window: int, agg: str, mi
         raise ValueError(f"min_periods {need} must be <= window {window}")
     frame = w.rowsBetween(-window, -1)
     fn = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}[agg]
-    return F.when(keyed & (F.count(target).over(frame) >= need), fn(target).over(frame))
+    return F.when(keyed & (F.count(named(target)).over(frame) >= need), fn(named(target)).over(frame))
 
 
 def diff_column(w: WindowSpec, keyed: Column, target: str, periods: int) -> Column:
-    return F.when(keyed, F.col(target) - F.lag(target, periods).over(w))
+    return F.when(keyed, named(target) - F.lag(named(target), periods).over(w))
 
 
 def pct_change_column(w: WindowSpec, keyed: Column, filled: str, periods: int) -> Column:
     """Relative change of the forward-filled value."""
-    return F.when(keyed, scalars.divide(F.col(filled), F.lag(filled, periods).over(w)) - 1)
+    return F.when(keyed, scalars.divide(named(filled), F.lag(named(filled), periods).over(w)) - 1)
 
 
 # --- single operators -----------------------------------------------------------------------------
@@ -101,7 +102,7 @@ def _add(rows: SeriesRows, reach: int, target: str, *steps: Step) -> SeriesRows:
 
 
 def _last_known(w: WindowSpec, value: str) -> Column:
-    return F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return F.last(named(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
 
 
 def add_diff_features(
@@ -160,98 +161,121 @@ def prepare_features(
 class _Means:
     """Exponentially weighted means of all values up to the row, for each (alpha, output name).
 
-    Weights are (1-alpha)^age, a missing value is skipped. At a row that has a value, weighted sums are
-    running sums of growing weights, restarted every ``run`` rows so that they stay in range; the run before
-    adds its closing sums. Runs further back weigh less than 1e-100. A row without a value repeats the mean
-    of the last row that has one.
+    Weights are (1-alpha)^age, a missing value is skipped. A row without a value repeats the mean of the last
+    row that has one. The weighted sums are exact whatever the layout: nothing is dropped for being far back.
     """
 
     def __init__(self, rows: SeriesRows, target: str, outs: dict[float, str]):
         if not all(0 < alpha <= 1 for alpha in outs):
             raise ValueError(f"every alpha must be in (0, 1]: {list(outs)}")
-        self.rows, self.target = rows, target
-        self.decays = [_Decay(i, target, 1 - alpha, rows.partition_keys()) for i, alpha in enumerate(outs)]
-        self.at_value = {d.name("at_value"): out for d, out in zip(self.decays, outs.values())}
-        self.reach = max(d.reach for d in self.decays)
-        self.helpers = [_N, *[d.name(part) for d in self.decays for part in ("run", "sums", "before", "at_value")]]
+        self.rows, self.target, self.outs = rows, target, outs
+        self.names = [f"__ewm{i}" for i in range(len(outs))]
+        self.at_value = {f"{n}_at_value": out for n, out in zip(self.names, outs.values())}
 
-    def _steps(self) -> list[Step]:
-        return [getattr(d, stage) for d in self.decays for stage in _STAGES]
+    def _sums(self, names: dict[str, str], keys: list[str], place: str, keeps: list[float]) -> list[Step]:
+        found = [_Decay(out, value, keep, keys, place) for (out, value), keep in zip(names.items(), keeps)]
+        return [getattr(d, stage) for stage in _STAGES for d in found]
+
+    def _own(self) -> Column:
+        value = named(self.target).cast("double")
+        there = value.isNotNull()
+        return F.struct(F.coalesce(value, F.lit(0.0)).alias("num"), there.cast("double").alias("den"))
+
+    def _means(self, sums: dict[str, Column]) -> dict[str, Column]:
+        there = named(self.target).isNotNull()
+        return {out: F.when(there, F.try_divide(sums[n]["num"], sums[n]["den"])) for n, out in zip(self.names, self.at_value)}
 
     def then(self, reach: int, *steps: Step) -> SeriesRows:
         """Add the means and then ``steps``, which look ``reach`` rows back."""
+        keeps = [1 - alpha for alpha in self.outs]
         rows = self.rows.with_position(_N)
-        if rows.carries_locally(self.target):
+        named = {n: _OWN_SUMS for n in self.names}
+        own = lambda _: {_OWN_SUMS: self._own()}
+        in_part = [own, *self._sums(named, rows.partition_keys(), _N, keeps)]
+        helpers = [_N, _OWN_SUMS, *self.names, *[f"{n}_{part}" for n in self.names for part in ("run", "part", "before")]]
+        if rows.block_rows is None:
+            means = lambda _: self._means({n: F.col(n) for n in self.names})
             carry = lambda w: {out: _last_known(w, value) for value, out in self.at_value.items()}
-            rows = rows.with_columns(self.reach + reach, *self._steps(), carry, *steps)
+            rows = rows.with_columns(reach, *in_part, means, carry, *steps)
         else:
-            # Written once: both the values to carry and the rows they are carried to are read from it.
-            means = rows.with_columns(self.reach, *self._steps())
-            means = means.on(materialize(means.rows.drop(*set(self.helpers) - set(self.at_value)), "means"))
-            rows = means.with_last_known(self.at_value).with_columns(reach, *steps)
-        return rows.on(rows.rows.drop(*self.helpers, *self.at_value.values()))
+            # Written once: the blocks' closing sums, the values to carry and the rows are all read from it.
+            summed = rows.with_columns(0, *in_part)
+            summed = summed.on(materialize(summed.rows.drop(*set(helpers) - set(self.names)), "sums"))
+            rows = summed.with_carried(self.names, lambda names, keys, place: self._sums(names, keys, place, [k**rows.block_rows for k in keeps]))
+            ages = {n: F.pow(F.lit(k), rows.since_block_start().cast("double")) if k else F.lit(0.0) for n, k in zip(self.names, keeps)}
+            whole = {n: _plus(F.col(n), F.col(rows.carried(n)), ages[n]) for n in self.names}
+            rows = rows.on(rows.rows.withColumns(self._means(whole)).drop(*rows.carry_columns(self.names)))
+            rows = rows.with_last_known(self.at_value).with_columns(reach, *steps)
+        return rows.on(rows.rows.drop(*helpers, *self.at_value, *self.outs.values()))
+
 
+_OWN_SUMS = "__own_sums"
+_STAGES = ("runs", "running", "before", "sums")
 
-_STAGES = ("runs", "running", "closing", "mean")
+
+def _plus(sums: Column, earlier: Column, weight: Column) -> Column:
+    """Sums (num, den), with earlier ones that have lost weight; there may be none earlier."""
+    parts = [(sums[x] + F.coalesce(weight * earlier[x], F.lit(0.0))).alias(x) for x in ("num", "den")]
+    return F.struct(*parts)
 
 
 @dataclass(frozen=True)
 class _Decay:
-    """The columns of one exponentially weighted mean, in the order of ``_STAGES``."""
+    """Decaying sums of a struct (num, den) along a series, in the order of ``_STAGES``.
+
+    Sums are running sums of growing weights, restarted every ``run`` places so that these stay in range. A run adds
+    the closing sums of the runs before it, each weighed down once more for every run between; after ``_RUNS`` runs any
+    double has become 0.
+    """
 
-    number: int
-    target: str
-    keep: float  # what a weight keeps per row of age
+    name: str
+    value: str
+    keep: float  # what a weight keeps per place
     keys: list[str]
+    place: str  # a number that grows by one from row to row
 
-    def name(self, part: str) -> str:
-        return f"__ewm{self.number}_{part}"
+    def _part(self, part: str) -> str:
+        return f"{self.name}_{part}"
 
     @property
     def run(self) -> int:
         return max(1, math.floor(_DECAY_LIMIT * math.log(10) / -math.log(self.keep))) if self.keep else 1
 
-    @property
-    def reach(self) -> int:
-        return math.ceil(math.log(_NEGLIGIBLE) / math.log(self.keep)) + 1 if self.keep else 1
-
-    @property
-    def value(self) -> Column:
-        return F.col(self.target).cast("double")
-
     @property
     def step(self) -> Column:
-        return F.pmod(F.col(_N), F.lit(self.run))
+        return F.pmod(F.col(self.place), F.lit(self.run))
 
     def _power(self, exponent: Column) -> Column:
         return F.pow(F.lit(self.keep), exponent.cast("double"))
 
-    def _partition(self) -> list[Column]:
-        return [F.col(k) for k in self.keys] or [F.lit(0)]
+    def _window(self, *order: str) -> WindowSpec:
+        return Window.partitionBy(*([named(k) for k in self.keys] or [F.lit(0)])).orderBy(*order)
 
     def runs(self, _: WindowSpec) -> dict[str, Column]:
-        return {self.name("run"): F.floor(F.col(_N) / self.run)}
+        return {self._part("run"): F.floor(F.col(self.place) / self.run)}
 
     def running(self, _: WindowSpec) -> dict[str, Column]:
-        w = Window.partitionBy(*self._partition(), self.name("run")).orderBy(_N)
-        w = w.rowsBetween(Window.unboundedPreceding, 0)
-        grown = self._power(-self.step)
-        num = F.sum(F.coalesce(self.value * grown, F.lit(0.0))).over(w)
-        den = F.sum(F.when(self.value.isNotNull(), grown).otherwise(0.0)).over(w)
-        decayed = self._power(self.step)
-        return {self.name("sums"): F.struct((num * decayed).alias("num"), (den * decayed).alias("den"))}
-
-    def closing(self, _: WindowSpec) -> dict[str, Column]:
-        w = Window.partitionBy(*self._partition()).orderBy(self.name("run"), _N)
-        w = w.rowsBetween(Window.unboundedPreceding, -1)
-        at_end = F.when(self.step == self.run - 1, F.col(self.name("sums")))
-        return {self.name("before"): F.last(at_end, ignorenulls=True).over(w)}
-
-    def mean(self, _: WindowSpec) -> dict[str, Column]:
-        sums, before, age = self.name("sums"), self.name("before"), self._power(self.step + 1)
-        num = F.col(f"{sums}.num") + age * F.coalesce(F.col(f"{before}.num"), F.lit(0.0))
-        den = F.col(f"{sums}.den") + age * F.coalesce(F.col(f"{before}.den"), F.lit(0.0))
-        return {self.name("at_value"): F.when(self.value.isNotNull(), F.try_divide(num, den))}
+        keys = [*([named(k) for k in self.keys] or [F.lit(0)]), self._part("run")]
+        w = Window.partitionBy(*keys).orderBy(self.place).rowsBetween(Window.unboundedPreceding, 0)
+        if self.run == 1:
+            return {self._part("part"): F.col(self.value)}
+        grown, decayed = self._power(-self.step), self._power(self.step)
+        return {self._part("part"): F.struct(*[(F.sum(F.col(self.value)[x] * grown).over(w) * decayed).alias(x) for x in ("num", "den")])}
+
+    def before(self, _: WindowSpec) -> dict[str, Column]:
+        """What the runs before have left at the end of the last one."""
+        if not self.keep:
+            return {self._part("before"): F.lit(None).cast("struct<num: double, den: double>")}
+        at_end = F.when(self.step == self.run - 1, F.col(self._part("part")))
+        w, shrink, total = self._window(self._part("run")), self.keep**self.run, None
+        for k in range(_RUNS, 0, -1):
+            closing = F.last(at_end, ignorenulls=True).over(w.rangeBetween(-k, -k))
+            parts = {x: F.coalesce(closing[x], F.lit(0.0)) for x in ("num", "den")}
+            total = {x: parts[x] if total is None else parts[x] + total[x] * shrink for x in parts}
+        return {self._part("before"): F.struct(*[c.alias(x) for x, c in total.items()])}
+
+    def sums(self, _: WindowSpec) -> dict[str, Column]:
+        return {self.name: _plus(F.col(self._part("part")), F.col(self._part("before")), self._power(self.step + 1))}
 
 
 # --- full feature set -----------------------------------------------------------------------------
@@ -278,6 +302,7 @@ def create_time_series_features(
     roll_max: bool = False,
     date_col: str = "ds",
     layout: str = "auto",
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Date parts of ``date_col``, then log1p of ``target`` in place, then lag, rolling and EWM columns.
 
@@ -300,7 +325,7 @@ def create_time_series_features(
     if not (lag or aggs or ewm):
         return df
 
-    rows = lay_out(df, groups, order, layout)
+    rows = lay_out(df, groups, order, layout, block_rows)
     keyed = rows.has_key
     means = {a: f"__ewm_{i}" for i, a in enumerate(weights)} if ewm else {}
     centres = {n: f"__centre_{n}" for n in windows} if win_type and aggs else {}

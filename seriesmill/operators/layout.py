@@ -18,18 +18,24 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..functions.scalars import all_present
+from ..functions.scalars import all_present, named
 from ..session import materialize
 
 WHOLE_SERIES_ROWS = 1_000_000
 BLOCK_ROWS = 250_000
 
-_POS, _BLOCK, _OWN, _CARRY = "__pos", "__block", "__own", "__carry"
+_POS, _BLOCK, _OWN, _CARRY, _TIE = "__pos", "__block", "__own", "__carry", "__tie"
+_START = "__start"
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number in the low 33 bits
 
 
 def asc_order(cols: Sequence[str]) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in cols]
+    return [named(c).asc_nulls_last() for c in cols]
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Orders rows that are equal in their order columns, the same way in every layout."""
+    return F.xxhash64(*[named(f.name) for f in df.schema if "map" not in f.dataType.simpleString()])
 
 
 def number_rows(df: DataFrame, order_by: Sequence[str], out: str = _POS) -> DataFrame:
@@ -39,8 +45,7 @@ def number_rows(df: DataFrame, order_by: Sequence[str], out: str = _POS) -> Data
     and the numbering does not depend on how rows arrived. Offsets are one row per sorted partition,
     which bounds what is broadcast.
     """
-    hashed = [F.col(f"`{f.name}`") for f in df.schema if "map" not in f.dataType.simpleString()]
-    ranked = df.orderBy(*asc_order(order_by), F.xxhash64(*hashed)).withColumn("__id", F.monotonically_increasing_id())
+    ranked = df.orderBy(*asc_order(order_by), row_hash(df)).withColumn("__id", F.monotonically_increasing_id())
     ranked = materialize(ranked, "sorted")
     part = F.shiftright("__id", _ROW_BITS)
     sizes = ranked.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__size"))
@@ -68,11 +73,14 @@ class SeriesRows:
     def has_key(self) -> Column:
         return all_present(self.groups)
 
+    def _keys(self) -> list[Column]:
+        return [named(g) for g in self.groups]
+
     def _window(self) -> WindowSpec:
         if self.block_rows is None:
-            keys = [F.col(g) for g in self.groups] or [F.lit(0)]
-            return Window.partitionBy(*keys).orderBy(*asc_order(self.order_by))
-        return Window.partitionBy(_BLOCK, *self.groups).orderBy(_POS)
+            keys = [named(g) for g in self.groups] or [F.lit(0)]
+            return Window.partitionBy(*keys).orderBy(*asc_order(self.order_by), _TIE)
+        return Window.partitionBy(_BLOCK, *self._keys()).orderBy(_POS)
 
     def with_columns(self, reach: int, *steps: Callable[[WindowSpec], dict[str, Column]]) -> SeriesRows:
         """Add window columns whose row frames go back at most ``reach`` rows (and not forward).
@@ -92,34 +100,60 @@ class SeriesRows:
         blocks = F.when(near_end, F.array(home, home + 1)).otherwise(F.array(home))
         copies = self.rows.withColumn(_BLOCK, F.explode(blocks)).withColumn(_OWN, F.col(_BLOCK) == home)
         # One shuffle serves all windows of the pass, also those nested inside a block's series.
-        return copies.repartition(_BLOCK, *self.groups)
+        return copies.repartition(_BLOCK, *self._keys())
 
     def carries_locally(self, value: str) -> bool:
         """Whether a value never has to be carried from further back than a window partition reaches."""
-        return self.block_rows is None or self.rows.where(F.col(value).isNull()).isEmpty()
+        return self.block_rows is None or self.rows.where(named(value).isNull()).isEmpty()
 
     def with_last_known(self, names: dict[str, str]) -> SeriesRows:
         """For each (value, out): the latest non-missing value of the series up to and including the row."""
         w = self._window().rowsBetween(Window.unboundedPreceding, 0)
-        here = {out: F.last(value, ignorenulls=True).over(w) for value, out in names.items()}
+        here = {out: F.last(named(value), ignorenulls=True).over(w) for value, out in names.items()}
         if self.block_rows is None:
             return self.on(self.rows.withColumns(here))
         # One row per block and series; a value is carried only into the first series of a block.
         carry = {out: f"{_CARRY}_{i}" for i, out in enumerate(here)}
-        last = {carry[out]: F.max_by(v, F.when(F.col(v).isNotNull(), F.col(_POS))) for v, out in names.items()}
-        before = Window.partitionBy(*self.groups).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+        last = {carry[out]: F.max_by(named(v), F.when(named(v).isNotNull(), F.col(_POS))) for v, out in names.items()}
+        before = Window.partitionBy(*self._keys()).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
         carried = self._per_block(last).withColumns({c: F.last(c, ignorenulls=True).over(before) for c in last})
         carried = carried.where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in last]))
         rows = self._join_per_block(carried)
         rows = rows.withColumns({out: F.coalesce(c, carry[out]) for out, c in here.items()})
         return self.on(rows.drop(_BLOCK, *last))
 
+    def with_carried(self, names: Sequence[str], sums: Callable) -> SeriesRows:
+        """For decaying sums inside blocks: add what the blocks before have left, and where the block's series starts.
+
+        ``sums(names, keys, place)`` gives the steps that turn the blocks' own sums into those with all blocks before.
+        One row per block and series; a series' blocks are numbered without gaps.
+        """
+        closing = {f"{n}_own": F.max_by(n, _POS) for n in names}
+        table = self._per_block(closing | {_START: F.min(_POS)})
+        series = Window.partitionBy(*self._keys()).orderBy(_BLOCK)
+        total = {f"{n}_total": f"{n}_own" for n in names}
+        for step in sums(total, list(self.groups), _BLOCK):
+            table = table.withColumns(step(series))
+        table = table.withColumns({self.carried(n): F.lag(f"{n}_total", 1).over(series) for n in names})
+        table = table.select(_BLOCK, *self._keys(), _START, *[self.carried(n) for n in names])
+        return self.on(self._join_per_block(table).drop(_BLOCK))
+
+    def carried(self, name: str) -> str:
+        return f"{name}_carried"
+
+    def carry_columns(self, names: Sequence[str]) -> list[str]:
+        return [_START, *map(self.carried, names)]
+
+    def since_block_start(self) -> Column:
+        """1 at the first row of a series in a block, after ``with_carried``."""
+        return F.col(_POS) - F.col(_START) + 1
+
     def _home_block(self) -> DataFrame:
         return self.rows.withColumn(_BLOCK, F.floor(F.col(_POS) / self.block_rows))
 
     def _per_block(self, measures: dict[str, Column]) -> DataFrame:
         """Aggregates per block and series: one row per block and one more per series."""
-        return self._home_block().groupBy(_BLOCK, *self.groups).agg(*[c.alias(n) for n, c in measures.items()])
+        return self._home_block().groupBy(_BLOCK, *self._keys()).agg(*[c.alias(n) for n, c in measures.items()])
 
     def _join_per_block(self, table: DataFrame) -> DataFrame:
         """Join on (block, series): no key has more rows than a block, and the windows of a block need no
@@ -134,11 +168,11 @@ class SeriesRows:
 
     def with_row_number(self, out: str, from_end: bool = False) -> SeriesRows:
         """1, 2, ... along the series, or counted from its last row."""
-        series = Window.partitionBy(*self.groups)
+        series = Window.partitionBy(*self._keys())
         if self.block_rows is None:
             if not from_end:
                 return self.with_position(out)
-            keys = [F.col(g) for g in self.groups] or [F.lit(0)]
+            keys = [named(g) for g in self.groups] or [F.lit(0)]
             size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
             return self.on(self.with_position(out).rows.withColumn(out, size - F.col(out) + 1))
         end = F.max if from_end else F.min
@@ -155,7 +189,7 @@ class SeriesRows:
         return list(self.groups) if self.block_rows is None else [_BLOCK, *self.groups]
 
     def to_frame(self) -> DataFrame:
-        return self.rows.drop(_POS)
+        return self.rows.drop(_POS, _TIE)
 
 
 def lay_out(
@@ -165,15 +199,15 @@ def lay_out(
     layout: str = "auto",
     block_rows: int = BLOCK_ROWS,
 ) -> SeriesRows:
-    """``order_by`` must order the rows of a series completely: Spark keeps no input order for ties."""
+    """Rows that ``order_by`` leaves equal are ordered by a hash of their columns: Spark keeps no input order."""
     groups, order = tuple(group_cols or ()), tuple(order_by)
     if not order:
         raise ValueError("order_by needs at least one column")
     if layout == "auto":
-        longest = df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
+        longest = df.groupBy(*map(named, groups)).count().agg(F.max("count")).first()[0] or 0
         layout = "whole" if longest <= WHOLE_SERIES_ROWS else "blocks"
     if layout == "whole":
-        return SeriesRows(df, groups, order)
+        return SeriesRows(df.withColumn(_TIE, row_hash(df)), groups, order)
     if layout != "blocks":
         raise ValueError(f"layout {layout!r} is not one of auto, whole, blocks")
     return SeriesRows(number_rows(df, [*groups, *order]), groups, order, block_rows)

@@ -7,20 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import nan_to_null
+from ..functions.scalars import named, nan_to_null
 from .layout import lay_out
 
 
 def fit_min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """The scaler: one row with ``<col>_min`` and ``<col>_max`` for every column."""
     return nan_to_null(df).agg(
-        *[fn(c).cast("double").alias(f"{c}_{n}") for c in cols for n, fn in (("min", F.min), ("max", F.max))]
+        *[fn(named(c)).cast("double").alias(f"{c}_{n}") for c in cols for n, fn in (("min", F.min), ("max", F.max))]
     )
 
 
 def _range(scaler: DataFrame, col: str) -> tuple[Column, Column]:
     """Low end and width, from one scalar subquery over the whole scaler row that all columns share."""
-    row = scaler.select(F.struct(*scaler.columns)).scalar()
+    row = scaler.select(F.struct(*map(named, scaler.columns))).scalar()
     low, high = row[f"{col}_min"], row[f"{col}_max"]
     return low, F.when(high == low, 1.0).otherwise(high - low)
 
@@ -30,7 +30,7 @@ def scale_min_max(df: DataFrame, scaler: DataFrame, cols: Sequence[str]) -> Data
     out = {}
     for c in cols:
         low, span = _range(scaler, c)
-        out[c] = (F.col(c) - low) / span
+        out[c] = (named(c) - low) / span
     return df.withColumns(out)
 
 
@@ -39,7 +39,7 @@ def unscale_min_max(df: DataFrame, scaler: DataFrame, cols: dict[str, str]) -> D
     out = {}
     for c, source in cols.items():
         low, span = _range(scaler, source)
-        out[c] = F.col(c) * span + low
+        out[c] = named(c) * span + low
     return df.withColumns(out)
 
 

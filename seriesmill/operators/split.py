@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import named
 from .layout import number_rows
 
 POSITION = "position"
@@ -17,12 +18,12 @@ POSITION = "position"
 def time_series_split(df: DataFrame, cutoff_date, date_col: str = "ds") -> tuple[DataFrame, DataFrame]:
     """Rows before the cutoff, and rows on or after it. The filters reach a parquet scan."""
     cutoff = F.lit(cutoff_date).cast(df.schema[date_col].dataType)
-    return df.where(F.col(date_col) < cutoff), df.where(F.col(date_col) >= cutoff)
+    return df.where(named(date_col) < cutoff), df.where(named(date_col) >= cutoff)
 
 
 def with_split_label(df: DataFrame, cutoff_date, date_col: str = "ds") -> DataFrame:
     cutoff = F.lit(cutoff_date).cast(df.schema[date_col].dataType)
-    return df.withColumn("split", F.when(F.col(date_col) < cutoff, "train").when(F.col(date_col) >= cutoff, "test"))
+    return df.withColumn("split", F.when(named(date_col) < cutoff, "train").when(named(date_col) >= cutoff, "test"))
 
 
 def train_val_test_split(

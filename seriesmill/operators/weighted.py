@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
+from ..functions.scalars import named
+
 
 def _cosine_sum(*terms: float) -> Callable[[int], list[float]]:
     def weights(n: int) -> list[float]:
@@ -48,6 +50,20 @@ def _parzen(n: int) -> list[float]:
 
 
 # The published coefficients of the cosine-sum windows.
+def _tukey(n: int, alpha: float = 0.5) -> list[float]:
+    """Flat in the middle, half a cosine over the share ``alpha`` at the ends."""
+    side = alpha * (n - 1) / 2
+    return [0.5 * (1 - math.cos(math.pi * d / side)) if d < side else 1.0 for i in range(n) for d in [min(i, n - 1 - i)]]
+
+
+def _exponential(n: int, tau: float = 1.0) -> list[float]:
+    return [math.exp(-abs(i - (n - 1) / 2) / tau) for i in range(n)]
+
+
+def _lanczos(n: int) -> list[float]:
+    return [math.sin(math.pi * x) / (math.pi * x) if x else 1.0 for i in range(n) for x in [2 * i / (n - 1) - 1]]
+
+
 WINDOWS: dict[str, Callable[[int], list[float]]] = {
     "boxcar": lambda n: [1.0] * n,
     "triang": _triang,
@@ -61,6 +77,10 @@ WINDOWS: dict[str, Callable[[int], list[float]]] = {
     "bohman": _bohman,
     "barthann": _barthann,
     "parzen": _parzen,
+    "flattop": _cosine_sum(0.21557895, 0.41663158, 0.277263158, 0.083578947, 0.006947368),
+    "tukey": _tukey,
+    "exponential": _exponential,
+    "lanczos": _lanczos,
 }
 
 
@@ -78,7 +98,7 @@ def _add(cols: Sequence[Column]) -> Column:
 def _terms(w: WindowSpec, target: str, weights: Sequence[float]) -> list[tuple[Column, Column]]:
     """(value, weight) of the rows before the current one; a missing value weighs nothing."""
     n = len(weights)
-    values = [F.lag(target, k).over(w).cast("double") for k in range(n, 0, -1)]
+    values = [F.lag(named(target), k).over(w).cast("double") for k in range(n, 0, -1)]
     return [
         (F.coalesce(v, F.lit(0.0)), F.when(v.isNotNull(), F.lit(float(q))).otherwise(0.0))
         for v, q in zip(values, weights)
@@ -86,7 +106,7 @@ def _terms(w: WindowSpec, target: str, weights: Sequence[float]) -> list[tuple[C
 
 
 def enough_values(w: WindowSpec, target: str, window: int, min_periods: int | None) -> Column:
-    return F.count(target).over(w.rowsBetween(-window, -1)) >= (window if min_periods is None else min_periods)
+    return F.count(named(target)).over(w.rowsBetween(-window, -1)) >= (window if min_periods is None else min_periods)
 
 
 def weighted_mean(w: WindowSpec, target: str, weights: Sequence[float]) -> Column:
@@ -103,6 +123,6 @@ def weighted_std(w: WindowSpec, target: str, weights: Sequence[float], mean: str
     n = len(weights)
     terms = _terms(w, target, weights)
     spread = F.try_divide(
-        _add([q * (v - F.col(mean)) * (v - F.col(mean)) for v, q in terms]), _add([q for _, q in terms])
+        _add([q * (v - named(mean)) * (v - named(mean)) for v, q in terms]), _add([q for _, q in terms])
     )
     return F.when(enough_values(w, target, n, 2), F.sqrt(spread * (n / max(n - 1, 1))))

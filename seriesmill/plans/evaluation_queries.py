@@ -220,7 +220,7 @@ _ORDER_LINE = """fit AS (SELECT fold, regr_slope(o_totalprice, o_custkey) AS b,
 
 @register(
     "t4_cv_linear_regression",
-    f"""WITH {_NUMBERED_ORDERS}, {fold_sql('numbered', 3)}, {_ORDER_LINE}
+    f"""WITH {_NUMBERED_ORDERS}, {fold_sql('numbered')}, {_ORDER_LINE}
     SELECT fold, round(sqrt(avg(pow(o_totalprice - a - b * o_custkey, 2))), 3) AS rmse
     FROM numbered JOIN folds ON pos >= val_start AND pos < val_end JOIN fit USING (fold) GROUP BY fold""",
 )
@@ -228,7 +228,7 @@ def t4_cv_linear_regression(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice")
     line = LinearRegression(solver="normal", standardization=False)
     keys = ["o_orderdate", "o_orderkey"]
-    return rounded(time_series_cv(orders, line, "o_totalprice", keys, features=["o_custkey"], n_splits=3), 3)
+    return rounded(time_series_cv(orders, line, "o_totalprice", keys, features=["o_custkey"]), 3)
 
 
 @register("t4_cv_boosted_trees")
@@ -238,17 +238,17 @@ def t4_cv_boosted_trees(spark, sf_dir):
 
     lagged = add_lag_features(brand_months(spark, sf_dir), "sales_amount", ["p_brand"], [1, 12], ["period"], "whole")
     rows = lagged.where("sales_amount_lag12 IS NOT NULL").withColumn("month", F.month("period"))
-    trees = GBTRegressor(maxIter=5, maxDepth=3, seed=7)
+    trees = GBTRegressor(seed=7)
     return time_series_cv(
         rows, trees, "sales_amount", ["period", "p_brand"],
-        features=["sales_amount_lag1", "sales_amount_lag12", "month"], n_splits=2,
+        features=["sales_amount_lag1", "sales_amount_lag12", "month"],
     )
 
 
 @register(
     "t5_cv_on_original_scale",
     f"""WITH numbered AS (SELECT o_custkey, ln(1 + o_totalprice) AS y,
-      row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS pos FROM orders), {fold_sql('numbered', 2)},
+      row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS pos FROM orders), {fold_sql('numbered')},
     fit AS (SELECT fold, regr_slope(y, o_custkey) AS b, regr_intercept(y, o_custkey) AS a
       FROM numbered JOIN folds ON pos < train_end GROUP BY fold)
     SELECT fold, round(sqrt(avg(pow(exp(y) - exp(a + b * o_custkey), 2))), 3) AS rmse
@@ -258,7 +258,7 @@ def t5_cv_on_original_scale(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey", log1p("o_totalprice").alias("y"))
     line = LinearRegression(solver="normal", standardization=False)
     keys = ["o_orderdate", "o_orderkey"]
-    return rounded(time_series_cv(orders, line, "y", keys, features=["o_custkey"], n_splits=2, log=True), 3)
+    return rounded(time_series_cv(orders, line, "y", keys, features=["o_custkey"], log=True), 3)
 
 
 @register(
@@ -309,24 +309,16 @@ def m1_scaler(spark, sf_dir):
     f"""WITH {_SCALED_SQL}, w AS (SELECT o_orderkey, o_totalprice AS y,
       list([o_totalprice, o_custkey]) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey
         ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS s FROM scaled)
-    SELECT o_orderkey, CAST(len(s) AS INTEGER) AS rows, round(list_sum(flatten(s)), 6) AS total, round(s[1][1], 6) AS oldest,
-    round(s[6][2], 6) AS newest_customer, round(y, 6) AS next_target FROM w WHERE len(s) = 6""",
+    SELECT o_orderkey, CAST(generate_subscripts(s, 1) - 1 AS INTEGER) AS row, round(unnest(s)[1], 6) AS price,
+    round(unnest(s)[2], 6) AS customer, round(y, 6) AS next_target FROM w WHERE len(s) = 6""",
 )
 def m2_subsequences(spark, sf_dir):
     scaled, _ = _scaled_orders(spark, sf_dir)
     windows = extract_subsequences(
         scaled, _SCALED, "o_totalprice", 6, ["o_orderdate", "o_orderkey"], ["o_orderpriority"]
     )
-    return rounded(
-        windows.select(
-            "o_orderkey",
-            F.size("subsequence").alias("rows"),
-            F.aggregate(F.flatten("subsequence"), F.lit(0.0), lambda s, v: s + v).alias("total"),
-            F.col("subsequence")[0][0].alias("oldest"),
-            F.col("subsequence")[5][1].alias("newest_customer"),
-            "next_target",
-        )
-    )
+    cells = windows.select("o_orderkey", F.posexplode("subsequence").alias("row", "cells"), "next_target")
+    return rounded(cells.select("o_orderkey", "row", F.col("cells")[0].alias("price"), F.col("cells")[1].alias("customer"), "next_target"))
 
 
 @register(

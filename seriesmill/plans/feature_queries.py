@@ -1,5 +1,6 @@
 """Window features: on monthly series (one row per period) and on all orders by priority (transaction rows)."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators.features import (
@@ -9,7 +10,6 @@ from ..operators.features import (
     create_time_series_features,
     prepare_features,
 )
-from ..operators.weighted import rolling_weights
 from ..session import materialize
 from .calendar_queries import time_features_sql
 from .inputs import BRAND_MONTHS, PART_MONTHS, brand_months, part_months, sales_by, table
@@ -230,10 +230,70 @@ def w11_ewm_of_rows(spark, sf_dir):
     return _order_features(spark, sf_dir, ewm=True, weights=[0.9, 0.5], lags=[1])
 
 
+# Every series starts with a huge value, and every seventh order has none: means over very different magnitudes.
+_HUGE_FIRST = f"""huge AS (SELECT o_orderkey, o_orderdate, o_orderpriority, CASE
+    WHEN row_number() {_OW} = 1 THEN 1e30 WHEN o_orderkey % 7 = 3 THEN NULL ELSE o_totalprice END AS y FROM orders)"""
+
+
+def _ewm_all_sql(alphas, lags):
+    """Means over all rows before, as leading digits and power of ten."""
+    sums = ", ".join(
+        f"sum(pow(1 - {a}, a.n - b.n) * b.x) / sum(CASE WHEN b.x IS NOT NULL THEN pow(1 - {a}, a.n - b.n) END) AS e{i}"
+        for i, a in enumerate(alphas)
+    )
+    lagged = ", ".join(
+        f"lag(e{i}, {k}) OVER (PARTITION BY g ORDER BY n) AS e{i}_{k}" for i in range(len(alphas)) for k in lags
+    )
+    cols = ", ".join(
+        f"CAST(floor(log10(e{i}_{k})) AS BIGINT) AS power_{i}_{k}, round(e{i}_{k} / pow(10, floor(log10(e{i}_{k}))), 7) AS digits_{i}_{k}"
+        for i in range(len(alphas))
+        for k in lags
+    )
+    return f"""WITH {_HUGE_FIRST}, numbered AS (SELECT o_orderkey, o_orderpriority AS g, y AS x, row_number() {_OW} AS n FROM huge),
+    means AS (SELECT any_value(a.o_orderkey) AS o_orderkey, a.g, a.n, {sums}
+      FROM numbered a JOIN numbered b ON a.g = b.g AND b.n <= a.n GROUP BY a.g, a.n),
+    lagged AS (SELECT o_orderkey, {lagged} FROM means) SELECT o_orderkey, {cols} FROM lagged"""
+
+
+def _huge_first(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(*_ORDERS)
+    first = F.row_number().over(Window.partitionBy("o_orderpriority").orderBy("o_orderdate", "o_orderkey")) == 1
+    y = F.when(first, 1e30).when(F.col("o_orderkey") % 7 != 3, F.col("o_totalprice"))
+    return orders.select("o_orderkey", "o_orderdate", "o_orderpriority", y.alias("y"))
+
+
+def _ewm_digits(spark, sf_dir, layout, alphas, lags, **flags):
+    out = create_time_series_features(
+        _huge_first(spark, sf_dir), "y", ["o_orderdate", "o_orderkey"], "o_orderpriority", lags=lags, weights=alphas,
+        date_related=False, ewm=True, date_col="o_orderdate", layout=layout, **flags,
+    )
+    cols = {f"{i}_{k}": F.col(f"`sales_ewm_w_{a}_lag_{k}`") for i, a in enumerate(alphas) for k in lags}
+    power = {n: F.floor(F.log10(c)) for n, c in cols.items()}
+    digits = [F.round(c / F.pow(F.lit(10.0), power[n].cast("double")), 7).alias(f"digits_{n}") for n, c in cols.items()]
+    return out.select("o_orderkey", *[p.cast("bigint").alias(f"power_{n}") for n, p in power.items()], *digits)
+
+
+@register("w11_ewm_over_magnitudes", _ewm_all_sql([0.5, 0.02], [1]))
+def w11_ewm_over_magnitudes(spark, sf_dir):
+    return _ewm_digits(spark, sf_dir, "whole", [0.5, 0.02], [1])
+
+
+@register("w11_ewm_in_blocks", _ewm_all_sql([0.5, 0.02], [1]))
+def w11_ewm_in_blocks(spark, sf_dir):
+    return _ewm_digits(spark, sf_dir, "blocks", [0.5, 0.02], [1], block_rows=200)
+
+
+def _weight_sql(win_type, i, n):
+    """The weight of place i of n in SQL, apart from the code that is checked."""
+    if win_type == "triang":
+        return f"(1 - abs(2.0 * {i} - {n - 1}) / {n + n % 2})"
+    return f"(0.54 - 0.46 * cos(2 * pi() * {i} / {n - 1}))"
+
+
 def _weighted_sql(win_type, n):
-    q = rolling_weights(win_type, n)
+    q = [_weight_sql(win_type, i, n) for i in range(n)]
     lags = [f"lag(sales_amount, {n - i}) {_W}" for i in range(n)]
-    total = sum(q)
+    total = "(" + " + ".join(q) + ")"
     mean = "(" + " + ".join(f"{w} * {x}" for w, x in zip(q, lags)) + f") / {total}"
     spread = " + ".join(f"{w} * pow(x{i} - m, 2)" for i, w in enumerate(q))
     lag_cols = ", ".join(f"{x} AS x{i}" for i, x in enumerate(lags))
@@ -313,6 +373,26 @@ def w14_time_series_features(spark, sf_dir):
     return _std_digits(out)
 
 
+@register(
+    "w14_time_series_features_in_blocks",
+    f"""WITH logged AS (SELECT o_orderkey, o_orderdate, o_orderpriority, {_LOG} AS y FROM orders), ewm AS (WITH {_ROW_EWM})
+    SELECT o_orderkey, round(y, 6) AS o_totalprice, round(lag(y, 1) {_OW}, 6) AS sales_lag_1, round(lag(y, 7) {_OW}, 6) AS sales_lag_7,
+    """
+    + ", ".join(
+        _full(fn, "y", n, f"sales_roll_{name}_{n}", _OPART, _OORDER, 1, 6) for name, fn in (("mean", "avg"), ("min", "min")) for n in (3, 12)
+    )
+    + ', "sales_ewm_w_0.9_lag_1", "sales_ewm_w_0.9_lag_7" FROM logged JOIN ewm USING (o_orderkey)',
+)
+def w14_time_series_features_in_blocks(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(*_ORDERS)
+    out = create_time_series_features(
+        orders, "o_totalprice", ["o_orderdate", "o_orderkey"], "o_orderpriority", lags=[1, 7], windows=[3, 12],
+        weights=[0.9], min_periods=1, lag=True, log_transformation=True, roll=True, ewm=True, roll_mean=True,
+        roll_min=True, date_related=False, date_col="o_orderdate", layout="blocks", block_rows=200,
+    )
+    return _std_digits(out.drop("o_orderdate", "o_orderpriority"))
+
+
 @register(
     "o3_rows_in_date_order",
     f"""SELECT o_orderkey, row_number() {_OW} AS n FROM orders""",

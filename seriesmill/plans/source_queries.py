@@ -28,6 +28,30 @@ def s1_csv_scan(spark, sf_dir):
     return ensure_datetime(get_loader(spark, {"type": "csv", "filepath": path}).load())
 
 
+@register(
+    "s1_csv_scan_hard_cells",
+    """SELECT event_id + 9000000000000000000 AS event_id, user_id AS blank_user,
+    CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id + 9000000000000000000 AS VARCHAR) END AS gappy_id,
+    '9' || (event_id + 9000000000000000000) AS beyond_64_bits, event_type || ', first' || chr(10) || 'second "line"' AS note
+    FROM events""",
+)
+def s1_csv_scan_hard_cells(spark, sf_dir):
+    """Ids of 19 digits with and without gaps, blanks around numbers, separators, quotes and line breaks in texts."""
+    path = scratch_path(spark, "events-csv")
+    long_id = F.col("event_id") + 9000000000000000000
+    cells = table(spark, sf_dir, "events").select(
+        long_id.alias("event_id"),
+        F.concat(F.lit(" "), F.col("user_id").cast("string"), F.lit("  ")).alias("blank_user"),
+        F.when(F.col("event_id") % 3 != 0, long_id).alias("gappy_id"),
+        F.concat(F.lit("9"), long_id.cast("string")).alias("beyond_64_bits"),
+        F.concat("event_type", F.lit(', first\nsecond "line"')).alias("note"),
+    )
+    writer = cells.write.option("header", True).option("escape", '"').option("quoteAll", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    read = get_loader(spark, {"type": "csv", "filepath": path, "multi_line": True}).load()
+    return read.withColumn("gappy_id", F.col("gappy_id").cast("string"))
+
+
 @register("s1_csv_scan_semicolon", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def s1_csv_scan_semicolon(spark, sf_dir):
     path = scratch_path(spark, "customer-csv")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,15 +21,34 @@ SETTINGS = {
 }
 
 _local_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
+_scratch: list[list[str]] = []
 
 
 def build_session(app_name: str = "seriesmill", master: str | None = None, **extra: str) -> SparkSession:
+    """A session with the settings above whose workers can import this package."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of a session, once; needed where it is not installed on them."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="seriesmill-")) / "seriesmill.zip"  # read by the driver, served by Spark
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,7 +68,29 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/seriesmill/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/seriesmill/{label}-{uuid.uuid4().hex}"
+    for listed in _scratch:
+        listed.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete at the end what operators wrote to the shared folder within: finish with their results before.
+
+        with scratch_scope(spark):
+            add_lag_features(rows, layout="blocks").write.parquet(target)
+    """
+    paths: list[str] = []
+    _scratch.append(paths)
+    try:
+        yield paths
+    finally:
+        _scratch.remove(paths)
+        jvm = spark._jvm
+        for path in paths:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -10,23 +10,50 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import named
+
 # The texts a CSV reader takes for a missing value.
 MISSING_TEXTS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Texts that read as a 64-bit whole number and as a number.
-WHOLE_PATTERN = r"^[+-]?\d{1,18}$"
+# Texts that read as a whole number and as a number.
+WHOLE_PATTERN = r"^[+-]?\d+$"
 NUMBER_PATTERN = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
 
-# What a cell can be read as; a column's type follows from the set of kinds seen in it.
-_MISSING, _WHOLE, _NUMBER, _FLAG, _TEXT = range(5)
+# What a cell can be read as; a column's type follows from the set of kinds seen in it. A long whole number is one
+# that a double may not hold.
+_MISSING, _WHOLE, _NUMBER, _FLAG, _TEXT, _LONG_WHOLE = range(6)
+_EXACT_DIGITS = 15
+_LINE = "_line"
+
 
+def _raw_frame(spark: SparkSession, path: str, sep: str, multi_line: bool = False) -> DataFrame:
+    """All columns as text, and the whole line where it has another number of fields than the header.
 
-def _raw_frame(spark: SparkSession, path: str, sep: str) -> DataFrame:
-    """All columns as text. A path that does not exist raises."""
-    return spark.read.option("header", True).option("sep", sep).option("escape", '"').csv(path)
+    A path that does not exist raises.
+    """
+    reader = spark.read.option("header", True).option("sep", sep).option("escape", '"').option("multiLine", multi_line)
+    names = reader.csv(path).columns
+    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in names], T.StructField(_LINE, T.StringType())])
+    # fields are counted only where all of them are parsed
+    raw = reader.option("columnNameOfCorruptRecord", _LINE).option("columnPruning", False).schema(schema).csv(path)
+    # a line with fewer fields ends with missing values; one with more would lose the rest
+    wider = ", ".join(f"c{k} string" for k in range(len(names) + 1))
+    options = {"sep": sep, "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}
+    surplus = F.from_csv(F.concat(_LINE, F.lit("x")), wider, options)[f"c{len(names)}"].isNotNull()  # an empty last field too
+    # named so that the line is never read alone, which Spark refuses
+    surplus &= F.length(_LINE) >= F.length(F.coalesce(named(names[0]), F.lit("")))
+    message = F.concat(F.lit("more fields than the header has: "), F.col(_LINE))
+    return raw.where(F.when(F.col(_LINE).isNotNull() & surplus, F.raise_error(message).cast("boolean")).otherwise(True)).drop(_LINE)
+
+
+def _check_quotes(spark: SparkSession, path: str) -> None:
+    """Raise where a quoted text goes on in the next line, which is only read as such with ``multi_line``."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    if not spark.read.text(path).where(quotes % 2 == 1).isEmpty():
+        raise ValueError(f"{path} has quoted line breaks: read it with multi_line=True")
 
 
 def _is_missing(cell: Column) -> Column:
@@ -34,10 +61,12 @@ def _is_missing(cell: Column) -> Column:
 
 
 def _kind(cell: Column) -> Column:
+    number = F.trim(cell)
+    long = F.when(number.try_cast("bigint").isNull(), _TEXT).otherwise(_LONG_WHOLE)
     return (
         F.when(_is_missing(cell), _MISSING)
-        .when(cell.rlike(WHOLE_PATTERN), _WHOLE)
-        .when(cell.rlike(NUMBER_PATTERN), _NUMBER)
+        .when(number.rlike(WHOLE_PATTERN), F.when(F.length(number) <= _EXACT_DIGITS, _WHOLE).otherwise(long))
+        .when(number.rlike(NUMBER_PATTERN), _NUMBER)
         .when(F.lower(cell).isin("true", "false"), _FLAG)
         .otherwise(_TEXT)
     )
@@ -49,31 +78,43 @@ def _column_type(seen: set[int]) -> T.DataType:
         return T.StringType() if _MISSING in seen else T.BooleanType()
     if found & {_FLAG, _TEXT}:
         return T.StringType()
-    return T.LongType() if seen == {_WHOLE} else T.DoubleType()
+    if _NUMBER not in found and (_LONG_WHOLE in found or seen == {_WHOLE}):
+        return T.LongType()
+    return T.DoubleType()
 
 
 def infer_types(raw: DataFrame) -> T.StructType:
     """Whole numbers without gaps are bigint, other numbers double, true/false boolean, the rest text.
 
-    Dates stay text. One aggregate over the file collects a bit set of kinds per column; give a schema to
+    Whole numbers of more than 15 digits are bigint with gaps too, and text beyond 64 bits: a double would lose
+    digits. Blanks around a number do not count. Dates stay text. One aggregate over the file collects a bit set of kinds per column; give a schema to
     avoid reading the file a second time.
     """
-    bits = [F.bit_or(F.call_function("shiftleft", F.lit(1), _kind(F.col(f"`{c}`")))).alias(f"c{i}") for i, c in enumerate(raw.columns)]
+    bits = [F.bit_or(F.call_function("shiftleft", F.lit(1), _kind(named(c)))).alias(f"c{i}") for i, c in enumerate(raw.columns)]
     masks = raw.agg(*bits).first()
-    kinds = [{k for k in range(5) if (mask or 0) >> k & 1} for mask in masks]
+    kinds = [{k for k in range(6) if (mask or 0) >> k & 1} for mask in masks]
     return T.StructType([T.StructField(c, _column_type(seen)) for c, seen in zip(raw.columns, kinds)])
 
 
-def read_csv(spark: SparkSession, path: str, sep: str = ",", schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header row. Without a schema the column types are inferred from all rows."""
-    raw = _raw_frame(spark, path, sep)
+def read_csv(
+    spark: SparkSession, path: str, sep: str = ",", schema: T.StructType | str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header row. Without a schema the column types are inferred from all rows.
+
+    A line with more fields than the header raises when it is read. ``multi_line`` allows line breaks inside quoted
+    texts; such a file is read by one task, so it is not the default.
+    """
+    raw = _raw_frame(spark, path, sep, multi_line)
+    if schema is None and not multi_line:
+        _check_quotes(spark, path)
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     schema = schema or infer_types(raw)
 
     def cell(f: T.StructField) -> Column:
-        text = F.col(f"`{f.name}`")
-        return F.when(~_is_missing(text), text).cast(f.dataType).alias(f.name)
+        text = named(f.name)
+        value = text if isinstance(f.dataType, T.StringType) else F.trim(text)
+        return F.when(~_is_missing(text), value).cast(f.dataType).alias(f.name)
 
     return raw.select(*[cell(f) for f in schema])
 
@@ -103,7 +144,7 @@ class Loader:
 
 
 def _load_csv(spark: SparkSession, c: dict[str, Any]) -> DataFrame:
-    return read_csv(spark, c["filepath"], c.get("sep", ","), c.get("schema"))
+    return read_csv(spark, c["filepath"], c.get("sep", ","), c.get("schema"), c.get("multi_line", False))
 
 
 def _load_table(spark: SparkSession, c: dict[str, Any]) -> DataFrame:

@@ -1,31 +1,47 @@
 """Keep a parameter table up to date from a stream of new observations.
 
-Every micro-batch turns version ``n`` of the table into version ``n + 1``, ``n`` being the batch number. A
-batch that is run again after a failure reads and writes the same versions, so no row is counted twice.
+Every micro-batch turns the newest version of the table into the next one. A version counts once its mark is written
+beside it: which stream (the id Spark keeps with the checkpoint) and which batch of it made the version. A batch that
+is run again after a failure is known by its mark and not applied twice, and a stream that starts with a new checkpoint
+goes on from the newest version, whatever its own numbers are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from ..forecasting.arima import update_incremental
 
 
+MARK = "stream string, batch long"
+
+
 def _version_path(folder: str, version: int) -> str:
-    return f"{folder.rstrip('/')}/version={version}"
+    return f"{folder.rstrip('/')}/params/version={version}"
+
 
+def _mark_path(folder: str, version: int) -> str:
+    return f"{folder.rstrip('/')}/marks/version={version}"
 
-def publish(folder: str, params: DataFrame, version: int = 0) -> None:
+
+def publish(folder: str, params: DataFrame, version: int = 0, stream: str | None = None, batch: int | None = None) -> None:
+    """Write a version and then its mark; a version without a mark is not read and may be written over."""
     params.write.mode("overwrite").parquet(_version_path(folder, version))
+    mark = params.sparkSession.createDataFrame([(stream, batch)], MARK)
+    mark.coalesce(1).write.mode("overwrite").parquet(_mark_path(folder, version))
+
+
+def _newest(spark: SparkSession, folder: str) -> Row:
+    """version, stream, batch of the newest version: one row per version is looked at."""
+    marks = spark.read.schema(f"{MARK}, version int").parquet(f"{folder.rstrip('/')}/marks")
+    return marks.orderBy(F.desc("version")).first()
 
 
 def latest(spark: SparkSession, folder: str) -> DataFrame:
     """The newest version of the parameter table."""
-    versions = spark.read.parquet(folder)
-    newest = versions.agg(F.max("version")).first()[0]
-    return versions.where(F.col("version") == newest).drop("version")
+    return spark.read.parquet(_version_path(folder, _newest(spark, folder)["version"]))
 
 
 def update_from_stream(
@@ -38,13 +54,16 @@ def update_from_stream(
 ) -> DataStreamWriter:
     """Apply ``update_incremental`` per micro-batch; version 0 must have been published in ``folder``.
 
-    A series that was never fitted stops the stream. The caller adds a checkpoint location and a trigger.
+    A series that was never fitted, or a late or repeated date, stops the stream. The caller adds a checkpoint location and a trigger.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = spark.read.parquet(_version_path(folder, batch_id))
-        after = update_incremental(before, batch, id_col, y_col, ds_col, update_params)
-        publish(folder, after, batch_id + 1)
+        name = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        newest = _newest(spark, folder)
+        if newest["stream"] is not None and newest["stream"] == name and newest["batch"] >= batch_id:
+            return  # run again after its version was written
+        after = update_incremental(latest(spark, folder), batch, id_col, y_col, ds_col, update_params)
+        publish(folder, after, newest["version"] + 1, name, batch_id)
 
     return stream.writeStream.outputMode("append").foreachBatch(apply)

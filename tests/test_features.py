@@ -6,8 +6,12 @@ import pytest
 from pandas._libs.window.aggregations import roll_weighted_mean, roll_weighted_var
 from pyspark.sql import functions as F
 
-from seriesmill.operators.features import create_time_series_features, prepare_features
+from seriesmill.operators.features import (
+    add_diff_features, add_lag_features, add_rolling_features, create_time_series_features, prepare_features,
+)
 from seriesmill.operators.layout import lay_out, number_rows
+from seriesmill.operators.metrics import evaluate_result_forecast
+from seriesmill.operators.scaling import fit_min_max, scale_min_max
 from seriesmill.operators.weighted import WINDOWS, rolling_weights
 
 
@@ -32,7 +36,7 @@ def to_spark(spark, pdf):
 def with_small_blocks(monkeypatch, size):
     import seriesmill.operators.features as feat
 
-    monkeypatch.setattr(feat, "lay_out", lambda df, g, o, _: lay_out(df, g, o, "blocks", size))
+    monkeypatch.setattr(feat, "lay_out", lambda df, g, o, *_: lay_out(df, g, o, "blocks", size))
 
 
 def same(got, want):
@@ -221,3 +225,38 @@ def test_results_do_not_depend_on_the_number_of_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     for other in results[1:]:
         pd.testing.assert_frame_equal(results[0], other, rtol=1e-12)
+
+
+def test_ewm_is_the_same_in_every_layout(spark, monkeypatch):
+    """A value of 1e30 long ago still counts, whatever the layout, and missing values lie at block ends too."""
+    rows = [("a", i, None if i % 7 == 3 else 1e30 if i == 0 else float(i)) for i in range(600)]
+    rows += [("b", i, None if i < 120 else float(i % 11)) for i in range(300)] + [("c", 0, 2.0), (None, 0, 1.0)]
+    df = spark.createDataFrame(rows, "g string, i int, y double")
+    alphas = [0.5, 0.9, 0.01, 1.0]
+    for layout, size in (("whole", 100), ("blocks", 100), ("blocks", 37)):
+        out = create_time_series_features(df, "y", "i", "g", lags=[1], weights=alphas, date_related=False, ewm=True, layout=layout, block_rows=size)
+        got = out.where("g IS NOT NULL").toPandas().sort_values(["g", "i"])
+        for a in alphas:
+            want = got.groupby("g")["y"].transform(lambda s: s.ewm(alpha=a).mean().shift(1))
+            assert np.allclose(got[f"sales_ewm_w_{a}_lag_1"].astype(float), want, rtol=1e-9, equal_nan=True), (layout, size, a)
+
+
+def test_ties_are_ordered_alike_in_every_layout(spark):
+    df = spark.range(200).selectExpr("id % 2 AS g", "id div 10 AS i", "cast(id * 37 % 101 AS double) AS y", "id")
+    parts = [add_lag_features(df.repartition(n), "y", ["g"], [1, 3], ["i"], layout) for layout, n in (("whole", 1), ("whole", 7), ("blocks", 5))]
+    first, *others = [sorted(tuple(r) for r in p.collect()) for p in parts]
+    assert all(o == first for o in others)
+
+
+@pytest.mark.parametrize("layout", ["whole", "blocks"])
+def test_own_output_goes_in_again(spark, layout):
+    """Names such as sales_ewm_w_0.5_lag_1 hold a dot."""
+    df = spark.range(40).selectExpr("id % 2 AS `a.g`", "id AS `the.i`", "cast(id AS double) AS `y.z`")
+    first = create_time_series_features(df, "y.z", "the.i", "a.g", lags=[1], weights=[0.5], date_related=False, ewm=True, lag=True, layout=layout)
+    name = "sales_ewm_w_0.5_lag_1"
+    second = create_time_series_features(first, name, "the.i", "a.g", lags=[2], windows=[3], weights=[0.9], date_related=False, ewm=True, lag=True, roll=True, roll_mean=True, layout=layout)
+    assert second.count() == 40
+    for add in (add_rolling_features, add_diff_features):
+        assert add(first, name, ["a.g"], [3], ["the.i"], layout).count() == 40
+    scaled = scale_min_max(first, fit_min_max(first, [name]), [name])
+    assert evaluate_result_forecast(scaled.where(f"`{name}` IS NOT NULL"), name, "y.z").count() == 1

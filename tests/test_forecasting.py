@@ -29,6 +29,8 @@ DATES = {
     "B": pd.date_range("2021-01-06", periods=8, freq="B"),
     "h": pd.date_range("2021-01-01 22:00", periods=5, freq="h"),
     "15min": pd.date_range("2021-01-01", periods=5, freq="15min"),
+    "250ms": pd.date_range("2021-01-01 23:59:59.5", periods=5, freq="250ms"),
+    "1500us": pd.date_range("2021-01-01", periods=5, freq="1500us"),
 }
 
 
@@ -122,10 +124,12 @@ def test_stream_of_updates_equals_fit_on_everything(spark, tmp_path):
 
     spec, folder, source = ArimaSpec((1, 1, 0), trend="c"), f"{tmp_path}/params", f"{tmp_path}/new"
     publish(folder, arima.fit(rows(0, 40), spec, freq="MS"))
-    for lo, hi in ((40, 50), (50, 60)):
+    for lo, hi, checkpoint in ((40, 50, "cp"), (50, 55, "cp"), (55, 60, "cp-new")):
+        if checkpoint == "cp-new":
+            source += "-new"
         rows(lo, hi).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema("unique_id string, ds timestamp_ntz, y double").parquet(source)
-        writer = update_from_stream(stream, folder, update_params=True).option("checkpointLocation", f"{tmp_path}/cp")
+        writer = update_from_stream(stream, folder, update_params=True).option("checkpointLocation", f"{tmp_path}/{checkpoint}")
         query = writer.trigger(availableNow=True).start()
         query.awaitTermination()
     got = latest(spark, folder).toPandas().set_index("unique_id")
@@ -134,6 +138,8 @@ def test_stream_of_updates_equals_fit_on_everything(spark, tmp_path):
         assert got.loc[u, "n_obs"] == 60
         np.testing.assert_allclose(got.loc[u, "ar"], want.loc[u, "ar"], rtol=1e-8)
         np.testing.assert_allclose(got.loc[u, "y_tail"], want.loc[u, "y_tail"])
+    with pytest.raises(Exception, match="late or repeated"):
+        arima.update_incremental(latest(spark, folder), rows(58, 60), update_params=False)
     with pytest.raises(Exception):
         rows(0, 1).withColumn("unique_id", F.lit("zz")).write.mode("append").parquet(source)
         update_from_stream(stream, folder).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()

@@ -47,6 +47,33 @@ def test_csv_bad_value_raises(spark, tmp_path):
         read_csv(spark, path, schema="a int").collect()
 
 
+def test_csv_whole_numbers_keep_their_digits(spark, tmp_path):
+    path = write(tmp_path, "a,b,c,d\n1234567890123456789,1234567890123456787, 1,92233720368547758070\n1,, 2 ,1\n")
+    df = read_csv(spark, path)
+    assert dict(df.dtypes) == {"a": "bigint", "b": "bigint", "c": "bigint", "d": "string"}
+    assert [tuple(r) for r in df.orderBy("c").collect()] == [
+        (1234567890123456789, 1234567890123456787, 1, "92233720368547758070"), (1, None, 2, "1"),
+    ]
+
+
+def test_csv_line_breaks_in_texts(spark, tmp_path):
+    path = write(tmp_path, 'n,t\n1,"x\ny, ""z"""\n2,w\n')
+    with pytest.raises(ValueError, match="multi_line"):
+        read_csv(spark, path)
+    assert sorted(tuple(r) for r in read_csv(spark, path, multi_line=True).collect()) == [(1, 'x\ny, "z"'), (2, "w")]
+
+
+def test_csv_surplus_fields_raise_and_missing_ones_are_missing(spark, tmp_path):
+    short = write(tmp_path, "a,b\n1,2\n3\n", "short.csv")
+    assert sorted(tuple(r) for r in read_csv(spark, short, schema="a int, b int").collect()) == [(1, 2), (3, None)]
+    for name, text in (("full.csv", "a,b\n1,2\n3,4,5\n"), ("blank.csv", "a,b\n1,2\n3,4,\n")):
+        path = write(tmp_path, text, name)
+        with pytest.raises(Exception, match="more fields than the header"):
+            read_csv(spark, path)
+        with pytest.raises(Exception, match="more fields than the header"):
+            read_csv(spark, path, schema="a int, b int").count()
+
+
 def test_missing_file_raises(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         get_loader(spark, {"type": "csv", "filepath": f"{tmp_path}/none.csv"}).load()
