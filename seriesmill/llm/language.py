@@ -101,8 +101,11 @@ def training_rows(df: DataFrame, learn: Column, sample: int = SAMPLE, id_col: st
     doc = q(id_col).cast("long")
     known = df.where(learn & q(lang_col).isNotNull() & doc.isNotNull() & q(text_col).isNotNull())
     known = known.select(doc.alias("doc_id"), q(lang_col).cast("string").alias("lang"), q(text_col).cast("string").alias("text"))
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))  # a row per language
+    near = F.xxhash64("doc_id") / 2.0**64 + 0.5 < 1.5 * sample / F.col("n")  # leaves few more than the sample to be ranked
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
+    ids = known.select("doc_id", "lang").join(F.broadcast(sizes), "lang").where(near | (F.col("n") <= 2 * sample))
+    ids = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
     ids = ids.select("doc_id", "lang").distinct()  # at most sample rows for each language: a known bound
     return known.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").select("lang", "text")
 
