@@ -28,9 +28,11 @@ HEADLINE = [
     "w6_lags_of_rows",
     "w6_lags_of_rows_in_blocks",
     "w11_ewm_of_rows",
+    "w11_ewm_in_blocks",
     "w13_prepare_features",
     "w13_prepare_features_by_product",
     "w14_time_series_features",
+    "w14_time_series_features_in_blocks",
     "g15_evaluate_regressor",
     "t2_folds_of_all_orders",
     "t3_fold_report",

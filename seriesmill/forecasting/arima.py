@@ -220,7 +220,8 @@ def _solved(sums: DataFrame, spec: ArimaSpec) -> DataFrame:
             "trend_coef": part(0, n_trend),
             "ar": part(n_trend, n_ar),
             "ma": part(n_trend + n_ar, n_ma),
-            "sigma2": F.try_divide(error, F.col("n_rows")),
+            # no error is left to measure where every row has a coefficient of its own
+            "sigma2": F.when(F.col("n_rows") > n_trend + n_ar + n_ma, F.try_divide(error, F.col("n_rows"))),
         }
     ).drop("__b")
 
@@ -255,7 +256,8 @@ def fit(
     Columns: unique_id, n_obs, last_date, freq (with unit and step), beta (regressors), centre, long_ar,
     trend_coef, ar and ma (by lag, in the order of the spec), sigma2, the product sums (n_rows, yy, xy, xx),
     y_tail, e_tail and the spec. Rows with a missing value in a needed lag do not enter the sums; a series
-    too short for its model has zero coefficients.
+    too short for its model has zero coefficients, and one with no more rows than coefficients has no sigma2
+    and no interval.
     """
     panel = _panel(df, spec, id_col, y_col, ds_col)
     if layout == "auto" or spec.exog_cols or spec.ma_lags:  # read more than once

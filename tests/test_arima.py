@@ -280,3 +280,12 @@ def test_spec_checks():
     spec = ArimaSpec((1, 1, 1), (1, 1, 1, 12), "ct", ("x",))
     assert ArimaSpec.from_json(spec.to_json()) == spec
     assert spec.ar_lags == [1, 12, 13] and spec.span == 13
+
+
+def test_no_interval_without_spare_rows(spark):
+    """Three rows for four coefficients fit without error; that is no certainty."""
+    df = to_panel(spark, {"a": [float(i * i % 7) for i in range(6)]})
+    params = arima.fit(df, ArimaSpec((3, 0, 0), trend="c"), freq="MS", layout="whole")
+    assert params.first().sigma2 is None
+    got = arima.forecast(params, 2).collect()
+    assert len(got) == 2 and all(r.yhat is not None and r.yhat_lower is None and r.yhat_upper is None for r in got)
