@@ -31,7 +31,7 @@ def _byte_names() -> dict[int, str]:
 class WordIds(dict):
     """Ids (little-endian unsigned 32-bit) by word; unknown words are encoded when they are asked for."""
 
-    def __init__(self, path: str, remembered: int = 1_000_000):
+    def __init__(self, path: str, remembered: int = 800_000):
         super().__init__()
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
