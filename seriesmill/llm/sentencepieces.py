@@ -23,10 +23,9 @@ from __future__ import annotations
 
 import functools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +35,7 @@ from ..session import materialize
 from .common import batches, id_and_text
 
 CHUNK_CHARS = 1 << 14
+ROWS = 256
 SPACE = "▁"
 #: a character outside the vocabulary, so that nothing merges with it
 GUARD = "\x01"
@@ -118,6 +118,16 @@ class Pieces:
         return steps[::-1]
 
 
+def few(make: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]):
+    """``batches`` over some rows at a time: a list of ids takes many times the room of its text."""
+
+    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for k in range(0, batch.num_rows, ROWS):
+            yield from make(batch.slice(k, ROWS))
+
+    return batches(each)
+
+
 @functools.lru_cache(maxsize=2)
 def pieces_of(model: str) -> Pieces:
     return Pieces(model)
@@ -247,20 +257,28 @@ def chunks(df: DataFrame, model: str, chunk_chars: int = CHUNK_CHARS, id_col: st
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
     docs = id_and_text(df, id_col, text_col).withColumn("uid", F.monotonically_increasing_id())
-    return docs.mapInArrow(batches(each), CHUNKS)
+    return docs.mapInArrow(few(each), CHUNKS)
+
+
+def _by_document(rows: DataFrame, *columns: str) -> DataFrame:
+    """uid and the chunks of a document in order, as one list."""
+    return rows.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("listed"))
 
 
 def encode(df: DataFrame, model: str, chunk_chars: int = CHUNK_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """uid (a document), doc_id, chunk, chunks, ids, text_crc32 and text_bytes (of the chunk's text)."""
     found = materialize(chunks(df, model, chunk_chars, id_col, text_col), "chunks")
 
-    def scan(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("chunk", ignore_index=True)
-        states = states_of([[int(x, 16) for x in m] for m in group["matrix"]])
-        return pd.DataFrame({"uid": key[0], "chunk": group["chunk"], "entry": [s for s, _ in states], "exit": [e for _, e in states]})
+    def scan(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for uid, listed in zip(batch.column("uid").to_pylist(), batch.column("listed").to_pylist()):
+            states = states_of([[int(x, 16) for x in c["matrix"]] for c in listed])
+            rows += [(uid, c["chunk"], entry, exit) for c, (entry, exit) in zip(listed, states)]
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["uid", "chunk", "entry", "exit"])
 
     several = found.where("chunks > 1")
-    states = several.select("uid", "chunk", "matrix").groupBy("uid").applyInPandas(scan, "uid long, chunk int, entry int, exit int")
+    states = _by_document(several, "chunk", "matrix").mapInArrow(few(scan), "uid long, chunk int, entry int, exit int")
 
     def finish(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         pieces, ids = pieces_of(model), []
@@ -270,7 +288,7 @@ def encode(df: DataFrame, model: str, chunk_chars: int = CHUNK_CHARS, id_col: st
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(ids, pa.list_(pa.int32()))], names=[*kept, "ids"])
 
     ended = several.join(states, ["uid", "chunk"]).mapInArrow(
-        batches(finish), "uid long, doc_id long, chunk int, chunks int, text_crc32 long, text_bytes long, ids array<int>"
+        few(finish), "uid long, doc_id long, chunk int, chunks int, text_crc32 long, text_bytes long, ids array<int>"
     )
     columns = ["uid", "doc_id", "chunk", "chunks", "ids", "text_crc32", "text_bytes"]
     whole = found.where("chunks = 1").withColumn("ids", F.col("inner"))
@@ -301,7 +319,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
         texts = [pieces.decode(i, k == 0) for i, k in zip(batch.column("ids").to_pylist(), batch.column("chunk").to_pylist())]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("uid", "doc_id", "chunk")), pa.array(texts)], names=["uid", "doc_id", "chunk", "text"])
 
-    return encoded.mapInArrow(batches(each), "uid long, doc_id long, chunk int, text string")
+    return encoded.mapInArrow(few(each), "uid long, doc_id long, chunk int, text string")
 
 
 def _times(matrix: list[int], vector: int) -> int:
@@ -314,16 +332,23 @@ def _times(matrix: list[int], vector: int) -> int:
     return out
 
 
-def joined_crc32(a: int, b: int, b_bytes: int) -> int:
-    """The checksum of two byte strings, one after the other, from theirs."""
-    step = [0xEDB88320, *(1 << k for k in range(31))]  # one zero bit more
+@functools.lru_cache(maxsize=64)
+def _zero_bytes(k: int) -> list[int]:
+    """What 2**k zero bytes do to a checksum, as a matrix over bits."""
+    if k:
+        half = _zero_bytes(k - 1)
+        return [_times(half, row) for row in half]
+    step = [0xEDB88320, *(1 << b for b in range(31))]  # one zero bit
     for _ in range(3):
-        step = [_times(step, row) for row in step]  # a byte
-    while b_bytes:
-        if b_bytes & 1:
-            a = _times(step, a)
         step = [_times(step, row) for row in step]
-        b_bytes >>= 1
+    return step
+
+
+def joined_crc32(a: int, b: int, b_bytes: int) -> int:
+    """The checksum of two byte strings, one after the other, from theirs."""
+    for k in range(b_bytes.bit_length()):
+        if b_bytes >> k & 1:
+            a = _times(_zero_bytes(k), a)
     return a ^ b
 
 
@@ -345,22 +370,27 @@ def round_trip(encoded: DataFrame, model: str) -> DataFrame:
             names=[*kept, "n_tokens", "ids_crc32", "back_crc32", "back_bytes"],
         ).select(["uid", "doc_id", "chunk", "n_tokens", "ids_crc32", "text_crc32", "text_bytes", "back_crc32", "back_bytes"])
 
-    def join(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        total = [0, 0, 0]
-        for r in group.sort_values("chunk").itertuples():
-            total[0] = joined_crc32(total[0], r.ids_crc32, 4 * r.n_tokens)
-            total[1] = joined_crc32(total[1], r.text_crc32, r.text_bytes)
-            total[2] = joined_crc32(total[2], r.back_crc32, r.back_bytes)
-        same = total[1] == total[2] and group["text_bytes"].sum() == group["back_bytes"].sum()
-        return pd.DataFrame({"doc_id": group["doc_id"].iloc[:1].astype("Int64"), "n_tokens": group["n_tokens"].sum(), "ids_crc32": total[0], "round_trip": same})
+    def join(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for listed in batch.column("listed").to_pylist():
+            total, sizes = [0, 0, 0], [0, 0, 0]
+            for c in listed:
+                parts = (c["ids_crc32"], 4 * c["n_tokens"]), (c["text_crc32"], c["text_bytes"]), (c["back_crc32"], c["back_bytes"])
+                for k, (crc, size) in enumerate(parts):
+                    total[k], sizes[k] = joined_crc32(total[k], crc, size), sizes[k] + size
+            rows.append((listed[0]["doc_id"], sizes[0] // 4, total[0], total[1:2] + sizes[1:2] == total[2:] + sizes[2:]))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["doc_id", "n_tokens", "ids_crc32", "round_trip"])
 
     kept = ["uid", "doc_id", "chunk", "chunks", "text_crc32", "text_bytes", "ids"]
     digests = encoded.select(kept).withColumn("one", F.col("chunks") == 1)
-    one = digests.where("one").mapInArrow(batches(each), DIGEST)
+    one = digests.where("one").mapInArrow(few(each), DIGEST)
     same = (F.col("text_crc32") == F.col("back_crc32")) & (F.col("text_bytes") == F.col("back_bytes"))
     one = one.select("doc_id", "n_tokens", "ids_crc32", same.alias("round_trip"))
-    several = digests.where("not one").mapInArrow(batches(each), DIGEST)
-    return one.unionByName(several.groupBy("uid").applyInPandas(join, "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean"))
+    several = digests.where("not one").mapInArrow(few(each), DIGEST)
+    columns = ["chunk", "doc_id", "n_tokens", "ids_crc32", "text_crc32", "text_bytes", "back_crc32", "back_bytes"]
+    listed = _by_document(several, *columns)
+    return one.unionByName(listed.mapInArrow(few(join), "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean"))
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
