@@ -73,9 +73,7 @@ def ngram_pieces(text: bytes, buckets: int = BUCKETS) -> Iterator[np.ndarray]:
     for begin in range(0, len(lower), PIECE_BYTES):
         piece = lower[begin : begin + PIECE_BYTES + longest - 1].astype(np.uint32)
         for order in ORDERS:
-            n = len(piece) - order + 1
-            if begin + PIECE_BYTES < len(lower):
-                n = PIECE_BYTES
+            n = min(PIECE_BYTES, len(piece) - order + 1)  # n-grams that begin in this piece and end in the text
             if n <= 0:
                 continue
             key = piece[:n].copy()

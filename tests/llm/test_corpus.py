@@ -172,6 +172,15 @@ def test_language_of_pieces(monkeypatch):
     assert Counter(np.concatenate(list(language.ngram_pieces(text))).tolist()) == whole
 
 
+@pytest.mark.parametrize("size", [0, 1, 2, 3, *range(2 * 17 - 5, 2 * 17 + 6), *range(3 * 17 - 5, 3 * 17 + 6)])
+def test_language_of_pieces_of_any_length(monkeypatch, size):
+    """Texts that end at, just before or just after the end of a piece."""
+    text = ("straße und Häuser, 12 " * 4).encode()[:size]
+    whole = [Counter(x.tolist()) for x in language.ngram_pieces(text)]
+    monkeypatch.setattr(language, "PIECE_BYTES", 17)
+    assert sum((Counter(x.tolist()) for x in language.ngram_pieces(text)), Counter()) == sum(whole, Counter())
+
+
 # -- 7
 
 
