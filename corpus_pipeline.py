@@ -22,7 +22,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def check_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that the quality rules keep."""
-    found = quality.quality_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=True)
+    found = quality.quality_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=True, **quality.BOUNDED)
     return restored(found.where("kept"), docs.columns)
 
 

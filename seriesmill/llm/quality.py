@@ -2,9 +2,15 @@
 
 Word unigrams and bigrams are hashed into ``buckets`` buckets and counted over the whole corpus, once for all
 documents (raw) and once for those labelled good and not toxic (trusted). With both totals scaled to the raw
-one and ``prior`` counts of the raw distribution added to each side, a bucket's weight is the log of trusted
-over raw. A document's score is the mean weight of its n-grams; it is kept if no base rule fails and the score
-is at least ``threshold``. Weights are whole millionths, so a score is the same in any order of additions.
+one and ``prior`` counts added to each side, a bucket's weight is the log of trusted over raw. A document's score
+is the mean weight of its n-grams; it is kept if no base rule fails and the score is at least ``threshold``.
+Weights are whole millionths, so a score is the same in any order of additions.
+
+With ``smoothing`` (the query and the pipeline, see BOUNDED) every text counts once, however many rows hold it, and is
+trusted if one of them is; each side also gets ``smoothing`` of the bucket's raw counts and the mean counts of a
+bucket. No weight is then below log(smoothing / (1 + smoothing)), copies change none, and in a large corpus, where the
+mean outweighs ``prior``, weights depend on shares only. Without ``smoothing`` every row counts and weights have no
+lower bound.
 
 Counting is combined in every task before the shuffle: a task sends a row per bucket. The weights (8 bytes a
 bucket) are the only thing that every task gets. The labels are broadcast only when measured small.
@@ -22,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import id_and_text, mark_ids, q
+from .common import BROADCAST_BYTES, id_and_text, mark_ids, q
 
 BUCKETS = 1 << 16
 PRIOR = 10
@@ -30,6 +36,8 @@ THRESHOLD = -0.15
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 MILLION = 1_000_000
+#: Weights of -2.4 at least (log(0.1 / 1.1)); the threshold is a thirtieth of that.
+BOUNDED = {"smoothing": 0.1, "prior": 30, "threshold": -0.08}
 
 
 def words_of(text: Column) -> Column:
@@ -63,14 +71,34 @@ def _pairs(hashes: Column) -> Column:
     return F.transform(_first(hashes, 1), lambda x, i: F.xxhash64(x, F.get(hashes, i + 1)))
 
 
-def ngram_counts(df: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """bucket, raw, trusted: counts over all documents and over those whose doc_id is in ``trusted``."""
+def _once(marked: DataFrame) -> DataFrame:
+    """text, share, trusted_share: what a row adds, so that all rows of a text add up to one."""
+    text = F.coalesce("text", F.lit(""))
+    keyed = marked.withColumn("h", F.xxhash64(text)).withColumn("g", F.xxhash64(F.lit(1), text))
+    copies = keyed.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.max("is_trusted").alias("one_trusted")).where("n > 1")
+    copies = materialize(copies, "text-copies")
+    if copies.count() * 64 <= BROADCAST_BYTES:
+        copies = F.broadcast(copies)
+    share = 1.0 / F.coalesce("n", F.lit(1))
+    good = F.when(F.coalesce("one_trusted", "is_trusted"), share).otherwise(0.0)
+    return keyed.join(copies, ["h", "g"], "left").select("text", share.alias("share"), good.alias("trusted_share"))
+
+
+def ngram_counts(df: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, once: bool = False) -> DataFrame:
+    """bucket, raw, trusted: counts over all documents and over those whose doc_id is in ``trusted``.
+
+    With ``once`` over different texts; sums of shares are whole numbers and rounded to them.
+    """
 
     def grams(h: Column) -> Column:
         return F.transform(F.concat(h, _pairs(h)), lambda x: _bucket(x, buckets))
 
     found = let(_hashes(words_of(F.coalesce("text", F.lit("")))), grams)
     marked = mark_ids(df, trusted, "is_trusted")
+    if once:
+        rows = _once(marked).select("share", "trusted_share", F.explode_outer(found).alias("bucket")).where("bucket IS NOT NULL")
+        raw, good = F.round(F.sum("share")).cast("long"), F.round(F.sum("trusted_share")).cast("long")
+        return rows.groupBy("bucket").agg(raw.alias("raw"), good.alias("trusted"))
     # outer, so that no filter on the array is put before it, which would compute it twice
     rows = marked.select("is_trusted", F.explode_outer(found).alias("bucket")).where("bucket IS NOT NULL")
     return rows.groupBy("bucket").agg(
@@ -78,14 +106,16 @@ def ngram_counts(df: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> D
     )
 
 
-def weights(counts: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> DataFrame:
+def weights(counts: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR, smoothing: float | None = None) -> DataFrame:
     """One row: the weights of all buckets, in order, in millionths."""
     raw, trusted = counts.agg(F.sum("raw"), F.sum("trusted")).first()
     scale = raw / trusted if trusted else None
     spark = counts.sparkSession
     every = spark.range(0, buckets, 1, 1).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
     r, t = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("raw", "trusted"))
-    value = F.log((t * scale + prior) / (r + prior)) if scale else F.lit(0.0)
+    of_raw = smoothing or 0.0
+    both = prior + raw / buckets if smoothing and raw else prior
+    value = F.log((t * scale + of_raw * r + both) / (r + of_raw * r + both)) if scale else F.lit(0.0)
     found = every.select("bucket", F.round(value * MILLION).cast("long").alias("weight"))
     ordered = F.array_sort(F.collect_list(F.struct("bucket", "weight")))
     return found.agg(F.transform(ordered, lambda x: x["weight"]).alias("weights"))
@@ -152,6 +182,7 @@ def measures(text: Column, table: Column, threshold: float = THRESHOLD, buckets:
 def quality_rules(
     df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     threshold: float = THRESHOLD, buckets: int = BUCKETS, prior: float = PRIOR, carry: bool = False,
+    smoothing: float | None = None,
 ) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, score.
 
@@ -160,7 +191,8 @@ def quality_rules(
     good = (q("quality") == 1) & (F.coalesce(q("toxic"), F.lit(0)) == 0)
     trusted = labels.where(good).select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
     docs = id_and_text(df, id_col, text_col)
-    table = weights(materialize(ngram_counts(docs, trusted, buckets), "ngram-counts"), buckets, prior)
+    counts = ngram_counts(docs, trusted, buckets, smoothing is not None)
+    table = weights(materialize(counts, "ngram-counts"), buckets, prior, smoothing)
     rows = id_and_text(df, id_col, text_col, carry)
     found = rows.withColumn("weights", table.scalar())
     found = found.withColumn("m", measures(F.coalesce("text", F.lit("")), F.col("weights"), threshold, buckets))
@@ -171,4 +203,4 @@ def quality_rules(
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import documents
 
-    return quality_rules(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_rules(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), **BOUNDED)

@@ -308,6 +308,51 @@ def test_quality_runs_no_python(docs, labels, capsys):
     assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
 
 
+def test_bounded_weights(spark, docs, labels, edge):
+    """Against counts of different texts by hand; no weight below the bound."""
+    frame = docs.select("doc_id", "text").unionByName(edge.select("doc_id", "text"))
+    trusted = labels.where("quality = 1 AND toxic = 0").select("doc_id").distinct()
+    got = quality.weights(quality.ngram_counts(frame, trusted, once=True), prior=30, smoothing=0.1).first()[0]
+    good = {r.doc_id for r in trusted.collect()}
+    texts = {}
+    for r in frame.collect():
+        texts[r.text or ""] = texts.get(r.text or "", False) or r.doc_id in good
+    raw, of_good = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
+    for text, is_good in texts.items():
+        h = [chained(w.encode()) for w in LETTERS.findall(text)]
+        for x in h + [pair(a, b) for a, b in zip(h, h[1:])]:
+            raw[x % quality.BUCKETS] += 1  # the number of buckets divides 2^64
+            of_good[x % quality.BUCKETS] += is_good
+    both = 30 + raw.sum() / quality.BUCKETS
+    want = np.log((of_good * (raw.sum() / of_good.sum()) + 0.1 * raw + both) / (1.1 * raw + both))
+    assert np.abs(np.array(got) - want * 1e6).max() <= 1
+    assert min(got) >= math.log(0.1 / 1.1) * 1e6
+
+
+def test_copies_change_no_verdict(spark, docs, labels):
+    """Neither 1000 times one clean document without a label, also one of words that no other has, nor 1000 times all."""
+    sf_dir = "/root/testdata/sf0.001"
+
+    def kept(df):
+        return {r.doc_id for r in corpus_pipeline.check_quality(spark, df, sf_dir).select("doc_id").collect()}
+
+    new = [(9_000, " ".join(f"new{k}" for k in range(200)))]
+    few = docs.select("doc_id", "text").unionByName(spark.createDataFrame(new, "doc_id long, text string"))
+    copy_ids = "CASE WHEN k = 0 THEN doc_id ELSE doc_id + 10000 * k END AS doc_id"
+    before = kept(few)
+    assert 9_000 in before
+    assert 0 < few.join(labels.where("quality = 0"), "doc_id", "left_semi").where(~F.col("doc_id").isin(*before)).count()
+    unlabelled = few.join(labels, "doc_id", "left_anti").where(F.col("doc_id").isin(*before) & (F.length("text") < 2000))
+    for doc in [9_000, *[r.doc_id for r in unlabelled.orderBy("doc_id").limit(2).collect()]]:
+        many = few.crossJoin(spark.range(1000).withColumnRenamed("id", "k")).where((F.col("k") == 0) | (F.col("doc_id") == doc))
+        got = kept(many.selectExpr(copy_ids, "text"))
+        assert {d for d in got if d < 10_000} == before and {d % 10_000 for d in got} == before and len(got) == len(before) + 999
+    short = few.where(F.length("text") < 1200)
+    before = kept(short)
+    got = kept(short.crossJoin(spark.range(1000).withColumnRenamed("id", "k")).selectExpr(copy_ids, "text"))
+    assert len(got) == 1000 * len(before) and {d % 10_000 for d in got} == before
+
+
 # -- 10
 
 
