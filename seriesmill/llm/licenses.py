@@ -1,9 +1,11 @@
 """Operator 2: license scan with a generalised suffix automaton over license templates.
 
 The words of all templates make one automaton that accepts every run of words of any template. Documents are
-streamed through it: at each word it gives the longest run that ends there and is found in a template (the
-matching statistics). Runs of ``min_run`` words or more are chained per template, in the order of both sides,
-into spans; a span counts when its runs cover at least ``min_cover`` of the template's words.
+streamed through it: at each word it gives, for every template, the longest run that ends there and is found in it
+(the matching statistics; suffix links lead to the templates whose runs are shorter). Runs of ``min_run`` words or more
+that cannot be extended in their template are chained per template, in the order of both sides, into spans; a span
+counts when its runs cover at least ``min_cover`` of the template's words. A template that stands whole inside
+another one is found besides it.
 Phrases with labels of their own are found wherever their words stand consecutively.
 
 Texts are read a megabyte at a time; what is carried is the automaton's state and the place, so a text of any
@@ -137,6 +139,23 @@ class Scanner:
         self.phrases = [(tuple(words_of(p.encode())), label) for p, label in phrases.items()]
         self.known = {w for s in sequences for w in s} | {w for p, _ in self.phrases for w in p}
         self.min_run, self.min_cover = min_run, min_cover
+        self._held: dict[int, list[tuple[int, int, list[int]]]] = {}
+
+    def _longest(self, state: int, length: int) -> dict[int, tuple[int, list[int]]]:
+        """Per template: its longest run of ``min_run`` words or more that ends here, and where that ends in it."""
+        if length < self.min_run:
+            return {}
+        link, lengths, ends = self.automaton.link, self.automaton.length, self.automaton.ends
+        if state not in self._held:  # templates with shorter runs than the state's
+            shorter, seen, s = [], set(ends[state]), link[state]
+            while s > 0 and lengths[s] >= self.min_run:
+                shorter += [(t, lengths[s], places) for t, places in ends[s].items() if t not in seen]
+                seen.update(ends[s])
+                s = link[s]
+            self._held[state] = shorter
+        found = {t: (length, places) for t, places in ends[state].items()}
+        found.update((t, (n, places)) for t, n, places in self._held[state])
+        return found
 
     def _phrases(self, run: list[bytes], at: int, found: list[tuple[int, str]]) -> None:
         for words, label in self.phrases:
@@ -145,14 +164,16 @@ class Scanner:
                 found += [(at + k, label) for k in range(len(run) - n + 1) if run[k] == words[0] and tuple(run[k : k + n]) == words]
 
     def _matches(self, run: list[bytes], at: int, found: dict[int, list[tuple[int, int, int]]]) -> None:
-        """Per template: (place in the document, place in the template, length) of runs that cannot be extended."""
-        step, ends, state, length = self.automaton.step, self.automaton.ends, 0, 0
+        """Per template: (place in the document, place in the template, length) of runs that cannot be extended in it."""
+        step, state, length = self.automaton.step, 0, 0
+        before: dict[int, tuple[int, list[int]]] = {}
         for k in range(len(run) + 1):
-            before = state, length
             state, length = step(state, length, run[k]) if k < len(run) else (0, 0)
-            if length <= before[1] and before[1] >= self.min_run:  # the run before ends here
-                for t, places in ends[before[0]].items():
-                    found[t] += [(at + k - before[1], p - before[1] + 1, before[1]) for p in places]
+            longest = self._longest(state, length)
+            for t, (n, places) in before.items():
+                if t not in longest or longest[t][0] <= n:  # the template's run before ends here
+                    found[t] += [(at + k - n, p - n + 1, n) for p in places]
+            before = longest
 
     def _chain(self, t: int, matches: list[tuple[int, int, int]]) -> list[Span]:
         """Spans of matches that go forward in the document and in the template, close enough to belong together."""

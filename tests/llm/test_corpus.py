@@ -72,6 +72,47 @@ def test_matching_statistics():
             assert all(templates[t][p + 1 - length : p + 1] == text[k + 1 - length : k + 1] for p in places)
 
 
+def test_license_inside_a_longer_run():
+    """Templates that stand whole at the start, in the middle and at the end of another one."""
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.PHRASES, 3, 0.6)
+    text = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'
+    assert scanner.scan(text.encode())[2] == [("apache-2.0-short", 0, 8, 1.0)]
+    text = "it under the terms of the GNU General Public License as published by the Free Software Foundation"
+    assert scanner.scan(text.encode())[2] == [("gpl-short", 1, 10, 1.0)]
+    templates = {"whole": "a b c d e f g h i j k l", "first": "a b c d", "middle": "e f g h", "last": "i j k l"}
+    scanner = licenses.Scanner(templates, {"a b": "x"}, 3, 0.6)
+    want = [("first", 2, 6, 1.0), ("last", 10, 14, 1.0), ("middle", 6, 10, 1.0), ("whole", 2, 14, 1.0)]
+    assert sorted(scanner.scan(f"o o {templates['whole']} o".encode())[2]) == want
+    assert sorted(scanner.scan(f"o o {templates['whole']}".encode())[2]) == want
+
+
+def test_license_runs_per_template():
+    """Runs that cannot be extended, against all runs of each template."""
+    draw = random.Random(5)
+    for _ in range(60):
+        templates = [[draw.choice("abc") for _ in range(draw.randrange(1, 14))] for _ in range(4)]
+        templates += [templates[0][2:8] or ["a"], templates[1][:5], templates[2][-5:]]
+        scanner = licenses.Scanner({str(t): " ".join(x) for t, x in enumerate(templates)}, {}, 2, 0.6)
+        text = [draw.choice("abcd") for _ in range(30)] + templates[0] + templates[1]
+        got = {}
+        for t in range(len(templates)):
+            got[t] = []
+        scanner._matches([w.encode() for w in text], 7, got)
+        for t, words in enumerate(templates):
+
+            def longest(k):
+                """Of the runs that end before word k."""
+                sizes = [n for n in range(1, k + 1) if any(words[p : p + n] == text[k - n : k] for p in range(len(words) - n + 1))]
+                return max(sizes, default=0) if k <= len(text) else 0
+
+            want = []
+            for k in range(1, len(text) + 1):
+                n = longest(k)
+                if n >= 2 and longest(k + 1) <= n:
+                    want += [(7 + k - n, p, n) for p in range(len(words) - n + 1) if words[p : p + n] == text[k - n : k]]
+            assert sorted(got[t]) == sorted(want)
+
+
 # -- 3
 
 
