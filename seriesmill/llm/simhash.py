@@ -1,11 +1,9 @@
-"""Operator 3: SimHash fingerprints, linked by multi-index hashing within Hamming balls, and their components.
-
-The 64 bits are two segments. Within each segment the small balls around its value are enumerated (for 2 bits:
-the value and its 32 one-bit neighbours), and a table is keyed by segment value. The key holds the other
-segment too, and both sides enumerate: two fingerprints within 2 bits meet at a key whether the bits lie in one
-segment (it is half-way inside that segment) or in both (one side changes its bit of the first, the other that of
-the second). With keys of the segment alone a bucket would hold a whole family of copies that share it, and its
-square in pairs; so a bucket holds at most as many fingerprints as a ball (65), all of them within the distance,
+"""Operator 3: SimHash fingerprints, linked by a join on their Hamming neighbours, and their components.
+
+Every fingerprint is written with all values within half the distance of it (for 2 bits: itself and its 64 one-bit
+neighbours), and rows are grouped by that whole 64-bit value: two fingerprints within 2 bits meet at a value half-way.
+There are no segments. With keys of a segment alone a bucket would hold a whole family of copies that share it, and
+its square in pairs; so a bucket holds at most as many fingerprints as a ball (65), all of them within the distance,
 and links of each to the smallest keep the components. Complete distances are verified on every link.
 
 Equal fingerprints are one node, whatever the number of documents. Components are found by stars over written
