@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, language, licenses, packing, quality, repeats, sentencepieces, simhash, token_counts, token_output
+from . import ann, collocations, language, licenses, packing, quality, repeats, sentencepieces, simhash, token_counts, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": token_output.op1,
@@ -19,7 +19,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": packing.op8,
     "op9_quality_rules": quality.op9,
     "op10_nearest_neighbours": ann.op10,
+    "op11_collocations": collocations.op11,
 }
 
 #: DuckDB statements for the results that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op11_collocations": collocations.SQL,
+}
