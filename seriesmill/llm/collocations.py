@@ -69,6 +69,20 @@ def _places(blocks: DataFrame) -> DataFrame:
     return blocks.select("lang", "block", F.posexplode(F.split("words", " ")).alias("pos", "word")).where("word <> '.'")
 
 
+@contextlib.contextmanager
+def _as_stored(spark: SparkSession) -> Iterator[None]:
+    """Joins use the buckets of tables, also on more keys than the bucket's, and their order; the settings come back at the end."""
+    wanted = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.legacy.bucketedTableScan.outputOrdering": "true"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @contextlib.contextmanager
 def _relation(places: DataFrame, buckets: int, label: str) -> Iterator[DataFrame]:
     """Write a relation sorted by (block, pos); its name leaves the catalog at the end, its files with the scratch scope."""
@@ -125,6 +139,7 @@ def phrases(
         first = _places(blocks.repartition(buckets, "block")).join(known, ["lang", "word"])
     out = []
     with contextlib.ExitStack() as held:
+        held.enter_context(_as_stored(spark))
         relation = held.enter_context(_relation(first.select("block", "pos", "g"), buckets, "places1"))
         for k in range(2, longest + 1):
             after = relation.select("block", (F.col("pos") - 1).alias("pos"), F.col("g").alias("g2"))
