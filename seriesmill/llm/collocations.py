@@ -1,21 +1,23 @@
 """Operator 11: phrase collocations by set-oriented mining (SETM) over sorted occurrence relations.
 
 Texts are lower-cased (A-Z), cut into pieces at ``.,;:!?`` and line breaks, and into words. A relation of level k has
-a row for every place of every frequent phrase of k words: (block, pos, group), where ``group`` is the id of the phrase
-in the table of the level's groups. A round
+a row for every place of a phrase of k words: (block, pos, g1 .. gk), where g are the numbers of frequent words of the
+text's language. A round
 
 1. merge-joins the relation with itself at adjacent positions of the same piece, which makes the places of phrases one
-   word longer whose two parts are frequent,
+   word longer whose two parts are in the relation,
 2. counts them by group, with partial sums before the shuffle, and keeps the groups with ``min_count`` places,
-3. semi-joins the places with the frequent groups, which gives the next level's relation.
+3. semi-joins the places with the frequent groups, which gives the next level's relation. The semi-join goes through a
+   bitmap of hashes of bounded size, so that places stay where they are: it keeps all places of frequent groups and
+   few others, and the exact count of the next round drops what those make.
 
 Relations are written bucketed by block and sorted by (block, pos), so a round's join needs no shuffle; only partial
 counts are shuffled. A block is a run of at most ``BLOCK`` words of one text, with as many words of what follows as a phrase can
 reach into; a text or a piece of any length becomes many blocks, and a place is counted where it begins. Ends of pieces
 take a position of their own, so that words on both sides of one are not adjacent.
 
-A group holds the counts of all its beginnings and ends, so a score needs no further join. Words and groups are
-broadcast where their measured number takes less than ``BROADCAST_BYTES``, else joined by shuffle.
+A group holds the counts of all its beginnings and ends, so a score needs no further join. Words are broadcast where their
+measured number takes less than ``BROADCAST_BYTES``, else joined by shuffle.
 
 Defined results: a null or empty text has no words; a null lang is ``und``; repeated rows count each; other columns are
 ignored; a phrase with the score and count of another ranks by its bytes; a table without frequent phrases gives no rows.
@@ -24,9 +26,11 @@ ignored; a phrase with the score and count of another ranks by its bytes; a tabl
 from __future__ import annotations
 
 import contextlib
+import functools
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -38,6 +42,9 @@ from .common import BROADCAST_BYTES, batches, documents, q, shuffle_partitions,
 BLOCK = 1 << 13
 LEVEL_BITS = 33  # of monotonically_increasing_id: rows within a partition
 MAX_BUCKETS = 100_000
+MAP_BITS = 28  # of a bitmap of frequent groups, 32 MB at most
+WORD_BYTES = 64  # of a broadcast word, about
+TOURNAMENT = (256, 16, 1)
 # The marks that end a piece, all written as a full stop; A-Z lower-cased, tabs as spaces
 ENDS = b".,;:!?\n\x0b\x0c\r"
 TABLE = bytes(0x2E if b in ENDS else 0x20 if b == 9 else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -95,30 +102,47 @@ def _relation(places: DataFrame, buckets: int, label: str) -> Iterator[DataFrame
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def _numbered(groups: DataFrame, label: str) -> tuple[DataFrame, int, int]:
-    """The written groups with a small number each (``g``), how many there are, and a bound of the numbers."""
-    groups = materialize(groups.withColumn("id_", F.monotonically_increasing_id()), label)
+def _numbered(groups: DataFrame) -> tuple[DataFrame, int]:
+    """The written words with a small number each (``g``), and how many there are."""
+    groups = materialize(groups.withColumn("id_", F.monotonically_increasing_id()), "groups")
     part, row = F.shiftright("id_", LEVEL_BITS), F.col("id_").bitwiseAND(F.lit((1 << LEVEL_BITS) - 1))
-    n, parts, rows = groups.agg(F.count(F.lit(1)), F.max(part), F.max(row)).first()
-    parts, rows = (parts or 0) + 1, (rows or 0) + 1
-    return groups.withColumn("g", row * parts + part).drop("id_"), n, parts * rows
+    n, parts = groups.agg(F.count(F.lit(1)), F.max(part)).first()
+    return groups.withColumn("g", row * ((parts or 0) + 1) + part).drop("id_"), n
 
 
-def _small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
-    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
+def _hash(words: list[str]) -> Column:
+    return F.xxhash64(*words)
 
 
-def _pair(limit: int) -> Column:
-    """One key for (g1, g2): a long where both numbers fit, else an exact decimal."""
-    if limit < 1 << 31:
-        return F.shiftleft("g1", 31).bitwiseOR(F.col("g2"))
-    return F.col("g1").cast("decimal(38,0)") * F.lit(1 << 63).cast("decimal(20,0)") + F.col("g2")
+def _frequent(groups: DataFrame, words: list[str]):
+    """The semi-join with the frequent groups: an expression over the hash of a group, false only where it is not among them.
+
+    Each group sets a bit of a bitmap of at most MAP_BITS bits, made by one aggregate of its 64-bit words. A group that shares a
+    frequent one's bit passes; the next count, which is exact, drops what is made of it.
+    """
+    spark, n = groups.sparkSession, groups.count()
+    bits = max(10, min(MAP_BITS, (16 * n).bit_length()))
+    bit = F.shiftrightunsigned(_hash(words), 64 - bits)
+    rows = groups.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("set")
+    )
+    found = rows.toArrow()
+    bitmap = np.zeros(1 << (bits - 6), np.uint64)
+    bitmap[found.column("at").to_numpy()] = found.column("set").to_numpy().view(np.uint64)
+    held = spark.sparkContext.broadcast(bitmap)
+
+    @F.arrow_udf("boolean")
+    def among(hashes: pa.Array) -> pa.Array:
+        h = hashes.to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - bits)
+        return pa.array((held.value[h >> np.uint64(6)] >> (h & np.uint64(63)) & np.uint64(1)).astype(bool))
+
+    return among(_hash(words))
 
 
 def phrases(
     df: DataFrame, longest: int = 3, min_count: int = 10, lang_col: str = "lang", text_col: str = "text", block: int = BLOCK,
 ) -> tuple[DataFrame, DataFrame]:
-    """(groups, totals). Groups: lang, words, a, firsts, lasts, extended for every frequent phrase of 1 to ``longest`` words;
+    """(groups, totals). Groups: lang, words, a, firsts, lasts, extended for every frequent phrase of 2 to ``longest`` words;
     ``firsts[k]`` (``lasts[k]``) is the count of its first (last) k+1 words, ``extended`` the largest count of a phrase one
     word longer that holds it. Totals: lang, n words.
     """
@@ -127,46 +151,40 @@ def phrases(
     blocks = _blocks(df, lang_col, text_col, block, longest - 1)
     counted = materialize(_places(blocks).where(F.col("pos") < block).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("a")), "words")
     totals = counted.groupBy("lang").agg(F.sum("a").alias("n"))
-    groups, n, limit = _numbered(counted.where(F.col("a") >= min_count), "groups")
-    own = F.array("a")
-    levels = [groups.select("g", "lang", F.array("word").alias("words"), "a", own.alias("firsts"), own.alias("lasts"))]
-
-    numbers = groups.select("lang", "word", "g")
-    known = _small(numbers, n, 64)
-    if known is numbers:  # too many words to broadcast: places meet them by word, then go to their blocks
-        first = _places(blocks).join(known, ["lang", "word"]).repartition(buckets, "block")
-    else:
-        first = _places(blocks.repartition(buckets, "block")).join(known, ["lang", "word"])
+    words, n = _numbered(counted.where(F.col("a") >= min_count))
+    level = words.select(F.col("g").alias("g1"), "lang", F.array("word").alias("words"), "a", F.array("a").alias("firsts"), F.array("a").alias("lasts"))
+
+    numbers = words.select("lang", "word", F.col("g").alias("g1"))
+    if n * WORD_BYTES <= BROADCAST_BYTES:
+        first = _places(blocks.repartition(buckets, "block")).join(F.broadcast(numbers), ["lang", "word"])
+    else:  # places meet the words by shuffle, then go to their blocks
+        first = _places(blocks).join(numbers, ["lang", "word"]).repartition(buckets, "block")
     out = []
     with contextlib.ExitStack() as held:
         held.enter_context(_as_stored(spark))
-        relation = held.enter_context(_relation(first.select("block", "pos", "g"), buckets, "places1"))
+        relation = held.enter_context(_relation(first.select("block", "pos", "g1"), buckets, "places1"))
         for k in range(2, longest + 1):
-            after = relation.select("block", (F.col("pos") - 1).alias("pos"), F.col("g").alias("g2"))
-            longer = relation.select("block", "pos", F.col("g").alias("g1")).join(after.hint("merge"), ["block", "pos"])
-            found = longer.where(F.col("pos") < block).groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("a")).where(F.col("a") >= min_count)
-            found, n, next_limit = _numbered(found, "groups")
-            part = levels[-1]
-            left = part.select(F.col("g").alias("g1"), "lang", F.col("words").alias("w1"), F.col("firsts").alias("f1"))
-            right = part.select(F.col("g").alias("g2"), F.element_at("words", -1).alias("w2"), F.col("lasts").alias("l2"))
-            level = found.join(left, "g1").join(right, "g2").select(
-                "g", "lang", F.concat("w1", F.array("w2")).alias("words"), "a", F.concat("f1", F.array("a")).alias("firsts"),
+            ids = [f"g{i}" for i in range(1, k + 1)]
+            after = relation.select("block", (F.col("pos") - 1).alias("pos"), F.col(ids[k - 2]).alias(ids[-1]))
+            longer = relation.join(after.hint("merge"), ["block", "pos"])
+            found = longer.where(F.col("pos") < block).groupBy(*ids).agg(F.count(F.lit(1)).alias("a")).where(F.col("a") >= min_count)
+            found = materialize(found, "groups")
+            left = level.select(*ids[:-1], "lang", F.col("words").alias("w1"), F.col("firsts").alias("f1"))
+            right = level.select(*[F.col(c).alias(ids[i + 1]) for i, c in enumerate(ids[:-1])], F.element_at("words", -1).alias("w2"), F.col("lasts").alias("l2"))
+            grown = found.join(left, ids[:-1]).join(right, ids[1:]).select(
+                *ids, "lang", F.concat("w1", F.array("w2")).alias("words"), "a", F.concat("f1", F.array("a")).alias("firsts"),
                 F.concat("l2", F.array("a")).alias("lasts"),
             )
-            levels.append(materialize(level, "level"))
-            holds = found.select(F.explode(F.array("g1", "g2")).alias("g"), "a").groupBy("g").agg(F.max("a").alias("extended"))
-            out.append(part.join(holds, "g", "left"))
+            if k > 2:
+                ends = F.explode(F.array(F.struct(*ids[:-1]), F.struct(*[F.col(c).alias(ids[i]) for i, c in enumerate(ids[1:])])))
+                holds = found.select(ends.alias("part"), "a").groupBy(*[F.col("part")[c].alias(c) for c in ids[:-1]]).agg(F.max("a").alias("extended"))
+                out.append(level.join(holds, ids[:-1], "left"))
+            level = materialize(grown, "level")
             if k < longest:
-                key = _pair(limit).alias("key_")
-                frequent = _small(found.select(key, "g"), n, 48)
-                places = longer.withColumn("key_", _pair(limit)).join(frequent, "key_").select("block", "pos", "g")
-                relation = held.enter_context(_relation(places, buckets, f"places{k}"))
-            limit = next_limit
-        out.append(levels[-1].withColumn("extended", F.lit(None).cast("long")))
-    result = out[0]
-    for level in out[1:]:
-        result = result.unionByName(level)
-    return result.drop("g"), totals
+                relation = held.enter_context(_relation(longer.where(_frequent(found, ids)), buckets, f"places{k}"))
+        out.append(level.withColumn("extended", F.lit(None).cast("long")))
+    kept = [x.select("lang", "words", "a", "firsts", "lasts", "extended") for x in out]
+    return functools.reduce(DataFrame.unionByName, kept), totals
 
 
 def _cut() -> Column:
@@ -187,12 +205,14 @@ def collocations(
     """lang, rank, phrase, a, l, r, n, score of the ``top`` phrases per lang; phrases inside a longer one with half their count go."""
     groups, totals = phrases(df, longest, min_count, lang_col, text_col, block)
     cuts, scored = _cut()
-    kept = groups.where(F.size("words") > 1).where(F.coalesce(100 * F.col("extended") < 50 * F.col("a"), F.lit(True)))
+    kept = groups.where(F.coalesce(100 * F.col("extended") < 50 * F.col("a"), F.lit(True)))
     kept = kept.withColumn("cuts_", cuts).withColumn("cut_", scored)
     kept = kept.select("lang", F.array_join("words", " ").alias("phrase"), "a", "cut_.l", "cut_.r", "cut_.score")
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    ranked = materialize(ranked, "ranked")
+    for groups_of in TOURNAMENT:  # the best of each part, of some parts, of all: no task reads more than a few times ``top`` rows
+        part = F.pmod(F.xxhash64("phrase"), F.lit(groups_of))
+        order = W.partitionBy("lang", part).orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+        kept = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    ranked = materialize(kept, "ranked")
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
