@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, collocations, language, licenses, packing, quality, repeats, sentencepieces, simhash, token_counts, token_output, variants
+from . import ann, collocations, decontamination, language, licenses, packing, quality, repeats, sentencepieces, simhash, token_counts, token_output, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": token_output.op1,
@@ -21,10 +21,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_nearest_neighbours": ann.op10,
     "op11_collocations": collocations.op11,
     "op12_spelling_variants": variants.op12,
+    "op13_decontamination": decontamination.op13,
 }
 
 #: DuckDB statements for the results that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op11_collocations": collocations.SQL,
     "op12_spelling_variants": variants.SQL,
+    "op13_decontamination": decontamination.SQL,
 }
