@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import batches, documents, id_and_text
+from .common import batches, documents, id_and_text, shuffle_partitions
 
 PARTS = 4
 MIN_LETTERS = 7
@@ -104,7 +104,7 @@ def _signed(words: DataFrame, parts: int) -> DataFrame:
 
 def near_words(words: DataFrame, parts: int = PARTS) -> DataFrame:
     """word, other: both directions of every pair that differs by one inserted, deleted or replaced code point."""
-    signed = materialize(_signed(words, parts), "signatures")
+    signed = materialize(_signed(words.repartition(shuffle_partitions(words.sparkSession), "word"), parts), "signatures")
     left = signed.where(F.col("role") != LONGER).select("key", "role", "word")
     right = signed.where(F.col("role") != SHORTER).select("key", F.col("role").alias("role2"), F.col("word").alias("other"))
     same = (F.col("role") == EQUAL) & (F.col("role2") == EQUAL) & (F.col("word") < F.col("other"))
