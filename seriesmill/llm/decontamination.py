@@ -12,7 +12,8 @@ state and place, so a text of any length needs the memory of a piece and of its
 
 Items are dealt to blocks of at most ``BLOCK_WORDS`` words, each item word held in at most ``WORD_BYTES`` bytes (a longer
 one by its SHA-256), so what is sent to the workers is bounded; a longer item is cut into slices that share ``window`` - 1
-words. A benchmark of more than one block is a pass over the documents per block, and the passes are merged per row.
+words. Small blocks are taken together. A benchmark of more than one block is a pass over the documents for each, and the
+passes are merged per row.
 
 Defined results: a null or empty text has no words and is clean; a null or empty item has no windows; items with one text are all
 found; an item without an id marks words but is not listed; repeated rows are scanned each; other columns are ignored.
@@ -255,7 +256,20 @@ def item_blocks(items: DataFrame, window: int = WINDOW, block_words: int = BLOCK
     items = items.select(q(id_col).cast("string").alias("item"), q(text_col).cast("string").alias("text"))
     sliced = items.repartition(1 + (items.agg(F.sum(F.length("text"))).first()[0] or 0) // (8 * block_words), F.xxhash64("item", "text"))
     found = sliced.mapInArrow(each, "block long, item string, words array<binary>")
-    return found.withColumn("block", F.struct(F.spark_partition_id().alias("part"), "block"))
+    return found.withColumn("block", F.concat_ws("-", F.spark_partition_id(), "block"))
+
+
+def _passes(blocks: DataFrame, block_words: int) -> list[list[str]]:
+    """Blocks that go through the documents together: as many as hold ``block_words`` words."""
+    passes: list[list[str]] = [[]]
+    held = 0
+    for name, n in blocks.groupBy("block").agg(F.sum(F.size("words"))).orderBy("block").collect():
+        if held and held + n > block_words:
+            passes.append([])
+            held = 0
+        passes[-1].append(name)
+        held += n
+    return passes
 
 
 FOUND = "uid long, doc_id long, n_words long, spans array<struct<first: long, after: long>>, items array<string>"
@@ -303,10 +317,9 @@ def find_leaks(
     spark = df.sparkSession
     blocks = materialize(item_blocks(items, window, block_words), "items")
     texts = id_and_text(df, id_col, text_col, carry).withColumn("uid", F.monotonically_increasing_id())
-    numbers = [r.block for r in blocks.select("block").distinct().orderBy("block").collect()] or [None]
     passes = []
-    for block in numbers:
-        own = blocks.where(F.lit(False) if block is None else (F.col("block.part") == block.part) & (F.col("block.block") == block.block))
+    for names in _passes(blocks, block_words):
+        own = blocks.where(F.col("block").isin(names))
         held = spark.sparkContext.broadcast([(r.item, [bytes(w) for w in r.words]) for r in own.select("item", "words").collect()])
         passes.append(_pass(texts, held, window))
     if len(passes) == 1:
