@@ -31,7 +31,7 @@ from .wordids import word_ids
 CAPACITY = 4096
 GROUP_TOKENS = 1 << 20
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bin long, offset long"
+PLACED = "row_ long, sequence_id long, offset long"
 
 
 def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,11 +95,12 @@ def pack(found: DataFrame, capacity: int = CAPACITY, group_tokens: int = GROUP_T
     def fit(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("row_", ignore_index=True)
         bins, offsets = first_fit_decreasing(group["length"].to_numpy(), capacity)
-        return group.drop(columns=["row_", "group_"]).assign(bin=bins * groups + key[0], offset=offsets)
+        return pd.DataFrame({"row_": group["row_"], "sequence_id": (bins * groups + key[0]) * 2, "offset": offsets})
 
-    grouped = rest.withColumn("group_", F.pmod(F.xxhash64("row_", F.lit(seed)), F.lit(groups)))
-    placed = grouped.groupBy("group_").applyInPandas(fit, PLACED).withColumn("sequence_id", F.col("bin") * 2).drop("bin")
-    alone = found.where(full).withColumns({"offset": F.lit(0).cast("long"), "sequence_id": F.col("row_") * 2 + 1}).drop("row_")
+    # only numbers that are never null go through pandas, which would make doubles of a column with nulls
+    grouped = rest.select("row_", "length", F.pmod(F.xxhash64("row_", F.lit(seed)), F.lit(groups)).alias("group_"))
+    placed = rest.join(grouped.groupBy("group_").applyInPandas(fit, PLACED), "row_")
+    alone = found.where(full).withColumns({"offset": F.lit(0).cast("long"), "sequence_id": F.col("row_") * 2 + 1})
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     return alone.select(columns).unionByName(placed.select(columns))
 

@@ -201,3 +201,11 @@ def test_joined_crc32():
     a, b = b"some bytes", bytes(range(200)) * 3
     assert sentencepieces.joined_crc32(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
     assert sentencepieces.joined_crc32(zlib.crc32(a), 0, 0) == zlib.crc32(a)
+
+
+def test_packing_keeps_large_ids_beside_null(spark):
+    ids = [2**53 + 1, None, -(2**62), 2**53 + 3, 7]
+    df = spark.createDataFrame([(i, f"text number {k}") for k, i in enumerate(ids)], "doc_id long, text string")
+    got = packing.pack_documents(df, WORDS, 2).collect()
+    assert sorted(map(repr, (r.doc_id for r in got))) == sorted(map(repr, ids))
+    assert len({r.sequence_id for r in got}) == 1 and sorted(r.offset for r in got)[0] == 0
