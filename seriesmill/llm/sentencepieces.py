@@ -216,9 +216,20 @@ def states_of(matrices: list[list[int]]) -> list[tuple[int, int]]:
     return found
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers, which is how they are written and shuffled."""
+    return np.array(ids, "<i4").tobytes()
+
+
+def _listed(column: pa.Array) -> list[list[int]]:
+    """The ids of a column of packed or listed ids."""
+    values = column.to_pylist()
+    return [np.frombuffer(v, "<i4").tolist() for v in values] if pa.types.is_binary(column.type) else values
+
+
 CHUNKS = (
     "uid long, doc_id long, chunk int, chunks int, text_crc32 long, text_bytes long, "
-    "head string, head_begin int, head_end int, tail string, tail_begin int, tail_end int, matrix array<string>, inner array<int>"
+    "head string, head_begin int, head_end int, tail string, tail_begin int, tail_end int, matrix array<string>, inner binary"
 )
 
 
@@ -230,15 +241,15 @@ def _row(pieces: Pieces, text: str, k: int, chunk_chars: int) -> tuple:
     held = Chunk(pieces, around, begin - low, end - low)
     matrix = [format(bits, "x") for bits in held.matrix()]
     if not held.meets:
-        return around, begin - low, end - low, None, None, None, matrix, []
+        return around, begin - low, end - low, None, None, None, matrix, b""
     head = around[: held.first + 1] if begin else around[:1]
-    return head, begin - low, held.first, around[held.last :], 0, end - low - held.last, matrix, held.inner()
+    return head, begin - low, held.first, around[held.last :], 0, end - low - held.last, matrix, _packed(held.inner())
 
 
 def chunks(df: DataFrame, model: str, chunk_chars: int = CHUNK_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     names = [c.strip().split(" ")[0] for c in CHUNKS.split(",")]
-    text32, list32 = pa.list_(pa.string()), pa.list_(pa.int32())
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), text32, list32]
+    text32 = pa.list_(pa.string())
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), text32, pa.binary()]
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(model)
@@ -247,7 +258,7 @@ def chunks(df: DataFrame, model: str, chunk_chars: int = CHUNK_CHARS, id_col: st
             text = text or ""
             if len(text) <= chunk_chars:
                 raw = text.encode()
-                rows.append((uid, doc, 0, 1, zlib.crc32(raw), len(raw), None, None, None, None, None, None, [], pieces.library.encode(text)))
+                rows.append((uid, doc, 0, 1, zlib.crc32(raw), len(raw), None, None, None, None, None, None, [], _packed(pieces.library.encode(text))))
                 continue
             normalized = SPACE + text.replace(" ", SPACE)
             n = -(-len(normalized) // chunk_chars)
@@ -265,8 +276,13 @@ def _by_document(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("listed"))
 
 
-def encode(df: DataFrame, model: str, chunk_chars: int = CHUNK_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """uid (a document), doc_id, chunk, chunks, ids, text_crc32 and text_bytes (of the chunk's text)."""
+def encode(
+    df: DataFrame, model: str, chunk_chars: int = CHUNK_CHARS, id_col: str = "doc_id", text_col: str = "text", packed: bool = False,
+) -> DataFrame:
+    """uid (a document), doc_id, chunk, chunks, ids, text_crc32 and text_bytes (of the chunk's text).
+
+    ``ids`` is a list, or with ``packed`` the bytes of little-endian 32-bit numbers.
+    """
     found = materialize(chunks(df, model, chunk_chars, id_col, text_col), "chunks")
 
     def scan(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -283,16 +299,24 @@ def encode(df: DataFrame, model: str, chunk_chars: int = CHUNK_CHARS, id_col: st
     def finish(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         pieces, ids = pieces_of(model), []
         for r in batch.to_pylist():
-            ids.append(_ids(pieces, r))
+            ids.append(_packed(_ids(pieces, r)))
         kept = ["uid", "doc_id", "chunk", "chunks", "text_crc32", "text_bytes"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(ids, pa.list_(pa.int32()))], names=[*kept, "ids"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(ids, pa.binary())], names=[*kept, "ids"])
 
     ended = several.join(states, ["uid", "chunk"]).mapInArrow(
-        few(finish), "uid long, doc_id long, chunk int, chunks int, text_crc32 long, text_bytes long, ids array<int>"
+        few(finish), "uid long, doc_id long, chunk int, chunks int, text_crc32 long, text_bytes long, ids binary"
     )
     columns = ["uid", "doc_id", "chunk", "chunks", "ids", "text_crc32", "text_bytes"]
     whole = found.where("chunks = 1").withColumn("ids", F.col("inner"))
-    return whole.select(columns).unionByName(ended.select(columns))
+    every = whole.select(columns).unionByName(ended.select(columns))
+
+    def unpack(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids = pa.array(_listed(batch.column("ids")), pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([ids if c == "ids" else batch.column(c) for c in columns], names=columns)
+
+    return every if packed else every.mapInArrow(
+        few(unpack), "uid long, doc_id long, chunk int, chunks int, ids array<int>, text_crc32 long, text_bytes long"
+    )
 
 
 def _ids(pieces: Pieces, r: dict) -> list[int]:
@@ -308,7 +332,7 @@ def _ids(pieces: Pieces, r: dict) -> list[int]:
         return of(r["head"], [t for t in pieces.path(r["head"], start, begin, end, last) if t[0] >= begin])
     head = of(r["head"], pieces.path(r["head"], start, begin, end, None)) if begin else []
     last = pieces.states(r["tail"], r["tail_end"])[r["exit"]]
-    return head + r["inner"] + of(r["tail"], pieces.path(r["tail"], None, 0, r["tail_end"], last))
+    return head + np.frombuffer(r["inner"], "<i4").tolist() + of(r["tail"], pieces.path(r["tail"], None, 0, r["tail_end"], last))
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -316,7 +340,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(model)
-        texts = [pieces.decode(i, k == 0) for i, k in zip(batch.column("ids").to_pylist(), batch.column("chunk").to_pylist())]
+        texts = [pieces.decode(i, k == 0) for i, k in zip(_listed(batch.column("ids")), batch.column("chunk").to_pylist())]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("uid", "doc_id", "chunk")), pa.array(texts)], names=["uid", "doc_id", "chunk", "text"])
 
     return encoded.mapInArrow(few(each), "uid long, doc_id long, chunk int, text string")
@@ -360,7 +384,7 @@ def round_trip(encoded: DataFrame, model: str) -> DataFrame:
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         pieces, rows = pieces_of(model), []
-        for ids, k in zip(batch.column("ids").to_pylist(), batch.column("chunk").to_pylist()):
+        for ids, k in zip(_listed(batch.column("ids")), batch.column("chunk").to_pylist()):
             back = pieces.decode(ids, k == 0).encode()
             rows.append((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), zlib.crc32(back), len(back)))
         n, crc, back, size = ([r[k] for r in rows] for k in range(4))
@@ -394,4 +418,4 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import documents
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return round_trip(encode(documents(spark, sf_dir), model), model)
+    return round_trip(encode(documents(spark, sf_dir), model, packed=True), model)
