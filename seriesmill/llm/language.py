@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import batches, id_and_text, q, schema_of, texts_of
+from .common import batches, id_and_text, q, some_texts, texts_of
 
 UNKNOWN = "und"
 ORDERS = (3, 4)
@@ -178,20 +178,33 @@ def _weigh(model: Model, rows: DataFrame) -> None:
     model.trust = right / right.sum(axis=1, keepdims=True)
 
 
-def identify(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """doc_id, lang_pred, score, ambiguous of every row; with ``carry`` also text and row_ (common.restored)."""
-    texts = id_and_text(df, id_col, text_col, carry)
-    kept = ["text", "row_"] if carry else []
+FOUND = "lang_pred string, score double, ambiguous boolean"
 
-    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+
+def decoded(model: Model | None, text: Column) -> Column:
+    """A struct of lang_pred, score, ambiguous; only texts go to Python, and only this comes back."""
+    kinds = {"lang_pred": pa.string(), "score": pa.float64(), "ambiguous": pa.bool_()}
+
+    @F.arrow_udf(FOUND)
+    def decode(texts: pa.Array) -> pa.Array:
         found = [
             model.decode(bit_values(t, model.weights)) if model and has_letter(t) else (UNKNOWN, 0.0, True)
-            for t in texts_of(batch)
+            for t in some_texts(texts)
         ]
-        columns = [batch.column("doc_id")] + [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
-        yield pa.RecordBatch.from_arrays([*columns, *map(batch.column, kept)], names=["doc_id", "lang_pred", "score", "ambiguous", *kept])
+        return pa.StructArray.from_arrays([pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds.values())], names=list(kinds))
+
+    return decode(text)
+
+
+def identify(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, lang_pred, score, ambiguous of every row."""
+    return id_and_text(df, id_col, text_col).select("doc_id", decoded(model, F.col("text")).alias("found_")).select("doc_id", "found_.*")
+
 
-    return texts.mapInArrow(batches(each), schema_of("doc_id long, lang_pred string, score double, ambiguous boolean", texts, *kept))
+def clearly_told(df: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose language is told and not ambiguous."""
+    found = decoded(model, q(text_col).cast("string"))
+    return df.where((found["lang_pred"] != UNKNOWN) & ~found["ambiguous"])
 
 
 def held_out(doc_id: Column) -> Column:

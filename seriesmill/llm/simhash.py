@@ -22,11 +22,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import batches, id_and_text, restored, schema_of, texts_of
+from .common import id_and_text, q, shuffle_partitions, some_texts
 from .components import components
 
 WORDS = 3
@@ -64,16 +64,19 @@ def fingerprint(text: bytes, n: int = WORDS, piece_bytes: int = PIECE_BYTES) ->
     return sum(1 << k for k in np.flatnonzero(2 * ones > total).tolist())
 
 
-def fingerprints(df: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """doc_id, fp: the fingerprint as a signed long; with ``carry`` also text and row_ (common.restored)."""
-    texts = id_and_text(df, id_col, text_col, carry)
-    kept = ["text", "row_"] if carry else []
+def fingerprint_of(text: Column, words: int = WORDS) -> Column:
+    """The fingerprint as a signed long; only texts go to Python."""
 
-    def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = np.array([fingerprint(t, words) for t in texts_of(batch)], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found), *map(batch.column, kept)], names=["doc_id", "fp", *kept])
+    @F.arrow_udf("long")
+    def each(texts: pa.Array) -> pa.Array:
+        return pa.array(np.array([fingerprint(t, words) for t in some_texts(texts)], np.uint64).view(np.int64))
 
-    return texts.mapInArrow(batches(each), schema_of("doc_id long, fp long", texts, *kept))
+    return each(text)
+
+
+def fingerprints(df: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fp (the fingerprint as a signed long), text_hash of every row."""
+    return id_and_text(df, id_col, text_col).select("doc_id", fingerprint_of(F.col("text"), words).alias("fp"), F.xxhash64("text").alias("text_hash"))
 
 
 def _ball(radius: int) -> list[tuple[int, int]]:
@@ -88,7 +91,8 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         raise ValueError("max_bits: 0 to 4")
     radius, near = -(-max_bits // 2), max_bits // 2
     ball = F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(k <= near).alias("near")) for m, k in _ball(radius)])
-    keys = nodes.select("fp", F.explode(ball).alias("b"))
+    spread = nodes.repartition(shuffle_partitions(nodes.sparkSession), "fp")  # few files hold many fingerprints
+    keys = spread.select("fp", F.explode(ball).alias("b"))
     keys = keys.select("fp", F.col("fp").bitwiseXOR(F.col("b.mask")).alias("key"), F.col("b.near").alias("near"))
     buckets = keys.groupBy("key").agg(F.collect_list("fp").alias("members"), F.min(F.when(F.col("near"), F.col("fp"))).alias("hub"))
     pairs = buckets.where(F.size("members") > 1).select(F.col("hub").alias("u"), F.explode("members").alias("v"))
@@ -116,18 +120,23 @@ def near_duplicates(
 def one_of_each_group(
     df: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``df`` without near-duplicates: of each group a row of its smallest doc_id, of several the smallest fingerprint's."""
+    """The rows of ``df`` without near-duplicates: of each group a row of its smallest doc_id, of several the smallest fingerprint's.
+
+    A row is found again by its doc_id and its text's hash, so texts are fingerprinted once; of rows that share both one stays.
+    """
     docs = materialize(fingerprints(df, words, id_col, text_col), "fingerprints")
     groups = docs.join(_grouped(docs, max_bits), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = groups.groupBy("component").agg(F.min("fp").alias("chosen_fp"), F.first("component_id").alias("chosen_id"))
-    chosen = materialize(chosen, "chosen")
-    rows = fingerprints(df, words, id_col, text_col, carry=True)
-    same = (F.col("fp") == F.col("chosen_fp")) & F.col("doc_id").eqNullSafe(F.col("chosen_id"))
+    first = F.min(F.struct("fp", "text_hash"))
+    chosen = groups.groupBy("component").agg(first.alias("first"), F.first("component_id").alias("chosen_id"))
+    chosen = materialize(chosen.select("chosen_id", F.col("first.fp").alias("chosen_fp"), F.col("first.text_hash").alias("chosen_hash")), "chosen")
+    same = (q("hash_") == F.col("chosen_hash")) & q("id_").eqNullSafe(F.col("chosen_id"))
+    inner = F.struct(*[q(c) for c in df.columns]).alias("row_")
+    rows = df.select(inner, q(id_col).cast("long").alias("id_"), F.xxhash64(q(text_col).cast("string")).alias("hash_"))
     kept = rows.join(chosen, same, "left_semi")
-    twice = docs.join(chosen, same, "left_semi").groupBy("fp", "doc_id").count().where("count > 1")
-    if twice.limit(1).count():  # rows that are repeated, id and all
-        kept = kept.dropDuplicates(["fp", "doc_id"])
-    return restored(kept, df.columns, text_col)
+    twice = docs.join(chosen, (F.col("text_hash") == F.col("chosen_hash")) & F.col("doc_id").eqNullSafe(F.col("chosen_id")), "left_semi")
+    if twice.groupBy("text_hash", "doc_id").count().where("count > 1").limit(1).count():  # rows that are repeated, id and all
+        kept = kept.dropDuplicates(["hash_", "id_"])
+    return kept.select(*[F.col("row_").getField(c).alias(c) for c in df.columns])
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

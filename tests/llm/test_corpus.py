@@ -453,3 +453,25 @@ def test_stages_on_edges(spark, edge, docs, empty, labels):
     assert cut.where("doc_id IN (4, 5)").count() == 0
     twice = docs.unionByName(docs)
     assert corpus_pipeline.drop_near_duplicates(spark, twice, sf_dir).count() == corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).count()
+
+
+def test_near_duplicates_keep_one_row_of_each_group(spark, edge):
+    kept = simhash.one_of_each_group(edge)
+    assert kept.columns == edge.columns
+    found = simhash.near_duplicates(edge).groupBy("component_id").count().count()
+    assert kept.count() == found
+
+
+def test_pipeline_stages_on_edge_and_empty_tables(spark, tmp_path, edge_rows):
+    rows = [(d, t, "en" if (d or 0) % 2 else None, "s", 1, "x") for d, t in edge_rows + [(20 + k, "the words of this text are clear and many " * 9) for k in range(5)]]
+    fields = "doc_id long, text string, lang string, source string, n_chars long, row_ string"
+    for name, part in (("edge", rows), ("empty", [])):
+        spark.createDataFrame(part, fields).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(21, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        docs = spark.read.parquet(f"{tmp_path}/{name}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, f"{tmp_path}/{name}")
+            assert out.columns == docs.columns
+            assert out.count() <= len(part)
+        packed = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert {r.doc_id for r in packed} <= {r[0] for r in part}
