@@ -16,28 +16,39 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rejected: texts that are null or have no letter, and those whose two best languages are too close.
     """
     model = language.fit(language.training_rows(docs, ~language.held_out(F.col("doc_id"))))
-    found = language.identify(docs, model, carry=True)
-    return restored(found.where((F.col("lang_pred") != language.UNKNOWN) & ~F.col("ambiguous")), docs.columns)
+    return language.clearly_told(docs, model)
 
 
 def check_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents that the quality rules keep."""
+    """Keep documents that the quality rules keep.
+
+    Null and empty texts have no words and go; long ones are judged whole, repeated and equal rows alike; an empty table stays empty.
+    """
     found = quality.quality_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=True, **quality.BOUNDED)
     return restored(found.where("kept"), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group, the one with the smallest doc_id."""
+    """Keep one document of each group, the one with the smallest doc_id.
+
+    Null and empty texts are one group; a null doc_id comes before all; of rows with one doc_id and text one stays.
+    """
     return simhash.one_of_each_group(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take out bytes that an earlier document has."""
+    """Take out bytes that an earlier document has.
+
+    Null and empty texts stay as they are; of rows with one doc_id none is earlier; documents of which nothing is left go.
+    """
     return repeats.without_repeats(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 4096 tokens."""
+    """Pieces of documents in sequences of 4096 tokens.
+
+    A null or empty text is its end id; ids may be null or of any size; repeated rows are packed each, an empty table gives no pieces.
+    """
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2)
