@@ -49,6 +49,7 @@ class Pieces:
     def __init__(self, model: str):
         self.library = sentencepiece.SentencePieceProcessor(model_file=model)
         n = self.library.get_piece_size()
+        self.kind = "<u2" if n <= 1 << 16 else "<i4"
         special = [i for i in range(n) if self.library.is_control(i) or self.library.is_unknown(i) or self.library.is_byte(i)]
         self.vocabulary = {self.library.id_to_piece(i) for i in range(n)} - {self.library.id_to_piece(i) for i in special}
         if any(SPACE in p.lstrip(SPACE) for p in self.vocabulary):
@@ -216,15 +217,15 @@ def states_of(matrices: list[list[int]]) -> list[tuple[int, int]]:
     return found
 
 
-def _packed(ids: list[int]) -> bytes:
-    """Ids as little-endian 32-bit numbers, which is how they are written and shuffled."""
-    return np.array(ids, "<i4").tobytes()
+def _packed(pieces: Pieces, ids: list[int]) -> bytes:
+    """Ids as little-endian numbers of as many bits as the vocabulary needs, which is how they are written and shuffled."""
+    return np.array(ids, pieces.kind).tobytes()
 
 
-def _listed(column: pa.Array) -> list[list[int]]:
+def _listed(pieces: Pieces, column: pa.Array) -> list[list[int]]:
     """The ids of a column of packed or listed ids."""
     values = column.to_pylist()
-    return [np.frombuffer(v, "<i4").tolist() for v in values] if pa.types.is_binary(column.type) else values
+    return [np.frombuffer(v, pieces.kind).tolist() for v in values] if pa.types.is_binary(column.type) else values
 
 
 CHUNKS = (
@@ -243,7 +244,7 @@ def _row(pieces: Pieces, text: str, k: int, chunk_chars: int) -> tuple:
     if not held.meets:
         return around, begin - low, end - low, None, None, None, matrix, b""
     head = around[: held.first + 1] if begin else around[:1]
-    return head, begin - low, held.first, around[held.last :], 0, end - low - held.last, matrix, _packed(held.inner())
+    return head, begin - low, held.first, around[held.last :], 0, end - low - held.last, matrix, _packed(pieces, held.inner())
 
 
 def chunks(df: DataFrame, model: str, chunk_chars: int = CHUNK_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -258,7 +259,7 @@ def chunks(df: DataFrame, model: str, chunk_chars: int = CHUNK_CHARS, id_col: st
             text = text or ""
             if len(text) <= chunk_chars:
                 raw = text.encode()
-                rows.append((uid, doc, 0, 1, zlib.crc32(raw), len(raw), None, None, None, None, None, None, [], _packed(pieces.library.encode(text))))
+                rows.append((uid, doc, 0, 1, zlib.crc32(raw), len(raw), None, None, None, None, None, None, [], _packed(pieces, pieces.library.encode(text))))
                 continue
             normalized = SPACE + text.replace(" ", SPACE)
             n = -(-len(normalized) // chunk_chars)
@@ -281,7 +282,7 @@ def encode(
 ) -> DataFrame:
     """uid (a document), doc_id, chunk, chunks, ids, text_crc32 and text_bytes (of the chunk's text).
 
-    ``ids`` is a list, or with ``packed`` the bytes of little-endian 32-bit numbers.
+    ``ids`` is a list, or with ``packed`` the bytes of little-endian numbers (``Pieces.kind``).
     """
     found = materialize(chunks(df, model, chunk_chars, id_col, text_col), "chunks")
 
@@ -299,7 +300,7 @@ def encode(
     def finish(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         pieces, ids = pieces_of(model), []
         for r in batch.to_pylist():
-            ids.append(_packed(_ids(pieces, r)))
+            ids.append(_packed(pieces, _ids(pieces, r)))
         kept = ["uid", "doc_id", "chunk", "chunks", "text_crc32", "text_bytes"]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(ids, pa.binary())], names=[*kept, "ids"])
 
@@ -311,7 +312,8 @@ def encode(
     every = whole.select(columns).unionByName(ended.select(columns))
 
     def unpack(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids = pa.array(_listed(batch.column("ids")), pa.list_(pa.int32()))
+        pieces = pieces_of(model)
+        ids = pa.array(_listed(pieces, batch.column("ids")), pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays([ids if c == "ids" else batch.column(c) for c in columns], names=columns)
 
     return every if packed else every.mapInArrow(
@@ -332,7 +334,7 @@ def _ids(pieces: Pieces, r: dict) -> list[int]:
         return of(r["head"], [t for t in pieces.path(r["head"], start, begin, end, last) if t[0] >= begin])
     head = of(r["head"], pieces.path(r["head"], start, begin, end, None)) if begin else []
     last = pieces.states(r["tail"], r["tail_end"])[r["exit"]]
-    return head + np.frombuffer(r["inner"], "<i4").tolist() + of(r["tail"], pieces.path(r["tail"], None, 0, r["tail_end"], last))
+    return head + np.frombuffer(r["inner"], pieces.kind).tolist() + of(r["tail"], pieces.path(r["tail"], None, 0, r["tail_end"], last))
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -340,7 +342,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(model)
-        texts = [pieces.decode(i, k == 0) for i, k in zip(_listed(batch.column("ids")), batch.column("chunk").to_pylist())]
+        texts = [pieces.decode(i, k == 0) for i, k in zip(_listed(pieces, batch.column("ids")), batch.column("chunk").to_pylist())]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("uid", "doc_id", "chunk")), pa.array(texts)], names=["uid", "doc_id", "chunk", "text"])
 
     return encoded.mapInArrow(few(each), "uid long, doc_id long, chunk int, text string")
@@ -384,7 +386,7 @@ def round_trip(encoded: DataFrame, model: str) -> DataFrame:
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         pieces, rows = pieces_of(model), []
-        for ids, k in zip(_listed(batch.column("ids")), batch.column("chunk").to_pylist()):
+        for ids, k in zip(_listed(pieces, batch.column("ids")), batch.column("chunk").to_pylist()):
             back = pieces.decode(ids, k == 0).encode()
             rows.append((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), zlib.crc32(back), len(back)))
         n, crc, back, size = ([r[k] for r in rows] for k in range(4))
