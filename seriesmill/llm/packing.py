@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import id_and_text, parts_for, texts_of
-from .wordids import word_ids
+from .common import give_back, id_and_text, parts_for, texts_of
+from .wordids import REMEMBERED, word_ids
 
 CAPACITY = 4096
 GROUP_TOKENS = 1 << 20
@@ -60,13 +60,16 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
     return bins, offsets
 
 
-def pieces(df: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens."""
+def pieces(
+    df: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",
+    remembered: int = REMEMBERED,
+) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens. ``remembered``: words whose ids a worker keeps."""
     end, size = int(end_id).to_bytes(4, "little"), 4 * capacity
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
     def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(tokenizer)
+        words = word_ids(tokenizer, remembered)
         for batch in stream:
             rows: list[tuple] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
@@ -81,6 +84,7 @@ def pieces(df: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY,
                 rows += [(doc, k * capacity, capacity, c, total) for k, c in enumerate(sums)]
                 rows.append((doc, len(sums) * capacity, len(rest) // 4, zlib.crc32(rest), total))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * 5, names=names)
+        give_back()
 
     return id_and_text(df, id_col, text_col).mapInArrow(cut, PIECES)
 
@@ -105,8 +109,11 @@ def pack(found: DataFrame, capacity: int = CAPACITY, group_tokens: int = GROUP_T
     return alone.select(columns).unionByName(placed.select(columns))
 
 
-def pack_documents(df: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
-    return pack(pieces(df, tokenizer, end_id, capacity, id_col, text_col), capacity, **options)
+def pack_documents(
+    df: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",
+    remembered: int = REMEMBERED, **options: int,
+) -> DataFrame:
+    return pack(pieces(df, tokenizer, end_id, capacity, id_col, text_col, remembered), capacity, **options)
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

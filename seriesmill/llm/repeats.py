@@ -430,7 +430,7 @@ def repeated_spans(
 ) -> DataFrame:
     """doc_id, n_bytes, spans (first byte, byte after) that go, and the kept bytes. ``length``: 32 to 87.
 
-    With ``carry`` also row_, the other columns of each row.
+    With ``carry`` also row_, the other columns of each row, and the kept bytes are whole characters.
     """
     if not 32 <= length <= 87:
         raise ValueError("length: 32 to 87")
@@ -453,7 +453,7 @@ def repeated_spans(
                 starts += found.repeated(answer)
             gone = held.removed(starts)
             turns = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
-            out = _documents(held, gone, turns)
+            out = _documents(held, gone, turns, whole=carry)
             yield out.append_column("row_", batch.column("rows")[k].values) if carry else out
 
     schema = T._parse_datatype_string(SPANS)
@@ -462,7 +462,7 @@ def repeated_spans(
     return answered.mapInArrow(batches(cut), schema)
 
 
-def _documents(held: Shard, gone: np.ndarray, turns: np.ndarray) -> pa.RecordBatch:
+def _documents(held: Shard, gone: np.ndarray, turns: np.ndarray, whole: bool = False) -> pa.RecordBatch:
     kept, spans = [], []
     for begin, end in zip(held.starts.tolist(), held.ends.tolist()):
         mine = gone[begin:end]
@@ -470,7 +470,8 @@ def _documents(held: Shard, gone: np.ndarray, turns: np.ndarray) -> pa.RecordBat
             kept.append(held.data[begin:end].tobytes())
             spans.append([])
             continue
-        kept.append(held.data[begin:end][~mine].tobytes())
+        left = held.data[begin:end][~mine].tobytes()
+        kept.append(left.decode(errors="ignore").encode() if whole else left)
         inner = turns[np.searchsorted(turns, begin, side="right") : np.searchsorted(turns, end, side="left")].tolist()
         edges = [begin] * bool(mine[0]) + inner + [end] * bool(mine[-1])
         spans.append([{"first": a - begin, "after": b - begin} for a, b in zip(edges[::2], edges[1::2])])
@@ -487,14 +488,8 @@ def without_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     A cut inside a character takes the rest of it too. Rows of which nothing is left go; those without text at all stay.
     """
     found = repeated_spans(df, length, id_col, text_col, carry=True, **options)
-
-    def read(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts = pa.array([t.decode(errors="ignore") for t in batch.column("kept").to_pylist()], pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column("n_bytes"), texts, batch.column("row_")], names=["n_bytes", "text", "row_"])
-
-    schema = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("text", T.StringType()), found.schema["row_"]])
-    left = found.select("n_bytes", "kept", "row_").mapInArrow(batches(read), schema).where("text <> '' OR n_bytes = 0")
-    return restored(left, df.columns, text_col)
+    left = found.select("n_bytes", F.col("kept").cast("string").alias("text"), "row_")
+    return restored(left.where("text <> '' OR n_bytes = 0"), df.columns, text_col)
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from tokenizers import Tokenizer
 # The split pattern of the vocabulary file.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PIECE_BYTES = 1 << 20
+REMEMBERED = 800_000
 
 
 def _byte_names() -> dict[int, str]:
@@ -31,7 +32,7 @@ def _byte_names() -> dict[int, str]:
 class WordIds(dict):
     """Ids (little-endian unsigned 32-bit) by word; unknown words are encoded when they are asked for."""
 
-    def __init__(self, path: str, remembered: int = 800_000):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         super().__init__()
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
@@ -82,5 +83,5 @@ class WordIds(dict):
 
 
 @functools.lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, remembered: int = REMEMBERED) -> WordIds:
+    return WordIds(path, remembered)
