@@ -51,7 +51,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2)
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2, remembered=200_000)
 
 
 STAGES = [
