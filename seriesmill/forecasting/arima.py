@@ -9,6 +9,9 @@ differ from those of a likelihood solver:
 
 Products of plain and seasonal terms enter as free lags. Each stage is a grouped sum of products; only the
 k x k solve per series runs in Python. Forecasts, intervals and updates use the parameter table alone.
+
+``ArimaSpec(estimator="likelihood")`` estimates by exact likelihood instead (``likelihood``): products of polynomials, holes
+skipped, for series short enough to be one array. The parameter table and all that reads it are the same.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from ..session import materialize
 from .dates import frequency_columns, future_date, gap_columns, with_frequency
 from .differencing import difference_polynomial, differenced
 from .exog import ID, future_rows, unknown_ids
+from .likelihood import estimate, series_arrays
 from .regression import explained, product_sums, solve_normal_equations, solve_yule_walker
 
 TRENDS = {"n": (), "c": ("const",), "t": ("slope",), "ct": ("const", "slope")}
@@ -40,8 +44,11 @@ class ArimaSpec:
     trend: str = "n"
     exog_cols: tuple[str, ...] = ()
     long_ar: int | None = None
+    estimator: str = "two_stage"
 
     def __post_init__(self):
+        if self.estimator not in ("two_stage", "likelihood"):
+            raise ValueError(f"estimator {self.estimator!r} is not two_stage or likelihood")
         if self.trend not in TRENDS:
             raise ValueError(f"trend {self.trend!r} is not one of {', '.join(TRENDS)}")
         if any(self.seasonal_order[:3]) and self.seasonal_order[3] < 2:
@@ -74,7 +81,7 @@ class ArimaSpec:
     @property
     def shock_lags(self) -> int:
         """Length of the long autoregression."""
-        if not self.ma_lags:
+        if not self.ma_lags or self.estimator == "likelihood":
             return 0
         return self.long_ar or max(8, max(self.ar_lags + self.ma_lags) + 4)
 
@@ -260,6 +267,8 @@ def fit(
     and no interval.
     """
     panel = _panel(df, spec, id_col, y_col, ds_col)
+    if spec.estimator == "likelihood":
+        return materialize(_complete(_fit_likelihood(materialize(panel, "panel"), spec, freq), spec), "params")
     if layout == "auto" or spec.exog_cols or spec.ma_lags:  # read more than once
         panel = materialize(panel, "panel")
     rows = lay_out(panel, [ID], ["ds", "y"], layout).with_row_number("__back", from_end=True)
@@ -291,6 +300,30 @@ def fit(
     return materialize(_complete(params, spec), "params")
 
 
+def _fit_likelihood(panel: DataFrame, spec: ArimaSpec, freq: str | None) -> DataFrame:
+    """As ``fit``, by exact likelihood; regressors are fitted before, by least squares on the differenced equation."""
+    rows = lay_out(panel, [ID], ["ds", "y"], "whole")
+    tables = []
+    if spec.exog_cols:
+        if "slope" in spec.trend_terms:
+            rows = rows.with_row_number("t")
+        tables.append(_fit_levels(rows, spec).drop("centre"))
+        rows = _join_table(rows, tables[0])
+    else:
+        rows = rows.on(rows.rows.withColumn("beta", _no_values()))
+    rows = rows.on(_with_adjusted(rows.rows, spec))
+    flat = rows.with_columns(1, lambda w: gap_columns(w, "ds")).to_frame()
+    stats = flat.groupBy(ID).agg(
+        F.count(F.lit(1)).alias("n_obs"), F.max("ds").alias("last_date"), *[c.alias(n) for n, c in frequency_columns("ds").items()]
+    )
+    one = estimate(spec.order, spec.seasonal_order, spec.trend_terms, spec.difference, spec.ar_lags, spec.ma_lags, spec.tail)
+    found = series_arrays(flat.select(ID, "ds", "adjusted"), ID, "adjusted", ["ds"]).select(ID, one("values").alias("found"))
+    found = found.select(ID, "found.*").withColumns(
+        {"yy": F.lit(None).cast("double"), "xy": _no_values(), "xx": _no_values()}  # no sums to add to
+    )
+    return reduce(lambda a, b: a.join(b, ID, "left"), tables, with_frequency(stats, freq).join(found, ID))
+
+
 def _complete(params: DataFrame, spec: ArimaSpec) -> DataFrame:
     """All columns in a fixed order, also for series without enough rows."""
 
@@ -311,7 +344,7 @@ def _complete(params: DataFrame, spec: ArimaSpec) -> DataFrame:
     ]
     return params.select(
         ID, "n_obs", "last_date", "freq", "freq_unit", "freq_step", *arrays,
-        "n_rows", "sigma2", "yy", "xy", "xx", "y_tail", "e_tail",
+        "n_rows", "sigma2", "yy", "xy", "xx", "y_tail", "e_tail", *(["loglik"] if spec.estimator == "likelihood" else []),
         F.lit(spec.to_json()).alias("spec"),
     )
 
@@ -481,6 +514,7 @@ def update(
     ds_col: str = "ds",
     freq: str | None = None,
     layout: str = "auto",
+    update_params: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Update incrementally, and fit again only the series with late or repeated dates. Returns (params, history)."""
     new_rows = materialize(new_rows.select(*history.columns), "new-rows")
@@ -488,10 +522,17 @@ def update(
     late = materialize(late_rows(_panel(new_rows, spec_of(params), id_col, y_col, ds_col), params), "late")
     is_late = new_rows[id_col].cast("string") == late[ID]
     on_time, behind = new_rows.join(late, is_late, "left_anti"), new_rows.join(late, is_late, "left_semi")
-    moved = update_incremental(params, on_time, id_col, y_col, ds_col, True, layout)
+    moved = update_incremental(params, on_time, id_col, y_col, ds_col, update_params, layout)
     return refit(moved, append_history(history, on_time), behind, id_col, y_col, ds_col, freq, layout)
 
 
+def needs_refit(spec: ArimaSpec, update_params: bool) -> bool:
+    """Whether new rows cannot be added to the parameter table alone."""
+    if spec.estimator == "likelihood":
+        return update_params or bool(spec.ma_lags)
+    return update_params and bool(spec.ma_lags or spec.exog_cols)
+
+
 def update_incremental(
     params: DataFrame,
     new_rows: DataFrame,
@@ -510,8 +551,8 @@ def update_incremental(
     Rows must come after a series' last date, one for each date: others raise, and need ``update`` or ``refit``.
     """
     spec = spec_of(params)
-    if update_params and (spec.ma_lags or spec.exog_cols):
-        raise NotImplementedError("coefficients with moving-average terms or regressors need a refit")
+    if needs_refit(spec, update_params):
+        raise NotImplementedError("coefficients with moving-average terms, regressors or of a likelihood need a refit")
     new = materialize(_panel(new_rows, spec, id_col, y_col, ds_col), "new-rows")  # read several times below
     check_known(new, params)
     behind = late_rows(new, params).limit(5).collect()

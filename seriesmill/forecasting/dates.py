@@ -23,18 +23,18 @@ MONTH_ENDS = {"M": 1, "ME": 1, "Q": 3, "QE": 3, "Y": 12, "YE": 12, "A": 12}
 def parse_frequency(freq: str) -> tuple[str, str, int]:
     """(name, unit, step) of a name like ``MS``, ``ME``, ``W-SUN``, ``B``, ``14D`` or ``H``.
 
-    Names that cannot be read count as daily.
+    Raises for a name that cannot be read.
     """
     match = re.fullmatch(r"(\d*)([A-Za-z]+)(?:-[A-Z]{3})?", freq)
     if not match:
-        return FALLBACK
+        raise ValueError(f"frequency {freq!r} cannot be read")
     times, base = int(match[1] or 1), match[2]
     if base == "B":
         return freq, "weekdays", times
     for unit, names in (("month_start", MONTH_STARTS), ("month_end", MONTH_ENDS), ("seconds", UNIT_SECONDS), ("microseconds", UNIT_MICROSECONDS)):
         if base in names:
             return freq, unit, names[base] * times
-    return FALLBACK
+    raise ValueError(f"frequency {freq!r} is not known")
 
 
 def _seconds(c: Column) -> Column:
@@ -155,3 +155,18 @@ def future_date(last: Column, unit: Column, step: Column, i: Column) -> Column:
         .when(unit == "microseconds", F.timestamp_add("MICROSECOND", (step * i).cast("long"), last))
         .otherwise(timed)
     )
+
+
+def fill_dates(df: DataFrame, freq: str = "MS", id_col: str = "unique_id", ds_col: str = "ds") -> DataFrame:
+    """The rows, and one with nulls for every date of the frequency that a series leaves out between its first and last.
+
+    ``freq``: month starts or steps of days and below.
+    """
+    _, unit, step = parse_frequency(freq)
+    if unit not in ("month_start", "seconds"):
+        raise ValueError(f"dates of frequency {freq!r} cannot be filled")
+    each = F.make_ym_interval(F.lit(0), F.lit(step)) if unit == "month_start" else F.make_dt_interval(secs=F.lit(step))
+    known = df.where(F.col(ds_col).isNotNull())
+    ends = known.groupBy(id_col).agg(F.min(ds_col).alias("__first"), F.max(ds_col).alias("__last"))
+    grid = ends.select(id_col, F.explode(F.sequence("__first", "__last", each)).alias(ds_col))
+    return grid.join(known, [id_col, ds_col], "left").select(df.columns).unionByName(known.join(grid, [id_col, ds_col], "left_anti"))

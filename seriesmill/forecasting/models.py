@@ -11,8 +11,9 @@ from .arima import ArimaSpec
 
 
 class _PanelModel:
-    def __init__(self, order: tuple, seasonal_order: tuple, trend: str | None):
+    def __init__(self, order: tuple, seasonal_order: tuple, trend: str | None, estimator: str):
         self.order, self.seasonal_order, self.trend = tuple(order), tuple(seasonal_order), trend or "n"
+        self.estimator = estimator
         self.params: DataFrame | None = None
         self.history: DataFrame | None = None
         self._columns = ("unique_id", "y", "ds")
@@ -30,7 +31,7 @@ class _PanelModel:
     ):
         """Fit one model per series. ``fh`` is the horizon of ``predict`` calls that give none; ``freq``
         overrides the inferred frequency."""
-        spec = ArimaSpec(self.order, self.seasonal_order, self.trend, tuple(exog_cols or ()))
+        spec = ArimaSpec(self.order, self.seasonal_order, self.trend, tuple(exog_cols or ()), estimator=self.estimator)
         self._columns, self._horizon, self._freq, self._layout = (id_col, y_col, ds_col), fh, freq, layout
         self.history = df.select(id_col, y_col, ds_col, *spec.exog_cols)
         self.params = arima.fit(self.history, spec, id_col, y_col, ds_col, freq, layout)
@@ -55,31 +56,39 @@ class _PanelModel:
 
 
 class ArimaModel(_PanelModel):
-    """ARIMA with an intercept by default."""
+    """ARIMA with an intercept by default; two-stage least squares, or ``estimator="likelihood"`` for short series."""
 
-    def __init__(self, order: tuple = (1, 1, 1), seasonal_order: tuple = (0, 0, 0, 0), trend: str | None = "c"):
-        super().__init__(order, seasonal_order, trend)
+    def __init__(
+        self, order: tuple = (1, 1, 1), seasonal_order: tuple = (0, 0, 0, 0), trend: str | None = "c", estimator: str = "two_stage"
+    ):
+        super().__init__(order, seasonal_order, trend, estimator)
 
     def predict(self, horizon: int | None = None, X: DataFrame | None = None) -> DataFrame:
         return self._forecast(horizon, X, 0.05).select("unique_id", "ds", "yhat")
 
     def update(self, df: DataFrame, update_params: bool = True):
         """Add observations. Coefficients are re-estimated with ``update_params``, else only the state moves."""
-        spec = arima.spec_of(self._fitted())
-        if update_params and (spec.ma_lags or spec.exog_cols):
+        if arima.needs_refit(arima.spec_of(self._fitted()), update_params):
             self._refit(df)
-        else:
-            id_col, y_col, ds_col = self._columns
-            self.params = arima.update_incremental(self.params, df, id_col, y_col, ds_col, update_params, self._layout)
-            self.history = arima.append_history(self.history, df)
+        else:  # series with late or repeated dates are fitted again
+            self.params, self.history = arima.update(
+                self.params, self.history, df, *self._columns, freq=self._freq, layout=self._layout, update_params=update_params
+            )
         return self
 
 
 class SarimaModel(_PanelModel):
-    """Seasonal ARIMA, without trend terms by default; forecasts carry an interval."""
+    """Seasonal ARIMA, without trend terms by default; forecasts carry an interval.
+
+    Seasonal and moving-average terms are estimated by exact likelihood, plain autoregressions by least squares, unless
+    ``estimator`` names one. Series too long for one array need ``estimator="two_stage"``.
+    """
 
-    def __init__(self, order: tuple = (1, 1, 1), seasonal_order: tuple = (1, 1, 1, 12), trend: str | None = None):
-        super().__init__(order, seasonal_order, trend)
+    def __init__(
+        self, order: tuple = (1, 1, 1), seasonal_order: tuple = (1, 1, 1, 12), trend: str | None = None, estimator: str | None = None
+    ):
+        plain = not any(seasonal_order) and not order[2]
+        super().__init__(order, seasonal_order, trend, estimator or ("two_stage" if plain else "likelihood"))
 
     def predict(
         self,

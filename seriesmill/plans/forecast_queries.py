@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 from ..forecasting import arima
 from ..forecasting.arima import ArimaSpec
 from ..forecasting.baselines import fit_baselines, forecast_baselines
-from ..forecasting.dates import future_date, infer_frequency
+from ..forecasting.dates import fill_dates, future_date, infer_frequency
 from ..forecasting.differencing import difference_polynomial, differenced
 from ..forecasting.exog import last_rows, padded_future, unknown_ids
+from ..forecasting.likelihood import log_likelihoods, series_arrays
+from ..forecasting.models import SarimaModel
 from ..operators.layout import lay_out
 from ..operators.metrics import evaluate_result_forecast
 from ..operators.split import time_series_split, union_all
@@ -260,6 +262,45 @@ def f3_sarima_forecast(spark, sf_dir):
     return rounded(arima.forecast(params, 12))
 
 
+# --- exact likelihood ------------------------------------------------------------------------------
+
+
+@register("f3_sarima_scored_by_brand")
+def f3_sarima_scored_by_brand(spark, sf_dir):
+    """Default seasonal model and seasonal naive on the months after the cutoff: errors and covered share per brand."""
+    train = materialize(_train(spark, sf_dir), "train")
+    model = SarimaModel().fit(train, freq="MS", layout=SUMMED)
+    naive = forecast_baselines(fit_baselines(train, freq="MS", layout=SUMMED), 12).select("unique_id", "ds", "seasonal_naive")
+    both = _later(spark, sf_dir).join(model.predict(12), ["unique_id", "ds"]).join(naive, ["unique_id", "ds"])
+    inside = F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper"))
+    return rounded(
+        both.groupBy("unique_id").agg(
+            F.sqrt(F.avg(F.pow(F.col("y") - F.col("yhat"), 2))).alias("rmse"),
+            F.sqrt(F.avg(F.pow(F.col("y") - F.col("seasonal_naive"), 2))).alias("naive_rmse"),
+            F.avg(inside.cast("double")).alias("covered"),
+        )
+    )
+
+
+_PHI = 0.4
+
+
+@register(
+    "f2_likelihood_with_holes",
+    f"""WITH {PART_MONTHS}, panel AS (SELECT CAST(product_id AS VARCHAR) AS unique_id, CAST(period AS TIMESTAMP) AS ds, sales_amount / 1e5 AS y FROM part_monthly),
+    gaps AS (SELECT unique_id, y, lag(y) {_W} AS y0, year(ds) * 12 + month(ds) - lag(year(ds) * 12 + month(ds)) {_W} AS g FROM panel),
+    steps AS (SELECT unique_id, CASE WHEN g IS NULL THEN y ELSE y - pow({_PHI}, g) * y0 END AS v,
+      CASE WHEN g IS NULL THEN 1 ELSE 1 - pow({_PHI}, 2 * g) END / (1 - {_PHI} * {_PHI}) AS f FROM gaps)
+    SELECT unique_id, count(*) AS n_rows, round(-0.5 * sum(ln(2 * pi() * f) + v * v / f), 6) AS loglik FROM steps GROUP BY unique_id""",
+)
+def f2_likelihood_with_holes(spark, sf_dir):
+    """Exact log-likelihood of an AR(1) with unit shocks over monthly sales per part, months without sales missing."""
+    months = _part_panel(spark, sf_dir).withColumn("y", F.col("y") / 1e5)
+    series = series_arrays(fill_dates(months, "MS"), "unique_id", "y", ["ds"])
+    n = F.size(F.filter("values", lambda v: v.isNotNull())).cast("long")
+    return rounded(series.select("unique_id", n.alias("n_rows"), log_likelihoods(F.col("values"), [_PHI], [], 1.0).alias("loglik")))
+
+
 # --- regressors -----------------------------------------------------------------------------------
 
 _TRAIN_X = f"""{PANEL_X}, train AS (SELECT unique_id, ds, y / 1e6 AS y, n_lines FROM panel WHERE ds < {_CUT}),
