@@ -4,6 +4,6 @@ from .registry import QUERIES, Query
 
 
 def all_queries() -> dict[str, Query]:
-    from . import calendar_queries, evaluation_queries, feature_queries, forecast_queries, source_queries  # noqa: F401
+    from . import calendar_queries, evaluation_queries, feature_queries, forecast_queries, source_queries, streaming_queries  # noqa: F401
 
     return QUERIES

@@ -107,6 +107,23 @@ def g17_residual_distribution(spark, sf_dir):
     )
 
 
+@register(
+    "g17_residual_density",
+    f"""WITH {PAIRS}, r AS (SELECT actual - forecast AS r FROM pairs WHERE actual - forecast IS NOT NULL),
+    s AS (SELECT min(r) AS lo, max(r) AS hi, count(*) AS n, stddev_samp(r) * pow(count(*), -0.2) AS h FROM r),
+    g AS (SELECT lo - 3 * h AS low, (hi - lo + 6 * h) / 99 AS step, n, h FROM s),
+    p AS (SELECT (r - low) / step AS place FROM r, g), b AS (SELECT least(floor(place), 98) AS bin, place FROM p),
+    w AS (SELECT bin, sum(1 - (place - bin)) AS here, sum(place - bin) AS next FROM b GROUP BY bin)
+    SELECT CAST(k AS INTEGER) AS point, round(low + k * step, 3) AS x, round(1e6 / (n * h * sqrt(2 * pi())) * (SELECT
+      sum(here * exp(-0.5 * pow((k - bin) * step / h, 2)) + next * exp(-0.5 * pow((k - bin - 1) * step / h, 2))) FROM w), 6) AS density_per_million
+    FROM g, range(0, 100) AS t(k)""",
+)
+def g17_residual_density(spark, sf_dir):
+    pairs = materialize(seasonal_pairs(spark, sf_dir), "pairs")  # read for the range and for the bins
+    found = m.residual_density(pairs, "actual", "forecast", 100)
+    return rounded(found.select("point", "x", (F.col("density") * 1e6).alias("density_per_million")), 6, x=3)
+
+
 # --- splits ---------------------------------------------------------------------------------------
 
 

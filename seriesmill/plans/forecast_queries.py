@@ -34,6 +34,11 @@ def _train(spark, sf_dir):
     return _in_millions(brand_panel(spark, sf_dir, before=CUTOFF))
 
 
+def _whole(spark, sf_dir):
+    return _in_millions(brand_panel(spark, sf_dir))
+
+
+_WHOLE = f"{PANEL}, train AS (SELECT unique_id, ds, y / 1e6 AS y FROM panel)"
 _TRAIN = f"{PANEL}, train AS (SELECT unique_id, ds, y / 1e6 AS y FROM panel WHERE ds < {_CUT})"
 _LATER = f"later AS (SELECT unique_id, ds, y / 1e6 AS y FROM panel WHERE ds >= {_CUT})"
 
@@ -130,11 +135,11 @@ _BASE_FORECAST = """fc AS (SELECT unique_id, last_date + to_months(CAST(i AS INT
 
 @register(
     "f13_baselines",
-    f"""WITH {_TRAIN}, {_BASE_STATS}, {_BASE_FORECAST} SELECT unique_id, ds, step, round(mean, 6) AS mean,
+    f"""WITH {_WHOLE}, {_BASE_STATS}, {_BASE_FORECAST} SELECT unique_id, ds, step, round(mean, 6) AS mean,
     round(naive, 6) AS naive, round(seasonal_naive, 6) AS seasonal_naive, round(drift, 6) AS drift FROM fc""",
 )
 def f13_baselines(spark, sf_dir):
-    return rounded(forecast_baselines(fit_baselines(_train(spark, sf_dir), freq="MS", layout=SUMMED), 12))
+    return rounded(forecast_baselines(fit_baselines(_whole(spark, sf_dir), freq="MS", layout=SUMMED), 12))
 
 
 @register(
@@ -181,14 +186,14 @@ def _later(spark, sf_dir):
     return _in_millions(brand_panel(spark, sf_dir, since=CUTOFF))
 
 
-@register("f2_ar1_parameters", f"WITH {_TRAIN}, {_ar1_sql('train')} {_AR1_PARAMS}")
+@register("f2_ar1_parameters", f"WITH {_WHOLE}, {_ar1_sql('train')} {_AR1_PARAMS}")
 def f2_ar1_parameters(spark, sf_dir):
-    return _ar1_columns(arima.fit(_train(spark, sf_dir), _AR1, freq="MS", layout=SUMMED))
+    return _ar1_columns(arima.fit(_whole(spark, sf_dir), _AR1, freq="MS", layout=SUMMED))
 
 
-@register("f2_ar1_parameters_in_blocks", f"WITH {_TRAIN}, {_ar1_sql('train')} {_AR1_PARAMS}")
+@register("f2_ar1_parameters_in_blocks", f"WITH {_WHOLE}, {_ar1_sql('train')} {_AR1_PARAMS}")
 def f2_ar1_parameters_in_blocks(spark, sf_dir):
-    return _ar1_columns(arima.fit(_train(spark, sf_dir), _AR1, freq="MS", layout="blocks"))
+    return _ar1_columns(arima.fit(_whole(spark, sf_dir), _AR1, freq="MS", layout="blocks"))
 
 
 _AR1_PATH = f"""path AS (SELECT unique_id, h, last_date + to_months(CAST(h AS INTEGER)) AS ds,
@@ -198,33 +203,33 @@ _AR1_PATH = f"""path AS (SELECT unique_id, h, last_date + to_months(CAST(h AS IN
   SELECT unique_id, ds, round(yhat, 6) AS yhat, round(yhat - half, 6) AS yhat_lower, round(yhat + half, 6) AS yhat_upper FROM path"""
 
 
-@register("f5_ar1_forecast", f"WITH {_TRAIN}, {_ar1_sql('train')}, {_AR1_PATH}")
+@register("f5_ar1_forecast", f"WITH {_WHOLE}, {_ar1_sql('train')}, {_AR1_PATH}")
 def f5_ar1_forecast(spark, sf_dir):
-    return rounded(arima.forecast(arima.fit(_train(spark, sf_dir), _AR1, freq="MS", layout=SUMMED), _HORIZON))
+    return rounded(arima.forecast(arima.fit(_whole(spark, sf_dir), _AR1, freq="MS", layout=SUMMED), _HORIZON))
 
 
 @register(
     "f6_random_walk_interval",
-    f"""WITH {_TRAIN}, w AS (SELECT unique_id, ds, y, y - lag(y) {_W} AS w FROM train),
+    f"""WITH {_WHOLE}, w AS (SELECT unique_id, ds, y, y - lag(y) {_W} AS w FROM train),
     s AS (SELECT unique_id, max(ds) AS last_date, arg_max(y, ds) AS y0, sqrt(avg(w * w)) AS sigma FROM w GROUP BY unique_id)
     SELECT unique_id, last_date + to_months(CAST(h AS INTEGER)) AS ds, round(y0, 6) AS yhat,
     round(y0 - 1.959963984540054 * sigma * sqrt(h), 6) AS yhat_lower,
     round(y0 + 1.959963984540054 * sigma * sqrt(h), 6) AS yhat_upper FROM s, range(1, {_HORIZON} + 1) r(h)""",
 )
 def f6_random_walk_interval(spark, sf_dir):
-    walk = arima.fit(_train(spark, sf_dir), ArimaSpec((0, 1, 0)), freq="MS", layout=SUMMED)
+    walk = arima.fit(_whole(spark, sf_dir), ArimaSpec((0, 1, 0)), freq="MS", layout=SUMMED)
     return rounded(arima.forecast(walk, _HORIZON))
 
 
 @register(
     "f3_seasonal_random_walk",
-    f"""WITH {_TRAIN}, tail AS (SELECT unique_id, max(ds) AS last_date, list(y ORDER BY ds)[-12:] AS season FROM train GROUP BY 1)
+    f"""WITH {_WHOLE}, tail AS (SELECT unique_id, max(ds) AS last_date, list(y ORDER BY ds)[-12:] AS season FROM train GROUP BY 1)
     SELECT unique_id, last_date + to_months(CAST(h AS INTEGER)) AS ds, round(season[(h - 1) % 12 + 1], 6) AS yhat
     FROM tail, range(1, 19) r(h)""",
 )
 def f3_seasonal_random_walk(spark, sf_dir):
     spec = ArimaSpec((0, 0, 0), (0, 1, 0, 12))
-    params = arima.fit(_train(spark, sf_dir), spec, freq="MS", layout=SUMMED)
+    params = arima.fit(_whole(spark, sf_dir), spec, freq="MS", layout=SUMMED)
     return rounded(arima.forecast(params, 18).select("unique_id", "ds", "yhat"))
 
 
@@ -233,19 +238,19 @@ _SEASONAL_AR = ArimaSpec((0, 1, 0), (1, 0, 0, 12))
 
 @register(
     "f3_seasonal_ar_parameters",
-    f"""WITH {_TRAIN}, w AS (SELECT unique_id, ds, y - lag(y) {_W} AS w FROM train),
+    f"""WITH {_WHOLE}, w AS (SELECT unique_id, ds, y - lag(y) {_W} AS w FROM train),
     l AS (SELECT unique_id, w, lag(w, 12) {_W} AS w12 FROM w), p AS (SELECT * FROM l WHERE w IS NOT NULL AND w12 IS NOT NULL)
     SELECT unique_id, count(*) AS n_rows, round(sum(w * w12) / sum(w12 * w12), 6) AS phi FROM p GROUP BY unique_id""",
 )
 def f3_seasonal_ar_parameters(spark, sf_dir):
-    params = arima.fit(_train(spark, sf_dir), _SEASONAL_AR, freq="MS", layout=SUMMED)
+    params = arima.fit(_whole(spark, sf_dir), _SEASONAL_AR, freq="MS", layout=SUMMED)
     return rounded(params.select("unique_id", "n_rows", F.col("ar")[0].alias("phi")))
 
 
 # The two-stage estimate needs the solution of an 8 x 8 system per series: no SQL; tested against NumPy.
 @register("f2_arima_forecast")
 def f2_arima_forecast(spark, sf_dir):
-    params = arima.fit(_train(spark, sf_dir), ArimaSpec((1, 1, 1), trend="c"), freq="MS", layout=SUMMED)
+    params = arima.fit(_whole(spark, sf_dir), ArimaSpec((1, 1, 1), trend="c"), freq="MS", layout=SUMMED)
     return rounded(arima.forecast(params, _HORIZON))
 
 
@@ -258,7 +263,7 @@ def f2_arima_of_products(spark, sf_dir):
 
 @register("f3_sarima_forecast")
 def f3_sarima_forecast(spark, sf_dir):
-    params = arima.fit(_train(spark, sf_dir), ArimaSpec((1, 1, 1), (1, 1, 1, 12)), freq="MS", layout=SUMMED)
+    params = arima.fit(_whole(spark, sf_dir), ArimaSpec((1, 1, 1), (1, 1, 1, 12)), freq="MS", layout=SUMMED)
     return rounded(arima.forecast(params, 12))
 
 
@@ -352,13 +357,13 @@ def j6_aligned_regressors(spark, sf_dir):
 
 @register(
     "u1_forecasts_of_two_models",
-    f"""WITH {_TRAIN}, s AS (SELECT unique_id, max(ds) AS last_date, arg_max(y, ds) AS y0, list(y ORDER BY ds)[-12:] AS season
+    f"""WITH {_WHOLE}, s AS (SELECT unique_id, max(ds) AS last_date, arg_max(y, ds) AS y0, list(y ORDER BY ds)[-12:] AS season
       FROM train GROUP BY 1)
     SELECT 'walk' AS model, unique_id, last_date + to_months(CAST(h AS INTEGER)) AS ds, round(y0, 6) AS yhat FROM s, range(1, 4) r(h)
     UNION ALL SELECT 'seasonal walk', unique_id, last_date + to_months(CAST(h AS INTEGER)), round(season[h], 6) FROM s, range(1, 4) r(h)""",
 )
 def u1_forecasts_of_two_models(spark, sf_dir):
-    train = _train(spark, sf_dir)
+    train = materialize(_whole(spark, sf_dir), "train")  # read by each fit
     specs = {"walk": ArimaSpec((0, 1, 0)), "seasonal walk": ArimaSpec((0, 0, 0), (0, 1, 0, 12))}
     parts = [
         arima.forecast(arima.fit(train, spec, freq="MS", layout=SUMMED), 3).select(F.lit(name).alias("model"), "unique_id", "ds", "yhat")

@@ -259,3 +259,16 @@ def test_subsequences(spark, layout):
     got = extract_subsequences(df, ["a", "b"], "a", 2, ["t"], layout=layout).orderBy("t").collect()
     assert len(got) == 4
     assert got[0].subsequence == [[0.0, 0.0], [1.0, 10.0]] and got[0].next_target == 2.0
+
+
+def test_residual_density_is_a_kernel_density(spark):
+    rng = np.random.default_rng(3)
+    r = np.concatenate([rng.normal(0, 1, 300), rng.normal(5, 0.5, 100)])
+    df = spark.createDataFrame([(float(v), 0.0) for v in r] + [(None, 1.0)], "a double, f double")
+    got = m.residual_density(df, "a", "f", 400).orderBy("point").toPandas()
+    h = r.std(ddof=1) * len(r) ** -0.2
+    want = np.exp(-0.5 * ((got["x"].to_numpy()[:, None] - r) / h) ** 2).sum(axis=1) / (len(r) * h * np.sqrt(2 * np.pi))
+    np.testing.assert_allclose(got["density"], want, atol=2e-3 * want.max())
+    assert (got["density"] * (got["x"][1] - got["x"][0])).sum() == pytest.approx(1, abs=1e-3)
+    for few in ([(1.0, 0.0)], [(2.0, 1.0)] * 3, []):
+        assert m.residual_density(spark.createDataFrame(few, "a double, f double"), "a", "f").count() == 0
