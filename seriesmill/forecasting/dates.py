@@ -23,18 +23,26 @@ MONTH_ENDS = {"M": 1, "ME": 1, "Q": 3, "QE": 3, "Y": 12, "YE": 12, "A": 12}
 def parse_frequency(freq: str) -> tuple[str, str, int]:
     """(name, unit, step) of a name like ``MS``, ``ME``, ``W-SUN``, ``B``, ``14D`` or ``H``.
 
-    Raises for a name that cannot be read.
+    Names that cannot be read count as daily.
     """
     match = re.fullmatch(r"(\d*)([A-Za-z]+)(?:-[A-Z]{3})?", freq)
     if not match:
-        raise ValueError(f"frequency {freq!r} cannot be read")
+        return FALLBACK
     times, base = int(match[1] or 1), match[2]
     if base == "B":
         return freq, "weekdays", times
     for unit, names in (("month_start", MONTH_STARTS), ("month_end", MONTH_ENDS), ("seconds", UNIT_SECONDS), ("microseconds", UNIT_MICROSECONDS)):
         if base in names:
             return freq, unit, names[base] * times
-    raise ValueError(f"frequency {freq!r} is not known")
+    return FALLBACK
+
+
+def given_frequency(freq: str) -> tuple[str, str, int]:
+    """As ``parse_frequency`` for a name that a caller passes; raises where it cannot be read."""
+    found = parse_frequency(freq)
+    if found == FALLBACK and freq != FALLBACK[0]:
+        raise ValueError(f"frequency {freq!r} is not known")
+    return found
 
 
 def _seconds(c: Column) -> Column:
@@ -127,7 +135,7 @@ def with_frequency(stats: DataFrame, freq: str | None) -> DataFrame:
     """The given frequency for every series, or the one its aggregates show."""
     if freq is None:
         return name_frequency(stats)
-    name, unit, step = parse_frequency(freq)
+    name, unit, step = given_frequency(freq)
     return stats.withColumns({"freq": F.lit(name), "freq_unit": F.lit(unit), "freq_step": F.lit(step).cast("long")})
 
 
@@ -162,7 +170,7 @@ def fill_dates(df: DataFrame, freq: str = "MS", id_col: str = "unique_id", ds_co
 
     ``freq``: month starts or steps of days and below.
     """
-    _, unit, step = parse_frequency(freq)
+    _, unit, step = given_frequency(freq)
     if unit not in ("month_start", "seconds"):
         raise ValueError(f"dates of frequency {freq!r} cannot be filled")
     each = F.make_ym_interval(F.lit(0), F.lit(step)) if unit == "month_start" else F.make_dt_interval(secs=F.lit(step))

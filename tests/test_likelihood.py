@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.forecasting import arima, likelihood
 from seriesmill.forecasting.arima import ArimaSpec
-from seriesmill.forecasting.dates import fill_dates, parse_frequency
+from seriesmill.forecasting.dates import fill_dates, given_frequency
 from seriesmill.forecasting.models import ArimaModel, SarimaModel
 
 
@@ -121,7 +121,7 @@ def test_filled_dates_and_unknown_frequencies(spark):
     assert got == [("a", 1, 1.0), ("a", 2, None), ("a", 3, None), ("a", 4, 4.0), ("b", 1, 1.0)]
     for name in ("BME", "SMS", "nonsense", "1 day"):
         with pytest.raises(ValueError):
-            parse_frequency(name)
+            given_frequency(name)
 
 
 def test_long_series_are_refused(spark, monkeypatch):
