@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import log1p
 from ..operators import metrics as m
-from ..operators.cross_validation import cv_line, cv_training_mean, score_summary, time_series_cv
+from ..operators.cross_validation import cv_least_squares, cv_line, cv_training_mean, score_summary, time_series_cv
 from ..operators.scaling import extract_subsequences, fit_min_max, scale_min_max, unscale_min_max
 from ..operators.split import POSITION, expanding_folds, train_val_test_split, with_split_label
 from ..session import materialize
@@ -248,6 +248,31 @@ def t4_cv_linear_regression(spark, sf_dir):
     return rounded(time_series_cv(orders, line, "o_totalprice", keys, features=["o_custkey"]), 3)
 
 
+@register(
+    "t4_cv_three_features",
+    f"""WITH numbered AS (SELECT o_totalprice AS y, CAST(o_custkey AS DOUBLE) AS x1, CAST(month(o_orderdate) AS DOUBLE) AS x2,
+      CAST(day(o_orderdate) AS DOUBLE) AS x3, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS pos FROM orders),
+    {fold_sql('numbered')},
+    s AS (SELECT fold, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3,
+      var_pop(x1) AS a, var_pop(x2) AS b, var_pop(x3) AS c, covar_pop(x1, x2) AS d, covar_pop(x1, x3) AS e,
+      covar_pop(x2, x3) AS f, covar_pop(x1, y) AS p, covar_pop(x2, y) AS q, covar_pop(x3, y) AS r
+      FROM numbered JOIN folds ON pos < train_end GROUP BY fold),
+    det AS (SELECT *, a * (b * c - f * f) - d * (d * c - f * e) + e * (d * f - b * e) AS det FROM s),
+    fit AS (SELECT *, (p * (b * c - f * f) - d * (q * c - f * r) + e * (q * f - b * r)) / det AS b1,
+      (a * (q * c - f * r) - p * (d * c - f * e) + e * (d * r - q * e)) / det AS b2,
+      (a * (b * r - q * f) - d * (d * r - q * e) + p * (d * f - b * e)) / det AS b3 FROM det)
+    SELECT fold, round(sqrt(avg(pow(y - my - b1 * (x1 - m1) - b2 * (x2 - m2) - b3 * (x3 - m3), 2))), 3) AS rmse
+    FROM numbered JOIN folds ON pos >= val_start AND pos < val_end JOIN fit USING (fold) GROUP BY fold""",
+)
+def t4_cv_three_features(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate", "o_totalprice", "o_custkey",
+        F.month("o_orderdate").alias("month"), F.dayofmonth("o_orderdate").alias("day"),
+    )
+    folds = expanding_folds(orders, ["o_orderdate", "o_orderkey"])
+    return rounded(cv_least_squares(folds, "o_totalprice", ["o_custkey", "month", "day"]), 3)
+
+
 @register("t4_cv_boosted_trees")
 def t4_cv_boosted_trees(spark, sf_dir):
     """Boosted trees on the past of each brand, all brands in one model."""

@@ -13,7 +13,7 @@ from seriesmill.functions.calendar import create_time_features, ensure_datetime,
 from seriesmill.functions.scalars import divide, expm1, log1p, nan_to_null, round_half_even
 from seriesmill.operators import metrics as m
 from seriesmill.operators.aggregate import aggregate_sales
-from seriesmill.operators.cross_validation import cv_line, cv_training_mean, score_summary, time_series_cv
+from seriesmill.operators.cross_validation import cv_least_squares, cv_line, cv_training_mean, score_summary, time_series_cv
 from seriesmill.operators.enrich import enrich_product_transaction, left_merge
 from seriesmill.operators.scaling import extract_subsequences, fit_min_max, scale_min_max, unscale_min_max
 from seriesmill.operators.split import POSITION, expanding_folds, fold_bounds, time_series_split, train_val_test_split, with_split_label
@@ -235,6 +235,35 @@ def test_cross_validation_scores(spark):
     assert summary.mean_score == round(np.mean(want_line), 4) and summary.std_score == round(np.std(want_line), 4)
 
 
+@pytest.mark.parametrize("log", [False, True])
+def test_least_squares_folds_equal_a_fit_per_fold(spark, log):
+    rng = np.random.default_rng(3)
+    x = rng.normal(1e6, 1.0, (90, 2))
+    y = 0.2 * (x[:, 0] - 1e6) - 0.3 * (x[:, 1] - 1e6) + rng.normal(3, 0.1, 90)
+    cells = [(t, float(y[t]), float(x[t, 0]), float(x[t, 1]), float(2 * x[t, 0])) for t in range(90)]
+    cells[7] = (7, None, *cells[7][2:])
+    cells[85] = (*cells[85][:2], NAN, *cells[85][3:])
+    df = spark.createDataFrame(cells, "t int, y double, `a.b` double, c double, twice double")
+    folds = expanding_folds(df, ["t"], 4, 15, 3)
+    got = values(cv_least_squares(folds, "y", ["a.b", "c", "twice"], log).orderBy("fold"), "rmse")
+    back = np.expm1 if log else (lambda v: v)
+    use = np.array([t not in (7, 85) for t in range(90)])
+    design = np.column_stack([np.ones(90), x - 1e6])
+    for f, score in zip(folds.bounds, got):
+        at = np.arange(90)
+        train, val = use & (at < f.train_end), use & (at >= f.val_start) & (at < f.val_end)
+        beta = np.linalg.lstsq(design[train], y[train], rcond=None)[0]
+        want = np.sqrt(np.mean((back(y[val]) - back(design[val] @ beta)) ** 2))
+        np.testing.assert_allclose(score, want, rtol=1e-6)
+
+
+def test_least_squares_folds_without_usable_rows_and_scans(spark, tmp_path):
+    spark.range(12).selectExpr("id AS t", "cast(null AS double) AS y", "id AS x").write.parquet(str(tmp_path / "t"))
+    scores = cv_least_squares(expanding_folds(spark.read.parquet(str(tmp_path / "t")), ["t"], 3), "y", ["x"])
+    assert [tuple(r) for r in scores.orderBy("fold").collect()] == [(0, None), (1, None), (2, None)]
+    assert scores._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2  # the rows, and their offsets
+
+
 def test_cross_validation_of_a_function_on_log_scale(spark):
     df = spark.range(30).selectExpr("id AS t", "ln(1 + cast(id AS double)) AS y")
     zero = lambda train, val: val.withColumn("prediction", F.lit(0.0))
