@@ -17,6 +17,7 @@ from ..functions import calendar, scalars
 from ..functions.scalars import named
 from ..session import materialize
 from .layout import BLOCK_ROWS, SeriesRows, lay_out
+from .rolling import Rolling
 from .weighted import enough_values, rolling_weights, weighted_mean, weighted_std
 
 Step = Callable[[WindowSpec], dict[str, Column]]
@@ -33,16 +34,6 @@ def lag_columns(w: WindowSpec, keyed: Column, target: str, names: dict[str, int]
     return {name: F.when(keyed, F.lag(named(target), k).over(w)) for name, k in names.items()}
 
 
-def rolling(w: WindowSpec, keyed: Column, target: str, window: int, agg: str, min_periods: int | None = None) -> Column:
-    """``agg`` over the ``window`` rows before the current one, NULL under ``min_periods`` values."""
-    need = window if min_periods is None else min_periods
-    if need > window:
-        raise ValueError(f"min_periods {need} must be <= window {window}")
-    frame = w.rowsBetween(-window, -1)
-    fn = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}[agg]
-    return F.when(keyed & (F.count(named(target)).over(frame) >= need), fn(named(target)).over(frame))
-
-
 def diff_column(w: WindowSpec, keyed: Column, target: str, periods: int) -> Column:
     return F.when(keyed, named(target) - F.lag(named(target), periods).over(w))
 
@@ -81,14 +72,12 @@ def add_rolling_features(
     layout: str = "auto",
 ) -> DataFrame:
     rows = _prepare(df, group_cols, order_by, layout)
-    return rows.with_columns(
-        max(windows),
-        lambda w: {
-            f"{target_col}_rolling_{agg}_{n}": rolling(w, rows.has_key, target_col, n, agg)
-            for n in windows
-            for agg in ("mean", "std")
-        },
-    ).to_frame()
+    rolled = Rolling(rows, target_col, windows, ("mean", "std"))
+
+    def build(w: WindowSpec) -> dict[str, Column]:
+        return {f"{target_col}_rolling_{agg}_{n}": rolled.column(w, n, agg) for n in windows for agg in ("mean", "std")}
+
+    return rows.with_columns(max(windows), *rolled.steps, build).to_frame().drop(*rolled.helpers)
 
 
 def _add(rows: SeriesRows, reach: int, target: str, *steps: Step) -> SeriesRows:
@@ -143,16 +132,17 @@ def prepare_features(
     dated = calendar.create_time_features(scalars.nan_to_null(df), date_col)
     rows = lay_out(dated, group_cols, order_by or (date_col,), layout)
     keyed = rows.has_key
+    rolled = Rolling(rows, value_col, rolling_windows, ("mean", "std"))
 
     def build(w: WindowSpec) -> dict[str, Column]:
         out = lag_columns(w, keyed, value_col, {f"{value_col}_lag{k}": k for k in lags})
         for n in rolling_windows:
             for agg in ("mean", "std"):
-                out[f"{value_col}_rolling_{agg}_{n}"] = rolling(w, keyed, value_col, n, agg)
+                out[f"{value_col}_rolling_{agg}_{n}"] = rolled.column(w, n, agg)
         return out | _diff_block(w, keyed, value_col, diff_periods)
 
     reach = max([0, *lags, *rolling_windows, *diff_periods])
-    return _add(rows, reach, value_col, build).to_frame()
+    return _add(rows, reach, value_col, *rolled.steps, build).to_frame().drop(*rolled.helpers)
 
 
 # --- exponentially weighted mean ------------------------------------------------------------------
@@ -329,13 +319,14 @@ def create_time_series_features(
     keyed = rows.has_key
     means = {a: f"__ewm_{i}" for i, a in enumerate(weights)} if ewm else {}
     centres = {n: f"__centre_{n}" for n in windows} if win_type and aggs else {}
+    plain = Rolling(rows, target, windows, [] if win_type else aggs)
 
     def weighted_centres(w: WindowSpec) -> dict[str, Column]:
         return {name: weighted_mean(w, target, rolling_weights(win_type, n)) for n, name in centres.items()}
 
     def rolled(w: WindowSpec, n: int, agg: str) -> Column:
         if not win_type:
-            return rolling(w, keyed, target, n, agg, min_periods)
+            return plain.column(w, n, agg, min_periods)
         value = F.col(centres[n])
         if agg == "std":
             value = weighted_std(w, target, rolling_weights(win_type, n), centres[n])
@@ -350,7 +341,7 @@ def create_time_series_features(
             out |= lag_columns(w, keyed, name, {f"sales_ewm_w_{alpha}_lag_{k}": k for k in lags})
         return out
 
-    steps: list[Step] = [weighted_centres, build] if centres else [build]
+    steps: list[Step] = [weighted_centres, build] if centres else [*plain.steps, build]
     reach = max([0, *(lags if lag or ewm else []), *(windows if aggs else [])])
     done = _Means(rows, target, means).then(reach, *steps) if means else rows.with_columns(reach, *steps)
-    return done.to_frame().drop(*centres.values())
+    return done.to_frame().drop(*centres.values(), *plain.helpers)

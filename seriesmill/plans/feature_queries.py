@@ -10,6 +10,7 @@ from ..operators.features import (
     create_time_series_features,
     prepare_features,
 )
+from ..operators.layout import BLOCK_ROWS
 from ..session import materialize
 from .calendar_queries import time_features_sql
 from .inputs import BRAND_MONTHS, PART_MONTHS, brand_months, part_months, sales_by, table
@@ -393,6 +394,34 @@ def w14_time_series_features_in_blocks(spark, sf_dir):
     return _std_digits(out.drop("o_orderdate", "o_orderpriority"))
 
 
+_WIDE = [365, 5000]
+# Of logarithms: means of prices in cents fall on the middle of two roundings.
+_WIDE_SQL = f"WITH logged AS (SELECT o_orderkey, o_orderdate, o_orderpriority, {_LOG} AS y FROM orders) SELECT o_orderkey, " + ", ".join(
+    _full(fn, "y", n, f"sales_roll_{name}_{n}", _OPART, _OORDER, 2)
+    for name, fn in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))
+    for n in _WIDE
+) + " FROM logged"
+
+
+def _wide_windows(spark, sf_dir, layout, block_rows=BLOCK_ROWS):
+    out = create_time_series_features(
+        table(spark, sf_dir, "orders").select(*_ORDERS), "o_totalprice", ["o_orderdate", "o_orderkey"], "o_orderpriority",
+        windows=_WIDE, min_periods=2, log_transformation=True, roll=True, roll_mean=True, roll_std=True, roll_min=True,
+        roll_max=True, date_related=False, layout=layout, block_rows=block_rows,
+    )
+    return rounded(out.drop("o_orderdate", "o_orderpriority", "o_totalprice"))
+
+
+@register("w2_w7_wide_windows", _WIDE_SQL)
+def w2_w7_wide_windows(spark, sf_dir):
+    return _wide_windows(spark, sf_dir, "whole")
+
+
+@register("w2_w7_wide_windows_in_blocks", _WIDE_SQL)
+def w2_w7_wide_windows_in_blocks(spark, sf_dir):
+    return _wide_windows(spark, sf_dir, "blocks", 2000)
+
+
 @register(
     "o3_rows_in_date_order",
     f"""SELECT o_orderkey, row_number() {_OW} AS n FROM orders""",

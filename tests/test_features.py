@@ -105,6 +105,38 @@ def test_time_series_features_equal_pandas(spark, monkeypatch, layout, min_perio
             same(got[f"sales_roll_{agg}_{w}"], want_col)
 
 
+@pytest.mark.parametrize("layout", LAYOUTS)
+@pytest.mark.parametrize("min_periods", [None, 2])
+def test_wide_windows_equal_pandas(spark, monkeypatch, layout, min_periods):
+    mode = use(monkeypatch, layout)
+    pdf = panel(4, (700, 131, 64, 1))
+    pdf["y"] = pdf["y"] + 1e7  # far from zero: sums of squares would lose the spread
+    got = create_time_series_features(
+        to_spark(spark, pdf), "y", to_sort="t", to_group="g", windows=[5, 64, 130, 1000], min_periods=min_periods,
+        date_related=False, roll=True, roll_mean=True, roll_std=True, roll_min=True, roll_max=True, layout=mode,
+    ).toPandas().sort_values(["g", "t"], na_position="last").reset_index(drop=True)
+    assert [c for c in got.columns if c.startswith("__")] == []
+    want = pdf.sort_values(["g", "t"], na_position="last").reset_index(drop=True)
+    by = want.groupby("g")["y"]
+    for w in (5, 64, 130, 1000):
+        for agg in ("mean", "std", "min", "max"):
+            roll = by.transform(lambda x: getattr(x.shift(1).rolling(w, min_periods=min_periods), agg)())
+            np.testing.assert_allclose(got[f"sales_roll_{agg}_{w}"].astype(float), roll, rtol=1e-9 if agg != "std" else 1e-5)
+
+
+def test_wide_windows_of_whole_features_infinities_and_shuffles(spark):
+    y = np.random.default_rng(1).normal(size=300)
+    y[100] = np.inf
+    pdf = pd.DataFrame({"g": "a", "t": np.arange(300), "y": y})
+    out = add_rolling_features(to_spark(spark, pdf), "y", ["g"], [64], ["t"], "whole")
+    got = out.toPandas().sort_values("t").reset_index(drop=True)
+    assert np.isinf(got.y_rolling_mean_64[101:165]).all()
+    rest = np.r_[64:101, 165:300]
+    np.testing.assert_allclose(got.y_rolling_mean_64[rest], [y[i - 64 : i].mean() for i in rest], rtol=1e-9)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_ewm_carries_over_a_gap_longer_than_its_reach(spark, monkeypatch):
     with_small_blocks(monkeypatch, 10)
     y = np.r_[3.0, 5.0, np.full(200, np.nan), 7.0]
