@@ -1,10 +1,13 @@
-"""Operator 3: SimHash fingerprints, linked by a join on their Hamming neighbours, and their components.
+"""Operator 3: SimHash near-duplicates by multi-index hashing, and their components.
 
-Every fingerprint is written with all values within half the distance of it (for 2 bits: itself and its 64 one-bit
-neighbours), and rows are grouped by that whole 64-bit value: two fingerprints within 2 bits meet at a value half-way.
-There are no segments. With keys of a segment alone a bucket would hold a whole family of copies that share it, and
-its square in pairs; so a bucket holds at most as many fingerprints as a ball (65), all of them within the distance,
-and links of each to the smallest keep the components. Complete distances are verified on every link.
+A fingerprint is two segments of 32 bits, each with a table from segment value to fingerprints. Two fingerprints within
+2 bits differ in at most one bit of the first segment, or not at all in the second (``radii`` gives this for every
+distance), so a fingerprint looks up the 33 values of a small Hamming ball in the first table and one in the second,
+and complete distances are verified on all that stands there.
+
+A segment value that more than HOT fingerprints share would cost their square. Whoever looks up such a value is joined
+instead on whole fingerprints: each is written with all values within half the distance, two within 2 bits meet
+at a value half-way, a bucket holds no more than a ball (65), and links of each to the smallest keep the components.
 
 Equal fingerprints are one node, whatever the number of documents. Components are found by stars over written
 tables; nothing but counts reaches the driver.
@@ -32,6 +35,8 @@ from .components import components
 WORDS = 3
 MAX_BITS = 2
 SEED = 42
+HOT = 64
+SEGMENT_BITS = 32
 PIECE_BYTES = 1 << 20
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 SPACE = b" \t\n\r\x0b\x0c"
@@ -79,26 +84,65 @@ def fingerprints(df: DataFrame, words: int = WORDS, id_col: str = "doc_id", text
     return id_and_text(df, id_col, text_col).select("doc_id", fingerprint_of(F.col("text"), words).alias("fp"), F.xxhash64("text").alias("text_hash"))
 
 
-def _ball(radius: int) -> list[tuple[int, int]]:
-    """Masks of up to ``radius`` bits, as signed longs, with their number of bits."""
-    masks = [(sum(1 << b for b in bits), k) for k in range(radius + 1) for bits in combinations(range(64), k)]
+def _ball(radius: int, bits: int) -> list[tuple[int, int]]:
+    """Masks of up to ``radius`` of the lowest ``bits`` bits, as signed longs, with their number of bits."""
+    masks = [(sum(1 << b for b in chosen), k) for k in range(radius + 1) for chosen in combinations(range(bits), k)]
     return [(m - (1 << 64) if m >> 63 else m, k) for m, k in masks]
 
 
-def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """u, v: fingerprints within ``max_bits`` (0 to 4), as many as keep their components. ``nodes``: distinct fp."""
-    if not 0 <= max_bits <= 4:
-        raise ValueError("max_bits: 0 to 4")
+def radii(max_bits: int, segments: int = 2) -> list[int]:
+    """How far to look in each segment (-1: not at all) so that no pair within ``max_bits`` is missed.
+
+    With max_bits = segments * r + a, a pair that is over r apart in each of the first a + 1 segments, and over r - 1 in
+    the others, is over max_bits apart in all.
+    """
+    r, a = divmod(max_bits, segments)
+    return [r if k <= a else r - 1 for k in range(segments)]
+
+
+def _segment(k: int) -> Column:
+    return F.shiftrightunsigned("fp", k * SEGMENT_BITS).bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1))
+
+
+def _table_key(k: int, value: Column) -> Column:
+    """One long for a segment's number and value."""
+    return value + F.lit(k << SEGMENT_BITS)
+
+
+def _halfway_links(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """u, v by a join on all values within half the distance: a bucket's members linked to its smallest."""
     radius, near = -(-max_bits // 2), max_bits // 2
-    ball = F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(k <= near).alias("near")) for m, k in _ball(radius)])
-    spread = nodes.repartition(shuffle_partitions(nodes.sparkSession), "fp")  # few files hold many fingerprints
-    keys = spread.select("fp", F.explode(ball).alias("b"))
+    ball = F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(k <= near).alias("near")) for m, k in _ball(radius, 64)])
+    keys = nodes.select("fp", F.explode(ball).alias("b"))
     keys = keys.select("fp", F.col("fp").bitwiseXOR(F.col("b.mask")).alias("key"), F.col("b.near").alias("near"))
     buckets = keys.groupBy("key").agg(F.collect_list("fp").alias("members"), F.min(F.when(F.col("near"), F.col("fp"))).alias("hub"))
     pairs = buckets.where(F.size("members") > 1).select(F.col("hub").alias("u"), F.explode("members").alias("v"))
     return pairs.where((F.col("u") != F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits))
 
 
+def links(nodes: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT) -> DataFrame:
+    """u, v: fingerprints within ``max_bits`` (0 to 4), as many as keep their components. ``nodes``: distinct fp.
+
+    All pairs but those met at a segment value of more than ``hot`` fingerprints, which are linked half-way.
+    """
+    if not 0 <= max_bits <= 4:
+        raise ValueError("max_bits: 0 to 4")
+    spread = nodes.repartition(shuffle_partitions(nodes.sparkSession), "fp")  # few files hold many fingerprints
+    reach = [(k, r) for k, r in enumerate(radii(max_bits)) if r >= 0]
+    table = spread.select("fp", F.explode(F.array(*[_table_key(k, _segment(k)) for k, _ in reach])).alias("key"))
+    looks = [_table_key(k, _segment(k).bitwiseXOR(F.lit(m).cast("long"))) for k, r in reach for m, _ in _ball(r, SEGMENT_BITS)]
+    probes = spread.select(F.col("fp").alias("probe"), F.explode(F.array(*looks)).alias("key"))
+    crowded = materialize(table.groupBy("key").count().where(F.col("count") > hot).select("key"), "crowded")
+    many = not crowded.isEmpty()
+    met = probes.join(table.join(crowded, "key", "left_anti") if many else table, "key")
+    apart = F.bit_count(F.col("probe").bitwiseXOR(F.col("fp")))
+    found = met.where((F.col("probe") != F.col("fp")) & (apart <= max_bits)).select(F.col("probe").alias("u"), F.col("fp").alias("v"))
+    if not many:
+        return found
+    lookers = probes.join(crowded, "key", "left_semi").select(F.col("probe").alias("fp")).distinct()
+    return found.unionByName(_halfway_links(lookers, max_bits))
+
+
 def _grouped(docs: DataFrame, max_bits: int) -> DataFrame:
     """fp, component (its smallest fp), component_id, for every fingerprint of ``docs`` (doc_id, fp)."""
     nodes = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")

@@ -154,8 +154,9 @@ def test_fingerprint_of_pieces():
     assert simhash.fingerprint(text, 3, 5) == simhash.fingerprint(text) == fingerprint(text.decode())
 
 
-@pytest.mark.parametrize("max_bits", [0, 1, 2, 3])
-def test_links_keep_components(spark, max_bits):
+@pytest.mark.parametrize("max_bits", [0, 1, 2, 3, 4])
+@pytest.mark.parametrize("hot", [0, 3, 1000])
+def test_links_keep_components(spark, max_bits, hot):
     draw = random.Random(max_bits)
     values = []
     for _ in range(12):
@@ -165,12 +166,25 @@ def test_links_keep_components(spark, max_bits):
             base &= (1 << 64) - 1
             values.append(base)
     values = sorted({v - (1 << 64) if v >> 63 else v for v in values})
-    found = simhash.links(spark.createDataFrame([(v,) for v in values], "fp long"), max_bits)
+    found = simhash.links(spark.createDataFrame([(v,) for v in values], "fp long"), max_bits, hot)
     got = {r.node: r.component for r in components.components(found).collect()} if max_bits else {}
     group = groups_of(values, lambda a, b: ((a ^ b) & ((1 << 64) - 1)).bit_count() <= max_bits)
     assert {v: got.get(v, v) for v in values} == {v: values[g] for v, g in zip(values, group)}
 
 
+def test_segment_tables_miss_no_pair(spark):
+    """Every distance a pair can have within the limit, split over the two segments in every way."""
+    base = 0x0123456789ABCDEF
+    values = {base}
+    for low in range(5):
+        for high in range(5 - low):
+            values.add(base ^ (((1 << low) - 1) << 7) ^ (((1 << high) - 1) << 40))
+    nodes = spark.createDataFrame([(v,) for v in sorted(values)], "fp long")
+    for max_bits in range(5):
+        got = {(r.u, r.v) for r in simhash.links(nodes, max_bits).collect()}
+        assert got == {(u, v) for u in values for v in values if u != v and (u ^ v).bit_count() <= max_bits}
+
+
 def test_components_of_a_chain(spark):
     links = spark.range(1, 400).selectExpr("id AS u", "id - 1 AS v").unionByName(spark.range(1000, 1010).selectExpr("id AS u", "1000L AS v"))
     got = {r.node: r.component for r in components.components(links).collect()}
