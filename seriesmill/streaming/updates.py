@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from ..forecasting.arima import update_incremental
+from ..sources.artifacts import delete, names_in
 
-
+KEEP = 10
 MARK = "stream string, batch long"
 
 
@@ -39,6 +40,14 @@ def _newest(spark: SparkSession, folder: str) -> Row:
     return marks.orderBy(F.desc("version")).first()
 
 
+def retire(spark: SparkSession, folder: str, keep: int = KEEP) -> None:
+    """Drop all versions but the last ``keep`` that are marked, their marks first."""
+    numbers = sorted(int(n.split("=")[1]) for n in names_in(spark, f"{folder.rstrip('/')}/marks") if n.startswith("version="))
+    for version in numbers[:-keep]:
+        delete(spark, _mark_path(folder, version))
+        delete(spark, _version_path(folder, version))
+
+
 def latest(spark: SparkSession, folder: str) -> DataFrame:
     """The newest version of the parameter table."""
     return spark.read.parquet(_version_path(folder, _newest(spark, folder)["version"]))
@@ -51,9 +60,11 @@ def update_from_stream(
     y_col: str = "y",
     ds_col: str = "ds",
     update_params: bool = False,
+    keep: int = KEEP,
 ) -> DataStreamWriter:
     """Apply ``update_incremental`` per micro-batch; version 0 must have been published in ``folder``.
 
+    The last ``keep`` versions stay. What runs longer than ``keep`` batches on one version reads a copy of its own.
     A series that was never fitted, or a late or repeated date, stops the stream. The caller adds a checkpoint location and a trigger.
     """
 
@@ -65,5 +76,8 @@ def update_from_stream(
             return  # run again after its version was written
         after = update_incremental(latest(spark, folder), batch, id_col, y_col, ds_col, update_params)
         publish(folder, after, newest["version"] + 1, name, batch_id)
+        retire(spark, folder, keep)
 
+    if keep < 1:
+        raise ValueError("keep: at least 1")
     return stream.writeStream.outputMode("append").foreachBatch(apply)

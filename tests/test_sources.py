@@ -111,6 +111,31 @@ def test_table_and_model_round_trip(spark, tmp_path):
         save_object(f"{tmp_path}/x", {"a": 1})
 
 
+def test_a_failed_save_leaves_the_old_artifact(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    first = spark.range(10, numPartitions=4)
+    save_object(path, first)
+    with pytest.raises(Exception, match="stop here"):
+        save_object(path, first.selectExpr("if(id < 8, id, raise_error('stop here')) AS id"))
+    assert load_object(spark, path).count() == 10
+    (tmp_path / "t" / f"v9999999999-{'0' * 32}").mkdir()  # a version that was never finished has no mark
+    assert load_object(spark, path).count() == 10
+
+
+def test_versions_are_read_as_snapshots_and_retired(spark, tmp_path):
+    path = f"{tmp_path}/t/"
+    save_object(path, spark.range(1))
+    snapshot = load_object(spark, path)
+    save_object(path, load_object(spark, path).unionByName(spark.range(1)))  # from itself
+    assert snapshot.count() == 1 and load_object(spark, path).count() == 2
+    for n in range(3, 6):
+        save_object(path, spark.range(n))
+    assert load_object(spark, path).count() == 5
+    assert sum(p.name.startswith("v") for p in (tmp_path / "t").iterdir()) == 2
+    spark.range(7).write.parquet(f"{tmp_path}/plain")
+    assert load_object(spark, f"{tmp_path}/plain").count() == 7
+
+
 class Session:
     """Stands for a session with the given settings."""
 
