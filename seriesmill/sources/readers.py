@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import named
+from .records import parse_records, split_records, surplus_fields
 
 # The texts a CSV reader takes for a missing value.
 MISSING_TEXTS = [
@@ -29,20 +30,17 @@ _EXACT_DIGITS = 15
 _LINE = "_line"
 
 
-def _raw_frame(spark: SparkSession, path: str, sep: str, multi_line: bool = False) -> DataFrame:
-    """All columns as text, and the whole line where it has another number of fields than the header.
-
-    A path that does not exist raises.
-    """
-    reader = spark.read.option("header", True).option("sep", sep).option("escape", '"').option("multiLine", multi_line)
+def _raw_frame(spark: SparkSession, path: str, sep: str, multi_line: bool | str = False) -> DataFrame:
+    """All columns as text; a line with more fields than the header, or a path that does not exist, raises."""
+    reader = spark.read.option("header", True).option("sep", sep).option("escape", '"').option("multiLine", bool(multi_line))
     names = reader.csv(path).columns
+    if multi_line and multi_line != "file":
+        return parse_records(split_records(spark, path), names, sep)
     schema = T.StructType([*[T.StructField(c, T.StringType()) for c in names], T.StructField(_LINE, T.StringType())])
     # fields are counted only where all of them are parsed
     raw = reader.option("columnNameOfCorruptRecord", _LINE).option("columnPruning", False).schema(schema).csv(path)
     # a line with fewer fields ends with missing values; one with more would lose the rest
-    wider = ", ".join(f"c{k} string" for k in range(len(names) + 1))
-    options = {"sep": sep, "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}
-    surplus = F.from_csv(F.concat(_LINE, F.lit("x")), wider, options)[f"c{len(names)}"].isNotNull()  # an empty last field too
+    surplus = surplus_fields(F.col(_LINE), sep, len(names))
     # named so that the line is never read alone, which Spark refuses
     surplus &= F.length(_LINE) >= F.length(F.coalesce(named(names[0]), F.lit("")))
     message = F.concat(F.lit("more fields than the header has: "), F.col(_LINE))
@@ -97,12 +95,13 @@ def infer_types(raw: DataFrame) -> T.StructType:
 
 
 def read_csv(
-    spark: SparkSession, path: str, sep: str = ",", schema: T.StructType | str | None = None, multi_line: bool = False
+    spark: SparkSession, path: str, sep: str = ",", schema: T.StructType | str | None = None, multi_line: bool | str = False
 ) -> DataFrame:
     """CSV with a header row. Without a schema the column types are inferred from all rows.
 
-    A line with more fields than the header raises when it is read. ``multi_line`` allows line breaks inside quoted
-    texts; such a file is read by one task, so it is not the default.
+    A line with more fields than the header raises when it is read. ``multi_line=True`` allows line breaks inside quoted
+    texts, in as many tasks as the files have ranges (``records.split_records``), for two scans and one shuffle.
+    ``multi_line="file"`` leaves it to Spark's reader, one task for a file; only needed where texts without quotes hold quotation marks.
     """
     raw = _raw_frame(spark, path, sep, multi_line)
     if schema is None and not multi_line:

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.ml import Pipeline
@@ -63,6 +64,49 @@ def test_csv_line_breaks_in_texts(spark, tmp_path):
     assert sorted(tuple(r) for r in read_csv(spark, path, multi_line=True).collect()) == [(1, 'x\ny, "z"'), (2, "w")]
 
 
+@pytest.mark.parametrize("range_bytes", [16, 41, 1000])
+def test_csv_line_breaks_over_small_ranges(spark, tmp_path, range_bytes):
+    """A range holds a piece of a cell, some lines, or whole files; cells go over several ranges."""
+    rng = random.Random(range_bytes)
+    pieces = ["a", ",", "\n", '"', "\n\n", "é", " ", "\r\n", "long text without a break "]
+    want, folder = [], tmp_path / "many"
+    folder.mkdir()
+    for n, rows in enumerate([60, 1, 0, 25]):
+        cells = [(f"{n}-{k}", "x" + "".join(rng.choices(pieces, k=rng.randint(0, 9))) + "y") for k in range(rows)]
+        want += [(i, t.replace("\r\n", "\n")) for i, t in cells]
+        lines = [f'{i},"{t.replace(chr(34), chr(34) * 2)}"' + rng.choice(["\n", "\r\n", "\n\n"]) for i, t in cells]
+        # the header is a record of two lines, after a blank one
+        (folder / f"{n}.csv").write_bytes(("\n" * (n % 2) + 'id,"no\nte"\n' + "".join(lines)).encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(range_bytes))
+    try:
+        df = read_csv(spark, str(folder), multi_line=True)
+        assert df.columns == ["id", "no\nte"]
+        assert sorted(tuple(r) for r in df.collect()) == sorted(want)
+        if range_bytes == 16:
+            assert spark.read.text(str(folder)).rdd.getNumPartitions() > 50
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_csv_one_quoted_text_over_many_ranges_and_fields_of_records(spark, tmp_path):
+    text = "\n".join(f"line {k}" for k in range(200))
+    path = write(tmp_path, f'a,b\n1,"{text}"\n2,short\n3\n', "wide.csv")
+    surplus = write(tmp_path, 'a,b\n1,"x\ny",\n', "surplus.csv")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        rows = sorted(tuple(r) for r in read_csv(spark, path, schema="a int, b string", multi_line=True).collect())
+        assert rows == [(1, text), (2, "short"), (3, None)]
+        with pytest.raises(Exception, match="more fields"):
+            read_csv(spark, surplus, schema="a int, b string", multi_line=True).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(tuple(r) for r in read_csv(spark, path, multi_line="file").collect()) == rows
+    empty = write(tmp_path, "a,b\n", "empty.csv")
+    assert read_csv(spark, empty, multi_line=True).collect() == []
+
+
 def test_csv_surplus_fields_raise_and_missing_ones_are_missing(spark, tmp_path):
     short = write(tmp_path, "a,b\n1,2\n3\n", "short.csv")
     assert sorted(tuple(r) for r in read_csv(spark, short, schema="a int, b int").collect()) == [(1, 2), (3, None)]
