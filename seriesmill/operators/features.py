@@ -18,6 +18,7 @@ from ..functions.scalars import named
 from ..session import materialize
 from .layout import BLOCK_ROWS, SeriesRows, lay_out
 from .rolling import Rolling
+from .waves import WeightedRolling
 from .weighted import enough_values, rolling_weights, weighted_mean, weighted_std
 
 Step = Callable[[WindowSpec], dict[str, Column]]
@@ -320,14 +321,20 @@ def create_time_series_features(
     means = {a: f"__ewm_{i}" for i, a in enumerate(weights)} if ewm else {}
     centres = {n: f"__centre_{n}" for n in windows} if win_type and aggs else {}
     plain = Rolling(rows, target, windows, [] if win_type else aggs)
+    waves = WeightedRolling(rows, target, windows, win_type, aggs, min_periods)
+
+    def weighted_centre(w: WindowSpec, n: int) -> Column:
+        return waves.mean(n) if n in waves.wide else weighted_mean(w, target, rolling_weights(win_type, n))
 
     def weighted_centres(w: WindowSpec) -> dict[str, Column]:
-        return {name: weighted_mean(w, target, rolling_weights(win_type, n)) for n, name in centres.items()}
+        return {name: weighted_centre(w, n) for n, name in centres.items()}
 
     def rolled(w: WindowSpec, n: int, agg: str) -> Column:
         if not win_type:
             return plain.column(w, n, agg, min_periods)
         value = F.col(centres[n])
+        if n in waves.wide:
+            return F.when(keyed, waves.deviation(n, centres[n]) if agg == "std" else value)
         if agg == "std":
             value = weighted_std(w, target, rolling_weights(win_type, n), centres[n])
         return F.when(keyed & enough_values(w, target, n, min_periods), value)
@@ -341,7 +348,7 @@ def create_time_series_features(
             out |= lag_columns(w, keyed, name, {f"sales_ewm_w_{alpha}_lag_{k}": k for k in lags})
         return out
 
-    steps: list[Step] = [weighted_centres, build] if centres else [*plain.steps, build]
+    steps: list[Step] = [*waves.steps, weighted_centres, build] if centres else [*plain.steps, build]
     reach = max([0, *(lags if lag or ewm else []), *(windows if aggs else [])])
     done = _Means(rows, target, means).then(reach, *steps) if means else rows.with_columns(reach, *steps)
-    return done.to_frame().drop(*centres.values(), *plain.helpers)
+    return done.to_frame().drop(*centres.values(), *plain.helpers, *waves.helpers)

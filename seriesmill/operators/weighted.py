@@ -49,7 +49,6 @@ def _parzen(n: int) -> list[float]:
     return [2 * (1 - v) ** 3 if v > 0.5 else 1 - 6 * v**2 + 6 * v**3 for v in x]
 
 
-# The published coefficients of the cosine-sum windows.
 def _tukey(n: int, alpha: float = 0.5) -> list[float]:
     """Flat in the middle, half a cosine over the share ``alpha`` at the ends."""
     side = alpha * (n - 1) / 2
@@ -64,20 +63,25 @@ def _lanczos(n: int) -> list[float]:
     return [math.sin(math.pi * x) / (math.pi * x) if x else 1.0 for i in range(n) for x in [2 * i / (n - 1) - 1]]
 
 
+# The published coefficients of the cosine-sum windows.
+COSINE_SUMS: dict[str, tuple[float, ...]] = {
+    "boxcar": (1.0,),
+    "hamming": (0.54, 0.46),
+    "hann": (0.5, 0.5),
+    "blackman": (0.42, 0.5, 0.08),
+    "blackmanharris": (0.35875, 0.48829, 0.14128, 0.01168),
+    "nuttall": (0.3635819, 0.4891775, 0.1365995, 0.0106411),
+    "flattop": (0.21557895, 0.41663158, 0.277263158, 0.083578947, 0.006947368),
+}
+
 WINDOWS: dict[str, Callable[[int], list[float]]] = {
-    "boxcar": lambda n: [1.0] * n,
+    **{name: _cosine_sum(*terms) for name, terms in COSINE_SUMS.items()},
     "triang": _triang,
     "bartlett": _bartlett,
-    "hamming": _cosine_sum(0.54, 0.46),
-    "hann": _cosine_sum(0.5, 0.5),
-    "blackman": _cosine_sum(0.42, 0.5, 0.08),
-    "blackmanharris": _cosine_sum(0.35875, 0.48829, 0.14128, 0.01168),
-    "nuttall": _cosine_sum(0.3635819, 0.4891775, 0.1365995, 0.0106411),
     "cosine": _cosine,
     "bohman": _bohman,
     "barthann": _barthann,
     "parzen": _parzen,
-    "flattop": _cosine_sum(0.21557895, 0.41663158, 0.277263158, 0.083578947, 0.006947368),
     "tukey": _tukey,
     "exponential": _exponential,
     "lanczos": _lanczos,

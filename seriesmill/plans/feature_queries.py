@@ -448,3 +448,35 @@ def o2_missing_dates_last(spark, sf_dir):
     some = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice", F.expr(_SOME_DATES).alias("d"))
     out = add_lag_features(some, "o_totalprice", ["o_orderpriority"], [1], ["d", "o_orderkey"])
     return out.select("o_orderkey", "o_totalprice_lag1")
+
+
+# --- wide weighted windows ------------------------------------------------------------------------
+
+_HAMMING = 365
+_HAMMING_SQL = f"""WITH q AS (SELECT list(0.54 - 0.46 * cos(2 * pi() * i / {_HAMMING - 1}) ORDER BY i) AS ws FROM range({_HAMMING}) t(i)),
+    logged AS (SELECT o_orderkey, o_orderdate, o_orderpriority, {_LOG} AS y FROM orders),
+    w AS (SELECT o_orderkey, list(y) OVER (PARTITION BY {_OPART} ORDER BY {_OORDER}
+      ROWS BETWEEN {_HAMMING} PRECEDING AND 1 PRECEDING) AS xs FROM logged),
+    m AS (SELECT o_orderkey, xs, ws, CASE WHEN len(xs) = {_HAMMING} THEN list_dot_product(xs, ws) / list_sum(ws) END AS mean FROM w, q)
+    SELECT o_orderkey, round(mean, 6) AS sales_roll_mean_{_HAMMING}, CASE WHEN mean IS NOT NULL THEN
+      round(sqrt(list_dot_product(list_transform(xs, lambda x: pow(x - mean, 2)), ws) / list_sum(ws) * {_HAMMING} / {_HAMMING - 1}), 6)
+      END AS sales_roll_std_{_HAMMING} FROM m"""
+
+
+def _hamming(spark, sf_dir, layout, block_rows=BLOCK_ROWS):
+    out = create_time_series_features(
+        table(spark, sf_dir, "orders").select(*_ORDERS), "o_totalprice", ["o_orderdate", "o_orderkey"], "o_orderpriority",
+        windows=[_HAMMING], win_type="hamming", log_transformation=True, roll=True, roll_mean=True, roll_std=True,
+        date_related=False, layout=layout, block_rows=block_rows,
+    )
+    return rounded(out.drop("o_orderdate", "o_orderpriority", "o_totalprice"))
+
+
+@register("w12_wide_hamming", _HAMMING_SQL)
+def w12_wide_hamming(spark, sf_dir):
+    return _hamming(spark, sf_dir, "whole")
+
+
+@register("w12_wide_hamming_in_blocks", _HAMMING_SQL)
+def w12_wide_hamming_in_blocks(spark, sf_dir):
+    return _hamming(spark, sf_dir, "blocks", 500)

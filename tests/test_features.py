@@ -155,6 +155,46 @@ def test_ewm_golden(spark):
     same(got["sales_ewm_w_0.5_lag_0"].round(4), pd.Series([np.nan, 1, 1, 1, 3.6667, 2.6]))
 
 
+@pytest.mark.parametrize("layout", LAYOUTS)
+@pytest.mark.parametrize("win_type", ["boxcar", "hamming", "flattop", "parzen"])
+def test_wide_weighted_windows_equal_direct_sums(spark, monkeypatch, layout, win_type):
+    mode = use(monkeypatch, layout)
+    pdf = panel(4, (700, 131, 64, 1))
+    pdf["y"] = pdf["y"] + 1e5
+    sizes = [5, 64, 130, 365] if win_type != "parzen" else [5, 64]
+    got = create_time_series_features(
+        to_spark(spark, pdf), "y", to_sort="t", to_group="g", windows=sizes, win_type=win_type,
+        date_related=False, roll=True, roll_mean=True, roll_std=True, layout=mode,
+    ).toPandas().sort_values(["g", "t"], na_position="last").reset_index(drop=True)
+    assert [c for c in got.columns if c.startswith("__")] == []
+    want = pdf.sort_values(["g", "t"], na_position="last").reset_index(drop=True)
+    for n in sizes:
+        q = np.array(rolling_weights(win_type, n))
+
+        def spread(x):
+            mean = (q * x).sum() / q.sum()
+            return np.sqrt((q * (x - mean) ** 2).sum() / q.sum() * n / (n - 1))
+
+        for name, fn in (("mean", lambda x: (q * x).sum() / q.sum()), ("std", spread)):
+            rolled = want.groupby("g")["y"].transform(lambda x: x.shift(1).rolling(n).apply(fn, raw=True))
+            np.testing.assert_allclose(got[f"sales_roll_{name}_{n}"].astype(float), rolled, rtol=1e-9 if name == "mean" else 1e-5)
+
+
+def test_wide_weighted_window_with_infinity_and_holes(spark):
+    y = np.random.default_rng(2).normal(size=400)
+    y[100], y[250] = np.inf, np.nan
+    pdf = pd.DataFrame({"g": "a", "t": np.arange(400), "y": y})
+    got = create_time_series_features(
+        to_spark(spark, pdf), "y", "t", "g", windows=[64], win_type="hamming", date_related=False,
+        roll=True, roll_mean=True, roll_std=True, layout="whole",
+    ).toPandas().sort_values("t").reset_index(drop=True)
+    q = np.array(rolling_weights("hamming", 64))
+    assert np.isinf(got.sales_roll_mean_64[101:165]).all() and got.sales_roll_std_64[101:165].isna().all()
+    assert got.sales_roll_mean_64[np.r_[0:64, 251:315]].isna().all()
+    for i in np.r_[64:101, 165:251, 315:400]:
+        assert got.sales_roll_mean_64[i] == pytest.approx((q * y[i - 64 : i]).sum() / q.sum(), rel=1e-9, abs=1e-12)
+
+
 @pytest.mark.parametrize("win_type", list(WINDOWS))
 @pytest.mark.parametrize("min_periods", [None, 2])
 def test_weighted_rolling_equals_pandas_kernels(spark, win_type, min_periods):
