@@ -9,12 +9,13 @@ from ..forecasting.dates import fill_dates, future_date, infer_frequency
 from ..forecasting.differencing import difference_polynomial, differenced
 from ..forecasting.exog import last_rows, padded_future, unknown_ids
 from ..forecasting.likelihood import log_likelihoods, series_arrays
-from ..forecasting.models import SarimaModel
+from ..forecasting.models import ArimaModel, SarimaModel
 from ..operators.layout import lay_out
 from ..operators.metrics import evaluate_result_forecast
 from ..operators.split import time_series_split, union_all
 from ..session import materialize, scratch_path
 from ..sources.artifacts import load_object, save_object
+from ..streaming.updates import latest, publish, update_from_stream
 from .inputs import (
     CUTOFF, PANEL, PANEL_X, PART_MONTHS, brand_panel, brand_panel_with_orders, part_months, sales_by, table,
 )
@@ -458,13 +459,13 @@ def f11_update_with_late_rows(spark, sf_dir):
     return _ar1_columns(after)
 
 
-@register(
-    "f11_state_update",
-    f"""WITH {_TRAIN}, whole AS (SELECT unique_id, ds, y / 1e6 AS y FROM panel), {_ar1_sql('train')},
+_STATE_FORECAST = f"""WITH {_TRAIN}, whole AS (SELECT unique_id, ds, y / 1e6 AS y FROM panel), {_ar1_sql('train')},
     w2 AS (SELECT unique_id, ds, y, y - lag(y) {_W} AS w FROM whole),
     moved AS (SELECT unique_id, max(ds) AS last_date, arg_max(y, ds) AS y0, arg_max(w, ds) AS w0 FROM w2 GROUP BY unique_id)
-    SELECT unique_id, last_date + to_months(1) AS ds, round(y0 + c + phi * w0, 6) AS yhat FROM coef JOIN moved USING (unique_id)""",
-)
+    SELECT unique_id, last_date + to_months(1) AS ds, round(y0 + c + phi * w0, 6) AS yhat FROM coef JOIN moved USING (unique_id)"""
+
+
+@register("f11_state_update", _STATE_FORECAST)
 def f11_state_update(spark, sf_dir):
     """Coefficients of the training months, last values of all months, next month's forecast."""
     before = arima.fit(_train(spark, sf_dir), _AR1, freq="MS", layout=SUMMED)
@@ -472,6 +473,39 @@ def f11_state_update(spark, sf_dir):
     return rounded(arima.forecast(moved, 1).select("unique_id", "ds", "yhat"))
 
 
+# --- the same through a stream, and through the model class ---------------------------------------
+
+
+def _streamed(spark, sf_dir, update_params):
+    """The parameter table after two runs of a file stream of later months, the second from the first one's checkpoint."""
+    folder, source, checkpoint = (scratch_path(spark, label) for label in ("stream-params", "later-months", "checkpoint"))
+    publish(folder, arima.fit(_train(spark, sf_dir), _AR1, freq="MS", layout=SUMMED))
+    later = materialize(_later(spark, sf_dir), "later")
+    early = F.col("ds") < F.add_months(F.lit(CUTOFF), 6)
+    for months in (later.where(early), later.where(~early)):
+        months.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(later.schema).parquet(source)
+        writer = update_from_stream(stream, folder, update_params=update_params)
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return latest(spark, folder)
+
+
+@register("h1_streamed_parameters", _UNION_PARAMS)
+def h1_streamed_parameters(spark, sf_dir):
+    return _ar1_columns(_streamed(spark, sf_dir, True))
+
+
+@register("h1_streamed_state", _STATE_FORECAST)
+def h1_streamed_state(spark, sf_dir):
+    return rounded(arima.forecast(_streamed(spark, sf_dir, False), 1).select("unique_id", "ds", "yhat"))
+
+
+@register("f1_fit_update_predict", _STATE_FORECAST.replace(_ar1_sql("train"), _ar1_sql("whole")))
+def f1_fit_update_predict(spark, sf_dir):
+    model = ArimaModel((1, 1, 0)).fit(_train(spark, sf_dir), fh=1, freq="MS", layout=SUMMED)
+    return rounded(model.update(_later(spark, sf_dir)).predict())
+
+
 @register(
     "f12_model_metadata",
     f"""WITH {PANEL}, {_MONTH_GAPS.format(source='panel')} SELECT unique_id, n AS n_obs, last_date, freq,
