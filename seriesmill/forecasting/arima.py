@@ -31,9 +31,12 @@ from ..session import materialize
 from .dates import frequency_columns, future_date, gap_columns, with_frequency
 from .differencing import difference_polynomial, differenced
 from .exog import ID, future_rows, unknown_ids
+from .history import SeriesHistory
 from .likelihood import estimate, series_arrays
 from .regression import explained, product_sums, solve_normal_equations, solve_yule_walker
 
+History = DataFrame | SeriesHistory
+
 TRENDS = {"n": (), "c": ("const",), "t": ("slope",), "ct": ("const", "slope")}
 
 
@@ -480,34 +483,43 @@ def late_rows(new_rows: DataFrame, params: DataFrame) -> DataFrame:
     return late.unionByName(twice).distinct()
 
 
-def append_history(history: DataFrame, new_rows: DataFrame) -> DataFrame:
+def append_history(history: History, new_rows: DataFrame) -> History:
     """All observations; a date present in both is kept twice."""
+    if isinstance(history, SeriesHistory):
+        return history.append(new_rows)
     return history.unionByName(new_rows.select(*history.columns))
 
 
+def _rows_of(history: History, series: DataFrame, id_col: str) -> DataFrame:
+    return history.rows_of(series) if isinstance(history, SeriesHistory) else history.join(series, id_col, "left_semi")
+
+
 def refit(
     params: DataFrame,
-    history: DataFrame,
+    history: History,
     new_rows: DataFrame,
     id_col: str = "unique_id",
     y_col: str = "y",
     ds_col: str = "ds",
     freq: str | None = None,
     layout: str = "auto",
-) -> tuple[DataFrame, DataFrame]:
-    """Append new observations and fit again the series they touch. Returns (params, history)."""
+) -> tuple[DataFrame, History]:
+    """Append new observations and fit again the series they touch. Returns (params, history).
+
+    A frame as history is scanned whole and grows by a union; of a ``SeriesHistory`` only the series' buckets are read.
+    """
     new_rows = materialize(new_rows.select(*history.columns), "new-rows")  # read several times below
     check_known(new_rows, params, id_col)
     longer = append_history(history, new_rows)
     touched = new_rows.select(id_col).distinct()
-    again = fit(longer.join(touched, id_col, "left_semi"), spec_of(params), id_col, y_col, ds_col, freq, layout)
+    again = fit(_rows_of(longer, touched, id_col), spec_of(params), id_col, y_col, ds_col, freq, layout)
     kept = params.join(again.select(ID), ID, "left_anti")
     return materialize(kept.unionByName(again), "params"), longer
 
 
 def update(
     params: DataFrame,
-    history: DataFrame,
+    history: History,
     new_rows: DataFrame,
     id_col: str = "unique_id",
     y_col: str = "y",
@@ -515,7 +527,7 @@ def update(
     freq: str | None = None,
     layout: str = "auto",
     update_params: bool = True,
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, History]:
     """Update incrementally, and fit again only the series with late or repeated dates. Returns (params, history)."""
     new_rows = materialize(new_rows.select(*history.columns), "new-rows")
     check_known(new_rows, params, id_col)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from . import arima
 from .arima import ArimaSpec
+from .history import SeriesHistory
 
 
 class _PanelModel:
@@ -15,7 +16,7 @@ class _PanelModel:
         self.order, self.seasonal_order, self.trend = tuple(order), tuple(seasonal_order), trend or "n"
         self.estimator = estimator
         self.params: DataFrame | None = None
-        self.history: DataFrame | None = None
+        self.history: arima.History | None = None
         self._columns = ("unique_id", "y", "ds")
 
     def fit(
@@ -28,13 +29,19 @@ class _PanelModel:
         fh: int | None = None,
         freq: str | None = None,
         layout: str = "auto",
+        history_buckets: int | None = None,
     ):
         """Fit one model per series. ``fh`` is the horizon of ``predict`` calls that give none; ``freq``
-        overrides the inferred frequency."""
+        overrides the inferred frequency. With ``history_buckets`` the observations are written in so many buckets of series
+        (``SeriesHistory``), and updates append to them and read only the buckets they touch."""
         spec = ArimaSpec(self.order, self.seasonal_order, self.trend, tuple(exog_cols or ()), estimator=self.estimator)
         self._columns, self._horizon, self._freq, self._layout = (id_col, y_col, ds_col), fh, freq, layout
-        self.history = df.select(id_col, y_col, ds_col, *spec.exog_cols)
-        self.params = arima.fit(self.history, spec, id_col, y_col, ds_col, freq, layout)
+        rows = df.select(id_col, y_col, ds_col, *spec.exog_cols)
+        self.history = rows
+        if history_buckets:
+            self.history = SeriesHistory.create(rows, id_col, buckets=history_buckets)
+            rows = self.history.rows()
+        self.params = arima.fit(rows, spec, id_col, y_col, ds_col, freq, layout)
         return self
 
     def _fitted(self) -> DataFrame:

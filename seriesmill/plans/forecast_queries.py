@@ -8,6 +8,7 @@ from ..forecasting.baselines import fit_baselines, forecast_baselines
 from ..forecasting.dates import fill_dates, future_date, infer_frequency
 from ..forecasting.differencing import difference_polynomial, differenced
 from ..forecasting.exog import last_rows, padded_future, unknown_ids
+from ..forecasting.history import SeriesHistory
 from ..forecasting.likelihood import log_likelihoods, series_arrays
 from ..forecasting.models import ArimaModel, SarimaModel
 from ..operators.layout import lay_out
@@ -439,6 +440,19 @@ def f10_refit_after_update(spark, sf_dir):
     return _ar1_columns(after)
 
 
+@register("f10_refit_from_buckets", _UNION_PARAMS.replace("FROM panel)", f"FROM panel WHERE ds < {_CUT} OR unique_id LIKE '%1')", 1))
+def f10_refit_from_buckets(spark, sf_dir):
+    """The brands that end in 1 report on, month by month; only their buckets of the stored history are read again."""
+    train = _train(spark, sf_dir)
+    params = arima.fit(train, _AR1, freq="MS", layout=SUMMED)
+    history = SeriesHistory.create(train)
+    later = materialize(_later(spark, sf_dir).where("unique_id LIKE '%1'"), "later")
+    early = F.col("ds") < F.add_months(F.lit(CUTOFF), 6)
+    for months in (later.where(early), later.where(~early)):
+        params, history = arima.refit(params, history, months, freq="MS", layout=SUMMED)
+    return _ar1_columns(params)
+
+
 @register("f11_incremental_update", _UNION_PARAMS)
 def f11_incremental_update(spark, sf_dir):
     before = arima.fit(_train(spark, sf_dir), _AR1, freq="MS", layout=SUMMED)
