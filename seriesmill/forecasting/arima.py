@@ -305,7 +305,7 @@ def fit(
 
 def _fit_likelihood(panel: DataFrame, spec: ArimaSpec, freq: str | None) -> DataFrame:
     """As ``fit``, by exact likelihood; regressors are fitted before, by least squares on the differenced equation."""
-    rows = lay_out(panel, [ID], ["ds", "y"], "whole")
+    rows = lay_out(panel, [ID], ["ds", "y"], "short")
     tables = []
     if spec.exog_cols:
         if "slope" in spec.trend_terms:

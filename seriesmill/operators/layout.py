@@ -1,16 +1,23 @@
 """How the rows of many series are spread over tasks for positional (lag, rolling, carry) features.
 
-``whole``  one window partition per series. Right when a series is short, as after summing by period,
-           where a series has at most one row per period.
+``short``  one window partition per series, without a look at its length: for series that are short by
+           construction, as after summing by period, where a series has at most one row per period.
 ``blocks`` all rows are range-sorted by (series, order), written once, numbered, and cut into blocks of
            ``block_rows``. Each block also gets copies of the ``reach`` rows before it, so every row
            frame up to ``reach`` rows back is exact inside a block, and a series holding any share of
            the table is spread over many tasks.
-``auto``   counts rows per series (combined before the shuffle) and takes ``blocks`` when one is long.
+``whole``  one window partition per series, as long as none has more than ``WHOLE_SERIES_ROWS`` rows (counted,
+           combined before the shuffle). One task sorts a whole series with all its columns, so rows of longer
+           series are laid out in ``blocks``, with the same results.
+``auto``   the same.
+
+A pass over blocks has as many tasks as it has ``TASK_ROWS`` rows: what a task holds while it sorts does not grow with the
+table. Left to itself, Spark joins partitions by the bytes of the rows before a pass, which makes them several times wider.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -21,8 +28,9 @@ from pyspark.sql import functions as F
 from ..functions.scalars import all_present, named
 from ..session import materialize
 
-WHOLE_SERIES_ROWS = 1_000_000
-BLOCK_ROWS = 250_000
+WHOLE_SERIES_ROWS = 100_000
+BLOCK_ROWS = 50_000
+TASK_ROWS = 100_000
 
 _POS, _BLOCK, _OWN, _CARRY, _TIE = "__pos", "__block", "__own", "__carry", "__tie"
 _START = "__start"
@@ -68,6 +76,7 @@ class SeriesRows:
     groups: tuple[str, ...]
     order_by: tuple[str, ...]
     block_rows: int | None = None  # None: one window partition per series
+    n_rows: int = 0  # in blocks: of the whole table
 
     @property
     def has_key(self) -> Column:
@@ -99,8 +108,11 @@ class SeriesRows:
         near_end = F.col(_POS) % size >= size - reach
         blocks = F.when(near_end, F.array(home, home + 1)).otherwise(F.array(home))
         copies = self.rows.withColumn(_BLOCK, F.explode(blocks)).withColumn(_OWN, F.col(_BLOCK) == home)
-        # One shuffle serves all windows of the pass, also those nested inside a block's series.
-        return copies.repartition(_BLOCK, *self._keys())
+        return self._dealt(copies, self.n_rows * (1 + reach / size))
+
+    def _dealt(self, rows: DataFrame, n_rows: float) -> DataFrame:
+        """One shuffle serves all windows of the pass, also those nested inside a block's series."""
+        return rows.repartition(max(1, math.ceil(n_rows / TASK_ROWS)), _BLOCK, *self._keys())
 
     def carries_locally(self, value: str) -> bool:
         """Whether a value never has to be carried from further back than a window partition reaches."""
@@ -158,7 +170,7 @@ class SeriesRows:
     def _join_per_block(self, table: DataFrame) -> DataFrame:
         """Join on (block, series): no key has more rows than a block, and the windows of a block need no
         further shuffle. Rows with a missing group key find nothing; their features are NULL anyway."""
-        return self._home_block().join(table, [_BLOCK, *self.groups], "left")
+        return self._dealt(self._home_block(), self.n_rows).join(table, [_BLOCK, *self.groups], "left")
 
     def with_position(self, out: str) -> SeriesRows:
         """A number that grows by one from row to row of a series; where it starts is not defined."""
@@ -203,11 +215,12 @@ def lay_out(
     groups, order = tuple(group_cols or ()), tuple(order_by)
     if not order:
         raise ValueError("order_by needs at least one column")
-    if layout == "auto":
+    if layout in ("whole", "auto"):
         longest = df.groupBy(*map(named, groups)).count().agg(F.max("count")).first()[0] or 0
-        layout = "whole" if longest <= WHOLE_SERIES_ROWS else "blocks"
-    if layout == "whole":
+        layout = "short" if longest <= WHOLE_SERIES_ROWS else "blocks"
+    if layout == "short":
         return SeriesRows(df.withColumn(_TIE, row_hash(df)), groups, order)
     if layout != "blocks":
-        raise ValueError(f"layout {layout!r} is not one of auto, whole, blocks")
-    return SeriesRows(number_rows(df, [*groups, *order]), groups, order, block_rows)
+        raise ValueError(f"layout {layout!r} is not one of auto, whole, short, blocks")
+    rows = number_rows(df, [*groups, *order])
+    return SeriesRows(rows, groups, order, block_rows, rows.count())

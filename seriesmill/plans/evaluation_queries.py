@@ -278,7 +278,7 @@ def t4_cv_boosted_trees(spark, sf_dir):
     """Boosted trees on the past of each brand, all brands in one model."""
     from ..operators.features import add_lag_features
 
-    lagged = add_lag_features(brand_months(spark, sf_dir), "sales_amount", ["p_brand"], [1, 12], ["period"], "whole")
+    lagged = add_lag_features(brand_months(spark, sf_dir), "sales_amount", ["p_brand"], [1, 12], ["period"], "short")
     rows = lagged.where("sales_amount_lag12 IS NOT NULL").withColumn("month", F.month("period"))
     trees = GBTRegressor(seed=7)
     return time_series_cv(

@@ -17,7 +17,7 @@ from .inputs import BRAND_MONTHS, PART_MONTHS, brand_months, part_months, sales_
 from .registry import register, rounded
 
 # Sums per period hold at most one row per series and period, so one window partition per series is bounded.
-SUMMED = "whole"
+SUMMED = "short"
 
 _W = "OVER (PARTITION BY p_brand ORDER BY period)"
 _KEYS = "p_brand, period"

@@ -22,7 +22,7 @@ from .inputs import (
 )
 from .registry import register, rounded
 
-SUMMED = "whole"  # one row per series and month
+SUMMED = "short"  # one row per series and month
 _W = "OVER (PARTITION BY unique_id ORDER BY ds)"
 _CUT = f"TIMESTAMP '{CUTOFF}'"
 _HORIZON = 6

@@ -146,7 +146,7 @@ def seasonal_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Actual monthly brand sales and, as forecast, the sales of 12 rows before."""
     from ..operators.features import add_lag_features
 
-    lagged = add_lag_features(brand_months(spark, sf_dir), "sales_amount", ["p_brand"], [12], ["period"], "whole")
+    lagged = add_lag_features(brand_months(spark, sf_dir), "sales_amount", ["p_brand"], [12], ["period"], "short")
     return lagged.where("sales_amount_lag12 IS NOT NULL").select(
         "p_brand", "period", F.col("sales_amount").alias("actual"), F.col("sales_amount_lag12").alias("forecast")
     )

@@ -299,6 +299,31 @@ def test_results_do_not_depend_on_the_number_of_partitions(spark):
         pd.testing.assert_frame_equal(results[0], other, rtol=1e-12)
 
 
+def test_whole_series_above_the_limit_go_in_blocks(spark, monkeypatch):
+    import seriesmill.operators.layout as layout
+
+    df = spark.range(2000).selectExpr("if(id % 4 = 0, null, concat('s', id % 4)) AS g", "id AS t", "cast(id * 37 % 101 AS double) AS y")
+    flags = dict(to_sort="t", to_group="g", windows=[70], roll=True, roll_mean=True, roll_std=True, date_related=False, block_rows=90)
+    monkeypatch.setattr(layout, "WHOLE_SERIES_ROWS", 499)
+    assert lay_out(df, ["g"], ["t"], "whole", 90).block_rows == 90
+    assert lay_out(df, ["g"], ["t"], "short", 90).block_rows is None
+    for win_type in (None, "hamming"):
+        got = create_time_series_features(df, "y", layout="whole", win_type=win_type, **flags).orderBy("t").toPandas()
+        want = create_time_series_features(df, "y", layout="short", win_type=win_type, **flags).orderBy("t").toPandas()
+        assert got["sales_roll_std_70"].notna().sum() == 3 * 430
+        pd.testing.assert_frame_equal(got, want, rtol=1e-9)
+
+
+def test_a_pass_over_blocks_has_tasks_by_its_rows(spark, monkeypatch):
+    import seriesmill.operators.layout as layout
+
+    monkeypatch.setattr(layout, "TASK_ROWS", 500)
+    rows = lay_out(spark.range(10_000).selectExpr("id % 3 AS g", "id AS t"), ["g"], ["t"], "blocks", 50)
+    for dealt in (rows._with_reach(50, 10), rows._join_per_block(rows._per_block({"n": F.count(F.lit(1))}))):
+        sizes = dealt.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+        assert len(sizes) >= 15 and sizes.max() <= 2000
+
+
 def test_ewm_is_the_same_in_every_layout(spark, monkeypatch):
     """A value of 1e30 long ago still counts, whatever the layout, and missing values lie at block ends too."""
     rows = [("a", i, None if i % 7 == 3 else 1e30 if i == 0 else float(i)) for i in range(600)]
