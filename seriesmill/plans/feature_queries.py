@@ -258,9 +258,15 @@ def _ewm_all_sql(alphas, lags):
 
 def _huge_first(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(*_ORDERS)
-    first = F.row_number().over(Window.partitionBy("o_orderpriority").orderBy("o_orderdate", "o_orderkey")) == 1
-    y = F.when(first, 1e30).when(F.col("o_orderkey") % 7 != 3, F.col("o_totalprice"))
-    return orders.select("o_orderkey", "o_orderdate", "o_orderpriority", y.alias("y"))
+    # Only the orders that share the first place of a series are ranked, so that no task sorts a whole series.
+    place = F.struct("o_orderdate", "o_orderkey")
+    firsts = orders.groupBy(F.col("o_orderpriority").alias("series")).agg(F.min(place).alias("first"))
+    placed = orders.join(F.broadcast(firsts), F.col("o_orderpriority").eqNullSafe(F.col("series")))
+    tied = placed.where(place == F.col("first"))
+    n = F.row_number().over(Window.partitionBy("o_orderpriority").orderBy("o_orderdate", "o_orderkey"))
+    ranked = placed.where(place != F.col("first")).withColumn("n", F.lit(0)).unionByName(tied.withColumn("n", n))
+    y = F.when(F.col("n") == 1, 1e30).when(F.col("o_orderkey") % 7 != 3, F.col("o_totalprice"))
+    return ranked.select("o_orderkey", "o_orderdate", "o_orderpriority", y.alias("y"))
 
 
 def _ewm_digits(spark, sf_dir, layout, alphas, lags, **flags):

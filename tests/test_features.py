@@ -324,6 +324,21 @@ def test_a_pass_over_blocks_has_tasks_by_its_rows(spark, monkeypatch):
         assert len(sizes) >= 15 and sizes.max() <= 2000
 
 
+def test_the_first_order_of_a_series_is_found_among_those_of_its_place(spark, tmp_path):
+    from seriesmill.plans.feature_queries import _huge_first
+
+    rows = [(k, d, p, 1.0) for p in ("a", "b", None) for k, d in ((1, "2020-01-02"), (2, "2020-01-01"), (2, "2020-01-01"), (5, "2020-01-03"))]
+    rows += [(3, None, "b", 1.0), (None, None, "b", 1.0), (None, None, "b", 1.0)]
+    orders = spark.createDataFrame(rows, "o_orderkey long, d string, o_orderpriority string, o_totalprice double")
+    orders.withColumn("o_orderdate", F.col("d").cast("timestamp_ntz")).drop("d").write.parquet(f"{tmp_path}/orders.parquet")
+    found = _huge_first(spark, str(tmp_path))
+    assert found.count() == len(rows)
+    huge = sorted(((r.o_orderpriority, r.o_orderkey) for r in found.where("y = 1e30").collect()), key=str)
+    assert huge == sorted([("a", 2), ("b", None), (None, 2)], key=str)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan.partition("Window")[2]  # only rows of a first place are ranked
+
+
 def test_ewm_is_the_same_in_every_layout(spark, monkeypatch):
     """A value of 1e30 long ago still counts, whatever the layout, and missing values lie at block ends too."""
     rows = [("a", i, None if i % 7 == 3 else 1e30 if i == 0 else float(i)) for i in range(600)]
