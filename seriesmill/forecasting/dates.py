@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.layout import SeriesRows, lay_out
 
@@ -165,16 +166,50 @@ def future_date(last: Column, unit: Column, step: Column, i: Column) -> Column:
     )
 
 
+def _elapsed(rows: DataFrame, ds_col: str, since: str, unit: str) -> Column:
+    """Whole months, or seconds as a double, from column ``since`` to ``ds_col``."""
+    ds, first = F.col(ds_col), F.col(since)
+    if unit == "month_start":
+        return F.year(ds) * 12 + F.month(ds) - F.year(first) * 12 - F.month(first)
+    kind = rows.schema[ds_col].dataType
+    if isinstance(kind, T.DateType):
+        return (F.datediff(ds, first) * DAY).cast("double")
+    seconds = (lambda c: c.cast("double")) if isinstance(kind, T.TimestampType) else _seconds
+    return (seconds(ds) - seconds(first)).cast("double")
+
+
 def fill_dates(df: DataFrame, freq: str = "MS", id_col: str = "unique_id", ds_col: str = "ds") -> DataFrame:
     """The rows, and one with nulls for every date of the frequency that a series leaves out between its first and last.
 
-    ``freq``: month starts or steps of days and below.
+    ``freq``: month starts or steps of days and below. Rows without an id leave out every date. One shuffle brings the rows
+    of a series together, and each row adds the dates up to the next: the result is still dealt by ``id_col``.
     """
     _, unit, step = given_frequency(freq)
     if unit not in ("month_start", "seconds"):
         raise ValueError(f"dates of frequency {freq!r} cannot be filled")
-    each = F.make_ym_interval(F.lit(0), F.lit(step)) if unit == "month_start" else F.make_dt_interval(secs=F.lit(step))
-    known = df.where(F.col(ds_col).isNotNull())
-    ends = known.groupBy(id_col).agg(F.min(ds_col).alias("__first"), F.max(ds_col).alias("__last"))
-    grid = ends.select(id_col, F.explode(F.sequence("__first", "__last", each)).alias(ds_col))
-    return grid.join(known, [id_col, ds_col], "left").select(df.columns).unionByName(known.join(grid, [id_col, ds_col], "left_anti"))
+
+    def on_grid(k: Column) -> Column:
+        n = k * step
+        return F.col("__first") + (F.make_ym_interval(F.lit(0), n.cast("int")) if unit == "month_start" else F.make_dt_interval(secs=n))
+
+    # As many tasks as Spark is set to: joined by the bytes of the rows that are known, they would hold many times more.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = df.where(F.col(ds_col).isNotNull()).repartition(tasks, id_col)
+    w = Window.partitionBy(id_col).orderBy(ds_col)
+    rows = known.withColumns({"__first": F.first(ds_col).over(w), "__next": F.lead(ds_col).over(w)})
+    rows = rows.withColumns({"__at": _elapsed(rows, ds_col, "__first", unit), "__to": _elapsed(rows, "__next", "__first", unit)})
+    ds, after, last, no_id = F.col(ds_col), F.col("__next"), F.col("__next").isNull(), F.col(id_col).isNull()
+    # One place more on either side than can be left out; which of them are is decided by the dates.
+    places = F.sequence(F.greatest(F.floor(F.col("__at") / step), F.lit(0)), F.ceil(F.coalesce("__to", "__at") / step))
+    left_out = F.filter(
+        F.transform(places, on_grid),
+        lambda d: ((d > ds) | (no_id & (d == ds))) & F.when(last, d <= ds).otherwise(d < after),
+    )
+    dates = F.concat(
+        F.array(F.struct(ds.alias("date"), F.lit(True).alias("known"))),
+        F.transform(left_out, lambda d: F.struct(d.alias("date"), F.lit(False).alias("known"))),
+    )
+    some = F.when((after > ds) | (no_id & last), dates).otherwise(F.slice(dates, 1, 1))
+    out = rows.withColumn("__date", F.explode(some))
+    keep = {id_col: F.col(id_col), ds_col: F.col("__date.date")}
+    return out.select([keep.get(c, F.when(F.col("__date.known"), F.col(f"`{c}`"))).alias(c) for c in df.columns])

@@ -16,9 +16,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 MAX_ROWS = 20_000
 BATCH = 512
 ITERATIONS = 60
@@ -278,12 +280,18 @@ def estimate(order: tuple, seasonal_order: tuple, trends: tuple[str, ...], delta
 
 
 def series_arrays(rows: DataFrame, by: str, value: str, order: list[str]) -> DataFrame:
-    """by, values: one array per series, null where a value is missing; refuses series of more than MAX_ROWS."""
-    longest = rows.groupBy(by).count().agg(F.max("count")).first()[0] or 0
+    """by, values: one array per series, null where a value is missing; refuses series of more than MAX_ROWS.
+
+    The arrays are written once, none of them longer than MAX_ROWS, with the rows of their series counted in the same pass.
+    """
+    nth = F.row_number().over(Window.partitionBy(by).orderBy(*order))
+    listed = F.array_sort(F.collect_list(F.when(F.col("nth_") <= MAX_ROWS, F.struct(*order, F.col(value).alias("value_")))))
+    arrays = rows.withColumn("nth_", nth).groupBy(by).agg(F.count(F.lit(1)).alias("rows_"), F.transform(listed, lambda r: r["value_"]).alias("values"))
+    arrays = materialize(arrays, "arrays")
+    longest = arrays.agg(F.max("rows_")).first()[0] or 0
     if longest > MAX_ROWS:
         raise ValueError(f"a series has {longest} rows; the likelihood takes at most {MAX_ROWS}: use the two-stage estimator")
-    listed = F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("value_"))))
-    return rows.groupBy(by).agg(F.transform(listed, lambda r: r["value_"]).alias("values"))
+    return arrays.drop("rows_")
 
 
 def log_likelihoods(values: Column, ar: list[float], ma: list[float], sigma2: float, delta: list[int] | None = None) -> Column:

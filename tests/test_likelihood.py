@@ -124,6 +124,25 @@ def test_filled_dates_and_unknown_frequencies(spark):
             given_frequency(name)
 
 
+def test_filled_dates_and_arrays_take_one_shuffle(spark, monkeypatch):
+    days = ["2024-01-31", "2024-03-31", "2024-03-31", "2024-04-15", "2024-07-31", None]
+    rows = [(i, None if d is None else f"{d} 06:30:00", float(n)) for i in ("a", None) for n, d in enumerate(days)] + [("b", "2024-05-01 00:00:00", 9.0)]
+    for kind in ("timestamp", "timestamp_ntz"):
+        panel = spark.createDataFrame(rows, "unique_id string, d string, y double").select("unique_id", F.col("d").cast(kind).alias("ds"), "y")
+        for freq, each in (("MS", "interval '1' month"), ("2MS", "interval '2' month"), ("D", "interval '1' day"), ("5h", "interval '5' hour"), ("QS", "interval '3' month")):
+            panel.where("ds IS NOT NULL").createOrReplaceTempView("known_panel")
+            spark.sql(f"""SELECT unique_id, explode(sequence(min(ds), max(ds), {each})) AS ds FROM known_panel GROUP BY 1""").createOrReplaceTempView("grid_panel")
+            want = spark.sql("""SELECT g.unique_id, g.ds, y FROM grid_panel g LEFT JOIN known_panel k ON g.unique_id = k.unique_id AND g.ds = k.ds
+                UNION ALL SELECT k.* FROM known_panel k LEFT ANTI JOIN grid_panel g ON g.unique_id = k.unique_id AND g.ds = k.ds""")
+            assert sorted(fill_dates(panel, freq).collect(), key=str) == sorted(want.collect(), key=str), (kind, freq)
+    frames = []
+    monkeypatch.setattr(likelihood, "materialize", lambda df, label: frames.append(df) or df)
+    got = likelihood.series_arrays(fill_dates(panel, "MS"), "unique_id", "y", ["ds"])
+    assert {r.unique_id: r["values"] for r in got.collect()}["a"] == [0.0, None, 1.0, 2.0, 3.0, None, None, None, 4.0]
+    assert str(frames[0]._jdf.queryExecution().sparkPlan()).count("Join") == 0
+    assert str(frames[0]._jdf.queryExecution().executedPlan()).count("Exchange hashpartitioning") == 1
+
+
 def test_long_series_are_refused(spark, monkeypatch):
     monkeypatch.setattr(likelihood, "MAX_ROWS", 10)
     with pytest.raises(ValueError, match="two-stage"):
